@@ -16,23 +16,38 @@ NON_WORD = r"\W+"
 WHITESPACE_RUN = r"[ \t\n\x0B\f\r]+"
 WHITESPACE_ONE = r"[ \t\n\x0B\f\r]"
 COMMA = ","
+WHITESPACE_CHARS = " \t\n\x0b\f\r"
 
 
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _strip_trailing(c: Column, pattern: str) -> Column:
+    """Remove the run of delimiters at the very end of ``c``.
+
+    Whitespace delimiters are stripped with ``rtrim`` (a character-set trim,
+    no regex); a pattern that already ends in ``+`` is anchored as is; any
+    other pattern is repeated. ``\\z`` (not ``$``, which also matches before a
+    final line break) anchors at the true end.
+    """
+    if pattern in (WHITESPACE_RUN, WHITESPACE_ONE):
+        return F.rtrim(c, F.lit(WHITESPACE_CHARS))
+    if pattern.endswith("+") and not pattern.endswith("\\+"):
+        return F.regexp_replace(c, f"{pattern}\\z", "")
+    return F.regexp_replace(c, f"(?:{pattern})+\\z", "")
+
+
 def java_split(col: str | Column, pattern: str) -> Column:
     """``String.split(pattern)`` as Java does it (limit 0).
 
     Spark's ``split`` keeps trailing empty strings; Java drops them, keeps
     leading and inner ones, maps ``""`` to ``[""]`` and a string made only of
-    delimiters to ``[]``. We strip the trailing delimiter run (``\\z``, not
-    ``$``, which would also match before a final line break) and split the
+    delimiters to ``[]``. We strip the trailing delimiter run and split the
     rest.
     """
     c = _c(col)
-    stripped = F.regexp_replace(c, f"(?:{pattern})+\\z", "")
+    stripped = _strip_trailing(c, pattern)
     return (
         F.when(c == "", F.array(F.lit("")))
         .when(stripped == "", F.array().cast("array<string>"))
@@ -46,11 +61,13 @@ def text_lines(df: DataFrame, text_col: str, *, line_col: str = "line",
 
     Lines end at ``\\n`` with an optional ``\\r`` before it; a final line
     terminator does not open an empty last line; an empty text has no lines.
+    Only literal (non-regex) string operations are used: ``\\r\\n`` is
+    folded to ``\\n`` and the split on a single literal character takes
+    Java's non-regex fast path.
     """
-    c = F.col(text_col)
-    body = F.regexp_replace(c, r"\r?\n\z", "")
-    parts = F.when(c == "", F.array().cast("array<string>")).otherwise(
-        F.split(body, r"\r?\n", -1))
+    c = F.replace(F.col(text_col), F.lit("\r\n"), F.lit("\n"))
+    body = F.when(F.endswith(c, F.lit("\n")), c.substr(F.lit(1), F.length(c) - 1)).otherwise(c)
+    parts = F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(body, "\n", -1))
     return df.select(
         *[x for x in df.columns if x != text_col],
         F.posexplode(parts).alias(pos_col, line_col),

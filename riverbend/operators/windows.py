@@ -30,6 +30,16 @@ def tumbling_bounds(ts: str | Column, size_us: int) -> tuple[Column, Column]:
     return micros_to_ts(start), micros_to_ts(start + F.lit(size_us))
 
 
+def add_tumbling_window(df: DataFrame, ts: str, size_s: float) -> DataFrame:
+    """Attach ``window_start, window_end`` of the tumbling window of ``ts``.
+
+    Useful before a fan-out (e.g. tokenizing a document): the window is then
+    computed once per input row instead of once per output row.
+    """
+    start, end = tumbling_bounds(ts, int(size_s * US))
+    return df.withColumn("window_start", start).withColumn("window_end", end)
+
+
 def grouped_sum(df: DataFrame, keys: list[str], value: str | None = None,
                 alias: str = "count") -> DataFrame:
     """A1: ``groupBy(keys).sum(value)`` (or a count when ``value`` is None).

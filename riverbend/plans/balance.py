@@ -1,0 +1,23 @@
+"""Spread CPU-heavy row work over the cluster when the scan cannot.
+
+A parquet file is split by row group; a table written as one row group is
+read by one task, and a regex tokenizer over it then runs on one core while
+the rest idle. When (and only when) the scan yields fewer partitions than
+the cluster runs in parallel, the rows are hash-partitioned by a key before
+the expensive fan-out. On a large input the scan already has thousands of
+splits and this is a no-op, so no shuffle of the raw input is added at scale.
+Hash (not round-robin) partitioning keeps the placement deterministic when a
+lost task is recomputed.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_for_cpu(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)

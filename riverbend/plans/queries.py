@@ -32,9 +32,10 @@ from ..operators.lookup import latest_rule_asof, mask_messages, with_cached_text
 from ..operators.routing import connect_flat, even_odd_selector, select_tags, side_output, tag_rows
 from ..operators.topn import hot_items as top_items
 from ..operators.triggers import count_trigger, delta_trigger_max, purging_count_trigger
-from ..operators.windows import (US, grouped_sum, running_per_key, session_windows,
-                                 sliding_counts, tumbling_sum, window_summary)
+from ..operators.windows import (US, add_tumbling_window, grouped_sum, running_per_key,
+                                 session_windows, sliding_counts, window_summary)
 from ..sources.files import CAR_FIELDS
+from .balance import spread_for_cpu
 from ..sources.tables import load
 
 # Fixed parameters of the reference jobs, and the stand-ins chosen for the
@@ -64,9 +65,14 @@ def _ingest_ts(doc_id: str = "doc_id"):
                                + F.col(doc_id)).cast("timestamp_ntz")
 
 
+def _documents(spark, sf):
+    """``doc_id, text`` spread over the cores before tokenizing (see
+    ``plans.balance``)."""
+    return spread_for_cpu(load(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+
+
 def _doc_lines(spark, sf):
-    docs = load(spark, sf, "documents").select("doc_id", "text")
-    return text_lines(docs, "text")
+    return text_lines(_documents(spark, sf), "text")
 
 
 def _arrival():
@@ -107,21 +113,25 @@ def epoch_seconds(spark, sf):
 # --- word counts, tokenizers, side output (P1-P4 P6 P11 A1 W1 W2) --------
 
 def word_count(spark, sf):
-    docs = load(spark, sf, "documents").select("text")
+    docs = _documents(spark, sf).select("text")
     return grouped_sum(tokenize(docs, "text", NON_WORD, lower=True, drop_empty=True),
                        ["word"], alias="count")
 
 
 def _side_tokens(spark, sf):
-    docs = load(spark, sf, "documents").select("doc_id", "text")
-    toks = tokenize(docs, "text", NON_WORD, lower=True, keep=["doc_id"])
+    docs = _documents(spark, sf)
+    # Ingestion-time window per document, before the token fan-out.
+    docs = add_tumbling_window(docs.withColumn("ingest_ts", _ingest_ts()), "ingest_ts",
+                               SIDE_WINDOW_S)
+    # Empty tokens reach neither output, so the plain split is enough.
+    toks = tokenize(docs, "text", NON_WORD, lower=True, drop_empty=True,
+                    keep=["doc_id", "window_start", "window_end"])
     return side_output(toks, "word", SIDE_MAX_LEN)
 
 
 def side_output_main(spark, sf):
     main, _ = _side_tokens(spark, sf)
-    return tumbling_sum(main.withColumn("ingest_ts", _ingest_ts()), ["word"], "ingest_ts",
-                        SIDE_WINDOW_S, alias="count")
+    return grouped_sum(main, ["word", "window_start", "window_end"], alias="count")
 
 
 def side_output_rejected(spark, sf):
@@ -140,9 +150,12 @@ def tokens_ws_single(spark, sf):
 
 
 def tumbling_word_count(spark, sf):
-    toks = tokenize(_doc_lines(spark, sf), "line", WHITESPACE_ONE, keep=["doc_id"])
-    return tumbling_sum(toks.withColumn("ingest_ts", _ingest_ts()), ["word"], "ingest_ts",
-                        WORD_WINDOW_S, alias="count")
+    docs = _documents(spark, sf)
+    docs = add_tumbling_window(docs.withColumn("ingest_ts", _ingest_ts()), "ingest_ts",
+                               WORD_WINDOW_S)
+    lines = text_lines(docs.drop("ingest_ts"), "text")
+    toks = tokenize(lines, "line", WHITESPACE_ONE, keep=["window_start", "window_end"])
+    return grouped_sum(toks, ["word", "window_start", "window_end"], alias="count")
 
 
 # --- split / select, connect, cached file, tuple text (P8-P10 J1 J3 S5) --
