@@ -38,8 +38,13 @@ def latest_rule_asof(messages: DataFrame, rules: DataFrame, ts: str, rule_col: s
     w = (Window.partitionBy(CHUNK).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     scanned = split.df.withColumn("_local", F.last(rule_col, ignorenulls=True).over(w))
-    summary = (split.df.where(F.col("_kind") == 0).groupBy(CHUNK)
-               .agg(F.max_by(rule_col, F.struct(*order)).alias("_last_rule")))
+    # One summary row for *every* chunk (a chunk without rules must still
+    # receive the carry from earlier chunks); message rows have a null
+    # ordering, which max_by skips.
+    is_rule = F.col("_kind") == 0
+    summary = (split.df.groupBy(CHUNK)
+               .agg(F.max_by(F.when(is_rule, F.col(rule_col)),
+                             F.when(is_rule, F.struct(*order))).alias("_last_rule")))
     prefix = chunk_prefix(split, summary, {"_carry": F.last("_last_rule", ignorenulls=True)})
     out = attach_prefix(scanned, split, prefix, ["_carry"])
     chosen = F.coalesce(F.col("_local"), F.col("_carry").cast("string"),

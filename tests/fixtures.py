@@ -1,0 +1,78 @@
+"""Inline samples of the reference jobs, used as golden inputs.
+
+Fixed values: these must equal the reference's samples exactly (text,
+order and all), so they are stated verbatim.
+"""
+
+WORDS = [
+    "To be, or not to be,--that is the question:--",
+    "Whether 'tis nobler in the mind to suffer",
+    "The slings and arrows of outrageous fortune",
+    "Or to take arms against a sea of troubles,",
+    "And by opposing end them?--To die,--to sleep,--",
+    "No more; and by a sleep to say we end",
+    "The heartache, and the thousand natural shocks",
+    "That flesh is heir to,--'tis a consummation",
+    "Devoutly to be wish'd. To die,--to sleep;--",
+    "To sleep! perchance to dream:--ay, there's the rub;",
+    "For in that sleep of death what dreams may come,",
+    "When we have shuffled off this mortal coil,",
+    "Must give us pause: there's the respect",
+    "That makes calamity of so long life;",
+    "For who would bear the whips and scorns of time,",
+    "The oppressor's wrong, the proud man's contumely,",
+    "The pangs of despis'd love, the law's delay,",
+    "The insolence of office, and the spurns",
+    "That patient merit of the unworthy takes,",
+    "When he himself might his quietus make",
+    "With a bare bodkin? who would these fardels bear,",
+    "To grunt and sweat under a weary life,",
+    "But that the dread of something after death,--",
+    "The undiscover'd country, from whose bourn",
+    "No traveller returns,--puzzles the will,",
+    "And makes us rather bear those ills we have",
+    "Than fly to others that we know not of?",
+    "Thus conscience does make cowards of us all;",
+    "And thus the native hue of resolution",
+    "Is sicklied o'er with the pale cast of thought;",
+    "And enterprises of great pith and moment,",
+    "With this regard, their currents turn awry,",
+    "And lose the name of action.--Soft you now!",
+    "The fair Ophelia!--Nymph, in thy orisons",
+    "Be all my sins remember'd.",
+]
+
+CONNECT_WORDS = [
+    "And thus the native hue of resolution",
+    "Is sicklied o'er with the pale cast of thought;",
+    "And enterprises of great pith and moment,",
+    "With this regard, their currents turn awry,",
+    "And lose the name of action.--Soft you now!",
+    "The fair Ophelia!--Nymph, in thy orisons",
+    "Be all my sins remember'd.",
+]
+
+# (key, ts) in epoch ms, in arrival order.
+OUT_OF_ORDER = [
+    ("Flink", 1000), ("php", 3000), ("Flink", 9000), ("Hadoop", 6000), ("Flink", 12000),
+    ("Python", 15000), ("Flink", 8000), ("Scala", 5000), ("Flink", 20000), ("Spark", 21000),
+    ("Flink", 7000),
+]
+
+# (key, ts ms, value) in arrival order.
+SESSION_EVENTS = [
+    ("a", 1, 1), ("b", 1, 1), ("b", 3, 1), ("b", 5, 1), ("c", 6, 1), ("a", 10, 1), ("c", 11, 1),
+]
+
+MESSAGES = [
+    "java代码量太大",
+    "python代码量少，易学习",
+    "php是web开发语言",
+    "scala流式处理语言，主要应用于大数据开发场景",
+    "go是一种静态强类型、编译型、并发型，并具有垃圾回收功能的编程语言",
+]
+KEYWORDS = ["java", "python", "scala"]
+INITIAL_KEYWORD = "java"
+
+CACHE_TEXT = "Hello, Flink"
+CACHE_ROWS = ["a", "b", "c", "d"]

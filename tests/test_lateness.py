@@ -1,0 +1,57 @@
+from pyspark.sql import functions as F
+
+from conftest import SF_MID, rows
+from fixtures import OUT_OF_ORDER
+from riverbend.operators.lateness import final_window_summary, lateness_firings, lateness_status
+from riverbend.sources.tables import load
+
+S = 1_000_000
+
+
+def _ooo(spark):
+    df = spark.createDataFrame([(k, ms, i) for i, (k, ms) in enumerate(OUT_OF_ORDER)],
+                               "key string, ts_ms long, arrival long")
+    return df.withColumn("ts", F.timestamp_millis("ts_ms").cast("timestamp_ntz"))
+
+
+def _ms(ts):
+    return int(ts.timestamp() * 1000)
+
+
+def test_out_of_order_status_golden(spark):
+    st = lateness_status(_ooo(spark), "ts", "arrival", "arrival", 10 * S, 5 * S, 5 * S)
+    got = {(r["key"], r["ts_ms"]): r["status"] for r in st.collect()}
+    assert got[("Flink", 8000)] == "late" and got[("Scala", 5000)] == "late"
+    assert got[("Flink", 7000)] == "dropped"
+    assert sum(v == "on_time" for v in got.values()) == 8
+
+
+def test_out_of_order_firings_golden(spark):
+    st = lateness_status(_ooo(spark), "ts", "arrival", "arrival", 10 * S, 5 * S, 5 * S)
+    fires = lateness_firings(st, "key", "ts", "arrival", "arrival")
+    got = sorted((r["kind"], r["key"], _ms(r["window_start"]), r["n"], _ms(r["first_ts"]),
+                  _ms(r["last_ts"])) for r in fires.collect())
+    assert got == sorted([
+        ("on_time", "Flink", 0, 2, 1000, 9000), ("on_time", "php", 0, 1, 3000, 3000),
+        ("on_time", "Hadoop", 0, 1, 6000, 6000), ("late", "Flink", 0, 3, 1000, 9000),
+        ("late", "Scala", 0, 1, 5000, 5000), ("on_time", "Flink", 10000, 1, 12000, 12000),
+        ("on_time", "Python", 10000, 1, 15000, 15000),
+        ("on_time", "Flink", 20000, 1, 20000, 20000),
+        ("on_time", "Spark", 20000, 1, 21000, 21000)])
+
+
+def test_summary_line_format(spark):
+    st = lateness_status(_ooo(spark), "ts", "arrival", "arrival", 10 * S, 5 * S, 5 * S)
+    lines = {r["line"] for r in final_window_summary(st, "key", "ts").collect()}
+    assert ("Flink,3,1970-01-01 00:00:01.000,1970-01-01 00:00:09.000,"
+            "1970-01-01 00:00:00.000,1970-01-01 00:00:10.000") in lines
+
+
+def test_status_split_equals_single_pass_and_partitions_input(spark):
+    ev = load(spark, SF_MID, "events").select("event_id", "ts") \
+        .withColumn("arrival", F.col("event_id") + (F.col("event_id") * 7919) % 50)
+    args = ("ts", "arrival", "event_id", 3600 * S, 7200 * S, 3600 * S)
+    whole = rows(lateness_status(ev, *args, rows_per_chunk=10**9), "event_id", "status")
+    split = rows(lateness_status(ev, *args, rows_per_chunk=333), "event_id", "status")
+    assert whole == split and len(whole) == ev.count()
+    assert {s for _, s in whole} == {"on_time", "late", "dropped"}
