@@ -17,8 +17,12 @@ def top_n_per_group(df: DataFrame, group: list[str], order: list[Column], n: int
     that holds most of the data.
     """
     w = Window.partitionBy(*group).orderBy(*order)
-    return (df.withColumn(rank_col, (F.row_number().over(w) - 1).cast("int"))
-            .where(F.col(rank_col) < n))
+    # The filter must sit directly on row_number() for Catalyst to infer the
+    # WindowGroupLimit; the 0-based rank is derived afterwards.
+    return (df.withColumn("_rn", F.row_number().over(w))
+            .where(F.col("_rn") <= n)
+            .withColumn(rank_col, (F.col("_rn") - 1).cast("int"))
+            .drop("_rn"))
 
 
 def hot_items(counts: DataFrame, n: int = 3, item: str = "item_id",

@@ -108,23 +108,37 @@ def split_hot_keys(df: DataFrame, keys: list[str], order: str | Column,
              .agg(F.array_distinct(F.percentile_approx(order_c, probs, accuracy))
                   .alias(BOUNDS))).persist()
     heavy_rows = n_heavy * grid
-    tagged = _tag(df, keys, order_c, heavy, heavy_rows)
+    tagged = _tag(df, keys, order_c, heavy, heavy_rows, grid)
     return KeySplit(tagged, keys, heavy, heavy_rows, heavy_keys)
 
 
+def _count_below(df: DataFrame, bounds: str, order_c: Column, out: str, max_len: int) -> DataFrame:
+    """``out`` = number of elements of the ascending array ``bounds`` that
+    are ``< order``: a branch-free binary search in ``log2(max_len)`` steps of
+    ``element_at`` + ``CASE``, each a separate (codegen'd) projection, so the
+    per-row cost is logarithmic in the chunk count."""
+    n = F.size(bounds)
+    df = df.withColumn(out, F.lit(0))
+    for k in reversed(range(max(1, max_len.bit_length()))):
+        cand = F.col(out) + F.lit(1 << k)
+        df = df.withColumn(out, F.when((cand <= n) & (F.element_at(bounds, cand) < order_c),
+                                       cand).otherwise(F.col(out)))
+    return df
+
+
 def _tag(df: DataFrame, keys: list[str], order_c: Column, heavy: DataFrame,
-         heavy_rows: int) -> DataFrame:
+         heavy_rows: int, grid: int) -> DataFrame:
     # Chunk = number of boundaries strictly below the row's order value:
     # monotone in the order, so chunks are contiguous runs of it.
-    chunk = F.size(F.filter(F.col(BOUNDS), lambda b: b < order_c))
     if keys:
         joined = df.join(checked_broadcast(heavy, heavy_rows), keys, "left")
     else:
         # One global key: the boundary table is a single row, attached as a
         # scalar subquery rather than a join.
         joined = df.withColumn(BOUNDS, heavy.select(BOUNDS).scalar())
-    return (joined.withColumn(CHUNK, F.when(F.col(BOUNDS).isNull(), F.lit(0))
-                              .otherwise(chunk))
+    tagged = _count_below(joined, BOUNDS, order_c, CHUNK, grid)
+    return (tagged.withColumn(CHUNK, F.when(F.col(BOUNDS).isNull(), F.lit(0))
+                              .otherwise(F.col(CHUNK)))
             .drop(BOUNDS))
 
 
