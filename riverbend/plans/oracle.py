@@ -221,3 +221,32 @@ asof left join (select ts, json_extract_string(props, '$.k') as kw
                 from events where event_type = 'signup') r
 on l.ts >= r.ts""",
 }
+
+
+# Streaming twins: the batch SQL of the same operator.
+ORACLE["stream_window_counts"] = """
+select event_type, time_bucket(interval '10 minutes', ts) as window_start,
+       time_bucket(interval '10 minutes', ts) + interval '10 minutes' as window_end,
+       count(*) as count
+from events group by all"""
+ORACLE["stream_hot_items"] = ORACLE["hot_items"]
+ORACLE["stream_sessions"] = ORACLE["session_sum"]
+ORACLE["stream_count_trigger"] = """
+with r as (
+  select event_type, event_id,
+         row_number() over w as rn,
+         sum(cast(value as decimal(18,2))) over w as run
+  from events
+  window w as (partition by event_type order by ts, event_id
+               rows between unbounded preceding and current row))
+select event_type, rn as n, cast(run as double) as total, event_id as fired_at
+from r where rn % 2 = 0"""
+ORACLE["stream_count_trigger_purged"] = """
+with r as (
+  select event_type, event_id, value,
+         row_number() over (partition by event_type order by ts, event_id) as rn
+  from events)
+select event_type, count(*) as n, cast(sum(cast(value as decimal(18,2))) as double) as total,
+       arg_max(event_id, rn) as fired_at
+from r group by event_type, (rn - 1) // 2 having count(*) = 2"""
+ORACLE["stream_keyword_mask"] = ORACLE["keyword_mask"]
