@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from ..functions.time import MILLIS_PATTERN, epoch_micros
 from ..plans.skew import CHUNK, attach_prefix, chunk_prefix, split_hot_keys
-from .windows import micros_to_ts
+from ..session import ensure_checkpoint_dir
+from .windows import micros_to_ts, running_aggs
 
 ON_TIME, LATE, DROPPED = "on_time", "late", "dropped"
 
@@ -58,7 +59,7 @@ def lateness_status(df: DataFrame, ts: str, arrival: str, tiebreak: str,
 
 
 def lateness_firings(status_rows: DataFrame, key: str, ts: str, arrival: str,
-                     tiebreak: str) -> DataFrame:
+                     tiebreak: str, rows_per_chunk: int | None = None) -> DataFrame:
     """L4 firing history per ``(key, window)``.
 
     One ``on_time`` firing with the on-time rows (when the watermark passes
@@ -73,11 +74,17 @@ def lateness_firings(status_rows: DataFrame, key: str, ts: str, arrival: str,
     on = (kept.where(F.col("status") == ON_TIME).groupBy(*wkey)
           .agg(F.count(F.lit(1)).alias("_on_n"), F.min(ts).alias("_on_min"),
                F.max(ts).alias("_on_max")))
-    wl = (Window.partitionBy(*wkey).orderBy(arrival, tiebreak)
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    late = (kept.where(F.col("status") == LATE)
-            .select(*wkey, F.count(F.lit(1)).over(wl).alias("_ln"),
-                    F.min(ts).over(wl).alias("_lmin"), F.max(ts).over(wl).alias("_lmax")))
+    # Running content of the late rows per window, in arrival order; a hot
+    # (key, window) is split into arrival chunks like any ordered scan. Late
+    # rows are a small subset: checkpoint them (shared checkpoint folder) so
+    # the split's passes read them instead of re-running the replay.
+    ensure_checkpoint_dir(status_rows.sparkSession)
+    late_rows = kept.where(F.col("status") == LATE).select(*wkey, ts, arrival, tiebreak) \
+        .checkpoint(eager=True)
+    late = running_aggs(
+        late_rows, wkey, arrival, [tiebreak],
+        {"_ln": (ts, "count"), "_lmin": (ts, "min"), "_lmax": (ts, "max")},
+        rows_per_chunk).select(*wkey, "_ln", "_lmin", "_lmax")
     late_fires = (late.join(on, wkey, "left")
                   .select(*wkey, F.lit(LATE).alias("kind"), F.col("_ln").alias("fire_no"),
                           (F.coalesce("_on_n", F.lit(0)) + F.col("_ln")).alias("n"),

@@ -156,22 +156,51 @@ def session_windows(df: DataFrame, key: str, ts: str, gap_us: int,
     return out
 
 
+# How a running aggregate is computed inside a chunk and carried across.
+_PREFIX_COMBINE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+_LOCAL = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
+
+
+def running_aggs(df: DataFrame, keys: list[str], order: str, tiebreak: list[str],
+                 aggs: dict[str, tuple[str, str]],
+                 rows_per_chunk: int | None = None) -> DataFrame:
+    """Running aggregates per key in ``(order, *tiebreak)`` order, exact and
+    hot-key safe.
+
+    ``aggs`` maps an output column to ``(input column, kind)`` with kind in
+    count/sum/min/max; each output is the aggregate over the key's rows up
+    to and including the current one. Heavy keys are cut into order chunks
+    (``plans.skew``); each chunk's total is carried into later chunks.
+    """
+    split = split_hot_keys(df, keys, order, rows_per_chunk)
+    w = (Window.partitionBy(*keys, CHUNK).orderBy(order, *tiebreak)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = split.df
+    for name, (col, kind) in aggs.items():
+        local = local.withColumn(f"_l_{name}", _LOCAL[kind](F.col(col)).over(w))
+    summary = split.df.groupBy(*keys, CHUNK).agg(
+        *[_LOCAL[kind](F.col(col)).alias(f"_c_{name}") for name, (col, kind) in aggs.items()])
+    prefix = chunk_prefix(split, summary, {
+        f"_p_{name}": _PREFIX_COMBINE[kind](f"_c_{name}") for name, (_, kind) in aggs.items()})
+    out = attach_prefix(local, split, prefix, [f"_p_{name}" for name in aggs])
+    for name, (_, kind) in aggs.items():
+        a, b = F.col(f"_l_{name}"), F.col(f"_p_{name}")
+        if kind in ("count", "sum"):
+            merged = a + F.coalesce(b.cast(local.schema[f"_l_{name}"].dataType), F.lit(0))
+        elif kind == "min":
+            merged = F.least(a, b)
+        else:
+            merged = F.greatest(a, b)
+        out = out.withColumn(name, merged)
+    return out.drop(*[f"_l_{n}" for n in aggs], *[f"_p_{n}" for n in aggs], CHUNK)
+
+
 def running_per_key(df: DataFrame, key: list[str], order: str, tiebreak: list[str],
                     value: str | None = None, rows_per_chunk: int | None = None) -> DataFrame:
     """Running count (``_rn``) and running decimal sum (``_run``) per key in
     ``(order, *tiebreak)`` order, exact and hot-key safe (chunked prefix)."""
     v = (F.col(value).cast("decimal(18,2)") if value else F.lit(None).cast("decimal(18,2)"))
-    base = df.withColumn("_v", v)
-    split = split_hot_keys(base, key, order, rows_per_chunk)
-    w = (Window.partitionBy(*key, CHUNK).orderBy(order, *tiebreak)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = (split.df.withColumn("_lrn", F.count(F.lit(1)).over(w))
-             .withColumn("_lrun", F.sum("_v").over(w)))
-    summary = split.df.groupBy(*key, CHUNK).agg(F.count(F.lit(1)).alias("_cn"),
-                                                 F.sum("_v").alias("_cs"))
-    prefix = chunk_prefix(split, summary, {"_pn": F.sum("_cn"), "_ps": F.sum("_cs")})
-    out = attach_prefix(local, split, prefix, ["_pn", "_ps"])
-    return (out.withColumn("_rn", F.col("_lrn") + F.coalesce(F.col("_pn"), F.lit(0)))
-            .withColumn("_run", F.col("_lrun") + F.coalesce(
-                F.col("_ps"), F.lit(0).cast("decimal(18,2)")))
-            .drop("_lrn", "_lrun", "_pn", "_ps", "_v"))
+    out = running_aggs(df.withColumn("_v", v), key, order, tiebreak,
+                       {"_rn": ("_v", "count") if value else (order, "count"),
+                        "_run": ("_v", "sum")}, rows_per_chunk)
+    return out.drop("_v")

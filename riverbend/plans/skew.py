@@ -27,10 +27,14 @@ CHUNK = "_chunk"
 BOUNDS = "_bounds"
 
 ROWS_PER_CHUNK_CONF = "riverbend.scan.rowsPerChunk"
+MIN_ROWS_PER_CHUNK_CONF = "riverbend.scan.minRowsPerChunk"
 MAX_CHUNKS_CONF = "riverbend.scan.maxChunks"
 BROADCAST_ROWS_CONF = "riverbend.broadcast.maxRows"
 
 DEFAULT_MAX_CHUNKS = 4096
+# Below this many rows a key is never split: one task scans it in well under
+# a second, and the split's extra passes would cost more than they save.
+DEFAULT_MIN_ROWS_PER_CHUNK = 100_000
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
@@ -75,7 +79,9 @@ def split_hot_keys(df: DataFrame, keys: list[str], order: str | Column,
     ``order`` must be numeric or a timestamp; rows with equal ``order`` land
     in the same chunk, so any finer tie-break order stays chunk-local.
     The heavy threshold defaults to total rows / shuffle partitions (a key
-    above it would dominate a task); ``riverbend.scan.rowsPerChunk`` fixes it.
+    above it would dominate a task), but never below
+    ``riverbend.scan.minRowsPerChunk``; an explicit ``rows_per_chunk`` (or
+    ``riverbend.scan.rowsPerChunk``) is used as given.
     """
     spark = df.sparkSession
     order_c = F.col(order) if isinstance(order, str) else order
@@ -89,7 +95,8 @@ def split_hot_keys(df: DataFrame, keys: list[str], order: str | Column,
         rows_per_chunk = _conf_int(spark, ROWS_PER_CHUNK_CONF, None)
     if rows_per_chunk is None:
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        rows_per_chunk = max(1, math.ceil(total / max(parts, 1)))
+        floor = _conf_int(spark, MIN_ROWS_PER_CHUNK_CONF, DEFAULT_MIN_ROWS_PER_CHUNK)
+        rows_per_chunk = max(1, floor, math.ceil(total / max(parts, 1)))
     if top <= rows_per_chunk:
         counts.unpersist()
         return KeySplit(df.withColumn(CHUNK, F.lit(0)), keys, None, 0)

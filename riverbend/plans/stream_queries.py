@@ -29,12 +29,29 @@ def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
     return stream_folder(spark, root, ev.schema)
 
 
+def _start(spark: SparkSession, writer):
+    """Start a new stream with its state partitions sized to the cluster.
+
+    A fresh checkpoint fixes the state-store partition count at the current
+    ``spark.sql.shuffle.partitions``; every micro-batch then commits that
+    many stores. Cap it at twice the cluster's cores (a no-op on a large
+    cluster) and restore the session setting once the query has started.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        return writer.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(key, before)
+
+
 def _to_files(spark: SparkSession, sdf: DataFrame, name: str) -> DataFrame:
     run = f"{name}-{uuid.uuid4().hex[:8]}"
     out = checkpoint_path(spark, f"sinks/{run}")
-    q = (sdf.writeStream.format("parquet").outputMode("append")
-         .option("path", out).option("checkpointLocation", checkpoint_path(spark, f"ckpt/{run}"))
-         .trigger(availableNow=True).start())
+    q = _start(spark, sdf.writeStream.format("parquet").outputMode("append")
+               .option("path", out)
+               .option("checkpointLocation", checkpoint_path(spark, f"ckpt/{run}")))
     q.awaitTermination()
     return spark.read.parquet(out)
 
@@ -42,9 +59,8 @@ def _to_files(spark: SparkSession, sdf: DataFrame, name: str) -> DataFrame:
 def _foreach(spark: SparkSession, sdf: DataFrame, name: str, make_sink) -> DataFrame:
     run = f"{name}-{uuid.uuid4().hex[:8]}"
     out = checkpoint_path(spark, f"sinks/{run}")
-    q = (sdf.writeStream.foreachBatch(make_sink(out)).outputMode("append")
-         .option("checkpointLocation", checkpoint_path(spark, f"ckpt/{run}"))
-         .trigger(availableNow=True).start())
+    q = _start(spark, sdf.writeStream.foreachBatch(make_sink(out)).outputMode("append")
+               .option("checkpointLocation", checkpoint_path(spark, f"ckpt/{run}")))
     q.awaitTermination()
     return spark.read.parquet(out)
 

@@ -55,3 +55,13 @@ def test_status_split_equals_single_pass_and_partitions_input(spark):
     split = rows(lateness_status(ev, *args, rows_per_chunk=333), "event_id", "status")
     assert whole == split and len(whole) == ev.count()
     assert {s for _, s in whole} == {"on_time", "late", "dropped"}
+
+
+def test_firings_split_equals_single_pass(spark):
+    ev = load(spark, SF_MID, "events").select("event_id", "event_type", "ts") \
+        .withColumn("arrival", F.col("event_id") + (F.col("event_id") * 7919) % 50)
+    st = lateness_status(ev, "ts", "arrival", "event_id", 3600 * S, 60 * S, 24 * 3600 * S)
+    cols = ("event_type", "window_start", "kind", "fire_no", "n", "first_ts", "last_ts")
+    whole = rows(lateness_firings(st, "event_type", "ts", "arrival", "event_id", 10**9), *cols)
+    split = rows(lateness_firings(st, "event_type", "ts", "arrival", "event_id", 3), *cols)
+    assert whole == split and any(r[2] == "late" for r in whole)
