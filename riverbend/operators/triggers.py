@@ -15,10 +15,13 @@ batch these become ordered scans per key:
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import epoch_micros
+from ..plans.skew import (BOUNDS, CHUNK, attach_prefix, checked_broadcast, chunk_prefix,
+                          count_below, split_hot_keys)
 from .windows import running_per_key
 
 
@@ -60,54 +63,157 @@ def purging_count_trigger(df: DataFrame, key: str, order: str, seq: str, value:
             .where(F.col("n") == every))
 
 
-def _delta_fold(key: str, seq: str, threshold_units: int):
-    """Per-partition fold for the delta trigger (Arrow batches in, firing
-    rows out). Rows arrive sorted by (key, time, seq); the only state is the
-    current key and the baseline of its last firing, carried across batches,
-    so memory is constant whatever a key's size."""
+def _chain_end(d: np.ndarray, start: int, base: int, thr: int) -> tuple[list[int], int]:
+    """Firings of one delta chain over the sorted array ``d`` from index
+    ``start`` with baseline ``base``; returns (firing indices, final base)."""
+    fired = []
+    if len(d) == 0 or start >= len(d):
+        return fired, base
+    if np.all(d[start + 1:] >= d[start:-1]):
+        # Monotone measure: jump straight to each next firing.
+        lo = start
+        while lo < len(d):
+            j = lo + int(np.searchsorted(d[lo:], base + thr, side="right"))
+            if j >= len(d):
+                break
+            fired.append(j)
+            base = int(d[j])
+            lo = j + 1
+    else:
+        for j in range(start, len(d)):
+            if d[j] - base > thr:
+                fired.append(j)
+                base = int(d[j])
+    return fired, base
+
+
+def _groups(batches, group_cols: list[str]):
+    """Regroup sorted Arrow batches into whole groups (one pandas frame per
+    group of ``group_cols``). Rows arrive sorted by the group columns, so a
+    group is complete as soon as a different key appears."""
+    pending = []
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        keys = pdf[group_cols].to_numpy()
+        change = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        cuts = np.r_[0, change, len(pdf)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            part = pdf.iloc[a:b]
+            if pending and tuple(pending[-1][group_cols].iloc[0]) != tuple(part[group_cols].iloc[0]):
+                yield pd.concat(pending)
+                pending = []
+            pending.append(part)
+    if pending:
+        yield pd.concat(pending)
+
+
+def _fire_fold(group_cols: list[str], thr: int, seeded: bool):
+    """Fold each (key[, chunk]) group in sorted order: without a seed the
+    first row sets the baseline and cannot fire; with a seed (``_seed``)
+    every row may fire. Streams over Arrow batches carrying only the current
+    group and its baseline, so memory stays constant whatever a group's size."""
 
     def fold(batches):
-        cur_key, base = None, None
+        cur, base = None, None
         for pdf in batches:
             if pdf.empty:
                 continue
-            keys = pdf[key].to_numpy()
-            dist = pdf["_dist_units"].to_numpy(dtype=np.int64)
+            gk = pdf[group_cols].to_numpy()
+            d = pdf["_d"].to_numpy(dtype=np.int64)
+            seeds = pdf["_seed"].to_numpy() if seeded else None
             fired = np.zeros(len(pdf), dtype=bool)
-            cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-            for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(pdf)]):
+            change = np.flatnonzero((gk[1:] != gk[:-1]).any(axis=1)) + 1
+            for a, b in zip(np.r_[0, change], np.r_[change, len(pdf)]):
                 i = a
-                if cur_key is None or keys[a] != cur_key:
-                    cur_key, base, i = keys[a], int(dist[a]), a + 1
-                seg = dist[i:b]
-                if len(seg) == 0:
-                    continue
-                if np.all(seg[1:] >= seg[:-1]):
-                    # Monotone measure: jump straight to the next firing.
-                    lo = 0
-                    while lo < len(seg):
-                        j = lo + int(np.searchsorted(seg[lo:], base + threshold_units,
-                                                     side="right"))
-                        if j >= len(seg):
-                            break
-                        fired[i + j] = True
-                        base = int(seg[j])
-                        lo = j + 1
-                else:
-                    for j, d in enumerate(seg):
-                        if d - base > threshold_units:
-                            fired[i + j] = True
-                            base = int(d)
-            out = pdf.loc[fired].drop(columns=["_dist_units"])
+                if cur != tuple(gk[a]):
+                    cur = tuple(gk[a])
+                    seed = seeds[a] if seeded else None
+                    if seed is None or pd.isna(seed):
+                        base, i = int(d[a]), a + 1
+                    else:
+                        base = int(seed)
+                idx, base = _chain_end(d[i:b], 0, base, thr)
+                fired[np.asarray(idx, dtype=np.int64) + i] = True
+            out = pdf.loc[fired].drop(columns=["_d"] + (["_seed"] if seeded else []))
             if not out.empty:
                 yield out
 
     return fold
 
 
+def _candidate_fold(key: str, thr: int):
+    """Phase 1 of the parallel delta trigger, per chunk of a heavy key.
+
+    Chunk 0 starts from the key's first row: emit its exit baseline. A later
+    chunk is entered with an unknown baseline ``B`` in
+    ``[dprev - thr, dprev]`` (``dprev`` = last distance before the chunk), so
+    its first firing is one of the rows up to the first with
+    ``d > dprev + thr``. Walk the chains from all those candidates at once
+    and emit, per run of candidates sharing an exit, the run's largest
+    candidate distance and the exit baseline.
+    """
+
+    def fold(batches):
+        for g in _groups(batches, [key, "_chunk"]):
+            d = g["_d"].to_numpy(dtype=np.int64)
+            k, c = g[key].iloc[0], int(g["_chunk"].iloc[0])
+            if len(d) > 1 and np.any(d[1:] < d[:-1]):
+                raise ValueError("delta trigger: distance decreases inside a key; "
+                                 "call with monotone=False")
+            dprev = g["_dprev"].iloc[0]
+            if pd.isna(dprev):
+                _, exit_base = _chain_end(d, 1, int(d[0]), thr)
+                yield pd.DataFrame({key: [k], "_chunk": [c], "_cand": [None], "_exit": [exit_base]})
+                continue
+            limit = int(np.searchsorted(d, int(dprev) + thr, side="right"))
+            cands = np.arange(0, min(limit + 1, len(d)))
+            cur = cands.copy()
+            exits = d[cur].copy()
+            active = np.ones(len(cur), dtype=bool)
+            while active.any():
+                idx = np.flatnonzero(active)
+                uniq, inv = np.unique(cur[idx], return_inverse=True)
+                nxt = np.searchsorted(d, d[uniq] + thr, side="right")[inv]
+                moving = nxt < len(d)
+                done = idx[~moving]
+                active[done] = False
+                go = idx[moving]
+                cur[go] = nxt[moving]
+                exits[go] = d[cur[go]]
+            # Exits are non-decreasing in the candidate: keep one row per run.
+            last_of_run = np.r_[exits[1:] != exits[:-1], True]
+            yield pd.DataFrame({key: k, "_chunk": c, "_cand": d[cands][last_of_run],
+                                "_exit": exits[last_of_run]})
+
+    return fold
+
+
+def _resolve_seeds(key: str, thr: int):
+    """Phase 2, per heavy key: walk the chunks in order carrying the
+    baseline; each chunk's seed is the baseline it is entered with."""
+
+    def resolve(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_chunk", "_cand"], na_position="first")
+        base, out = None, []
+        for c, runs in pdf.groupby("_chunk", sort=True):
+            if runs["_cand"].isna().all():
+                base = int(runs["_exit"].iloc[0])
+                continue
+            out.append((runs[key].iloc[0], c, base))
+            cand = runs["_cand"].to_numpy(dtype=np.int64)
+            i = int(np.searchsorted(cand, base + thr, side="right"))
+            if i < len(cand):
+                base = int(runs["_exit"].to_numpy(dtype=np.int64)[i])
+        return pd.DataFrame(out, columns=[key, "_chunk", "_seed"])
+
+    return resolve
+
+
 def delta_trigger_max(df: DataFrame, key: str, ts: str, seq: str, measure: str,
                       distance: str, threshold: float, evict_us: int,
-                      scale: int = 100) -> DataFrame:
+                      scale: int = 100, monotone: bool = False,
+                      rows_per_chunk: int | None = None) -> DataFrame:
     """W8 + A5: per key, fire whenever ``distance`` grew by more than
     ``threshold`` since the last firing row (the first row only sets the
     baseline); each firing emits the row with the largest ``measure`` among
@@ -117,29 +223,71 @@ def delta_trigger_max(df: DataFrame, key: str, ts: str, seq: str, measure: str,
     threshold test is exact. Output: ``key, seq`` (firing row), ``top`` and
     ``top_id`` (the max row's measure and ``seq``), ``top_ts``.
 
-    Plan: the evictor's frame max is a spillable range-frame window; the
-    trigger chain depends on the previous firing, so it is an ordered fold
-    per key (``mapInPandas`` over rows hash-partitioned by key and sorted).
+    Plan: the evictor's frame max is a range-frame window; the trigger chain
+    is an ordered fold (``mapInPandas`` over sorted partitions). With
+    ``monotone=True`` (distance never decreases within a key, e.g. an
+    odometer or a running sum of non-negative values) hot keys are split
+    into order chunks and processed in parallel: the frame uses halo copies
+    of the rows within ``evict`` of a chunk start, and the fold is seeded
+    per chunk with an entry baseline resolved from per-chunk candidate
+    chains. Without ``monotone`` each key is one ordered fold.
     """
-    us = epoch_micros(ts)
-    frame = (Window.partitionBy(key).orderBy("_us")
-             .rangeBetween(-(evict_us - 1), Window.currentRow))
-    best = F.max(F.struct(F.col(measure).alias("v"), (-F.col("_us")).alias("t"),
-                          (-F.col(seq)).alias("i"))).over(frame)
-    rows = (df.select(key, seq, us.alias("_us"), F.col(measure), F.col(distance))
-            .withColumn("_best", best)
-            .select(key, seq, "_us",
-                    (F.col(distance) * F.lit(scale)).cast("bigint").alias("_dist_units"),
-                    F.col("_best.v").cast("double").alias("top"),
-                    (-F.col("_best.i")).alias("top_id"),
-                    (-F.col("_best.t")).alias("_top_us")))
-    schema = (f"{key} {df.schema[key].dataType.simpleString()}, "
-              f"{seq} {df.schema[seq].dataType.simpleString()}, _us bigint, top double, "
-              f"top_id {df.schema[seq].dataType.simpleString()}, _top_us bigint")
-    # The frame window already hash-partitioned the rows by key; only the
-    # in-partition order has to be refined with ``seq``.
-    fired = (rows.sortWithinPartitions(key, "_us", seq)
-             .mapInPandas(_delta_fold(key, seq, int(round(threshold * scale))), schema))
+    thr = int(round(threshold * scale))
+    rows = df.select(key, seq, epoch_micros(ts).alias("_us"), F.col(measure).alias("_m"),
+                     (F.col(distance) * F.lit(scale)).cast("bigint").alias("_d"))
+    split = split_hot_keys(rows, [key], "_us", rows_per_chunk, keep_bounds=True) \
+        if monotone else None
+    key_t = df.schema[key].dataType.simpleString()
+    seq_t = df.schema[seq].dataType.simpleString()
+    out_schema = (f"{key} {key_t}, {seq} {seq_t}, _us bigint, top double, top_id {seq_t}, "
+                  f"_top_us bigint")
+    best = lambda w: F.max(F.struct(F.col("_m").alias("v"), (-F.col("_us")).alias("t"),
+                                    (-F.col(seq)).alias("i"))).over(w)
+
+    def finish(frame: DataFrame) -> DataFrame:
+        return frame.select(*[c for c in frame.columns if c not in ("_best", "_m")],
+                            F.col("_best.v").cast("double").alias("top"),
+                            (-F.col("_best.i")).alias("top_id"),
+                            (-F.col("_best.t")).alias("_top_us"))
+
+    if split is None or not split.split:
+        frame = finish(rows.withColumn("_best", best(
+            Window.partitionBy(key).orderBy("_us").rangeBetween(-(evict_us - 1), 0))))
+        # The frame window already hash-partitioned the rows by key; only
+        # the in-partition order has to be refined with ``seq``.
+        fired = (frame.sortWithinPartitions(key, "_us", seq)
+                 .mapInPandas(_fire_fold([key], thr, False), out_schema))
+    else:
+        tagged = split.df
+        # Halo: a row is also copied into every later chunk whose rows may
+        # still see it in their eviction frame.
+        reach = count_below(tagged, BOUNDS, F.col("_us") + F.lit(evict_us - 1), "_reach",
+                            split.grid)
+        reach = reach.withColumn("_reach", F.when(F.col(BOUNDS).isNull(), F.col(CHUNK))
+                                 .otherwise(F.col("_reach")))
+        copies = reach.drop(BOUNDS).withColumn("_copy", F.explode(F.sequence(CHUNK, "_reach")))
+        frame = finish(copies.withColumn("_best", best(
+            Window.partitionBy(key, "_copy").orderBy("_us").rangeBetween(-(evict_us - 1), 0)))
+            .where(F.col("_copy") == F.col(CHUNK)).drop("_copy", "_reach"))
+        # Phase 1: candidate runs per chunk of the heavy keys.
+        plain = tagged.drop(BOUNDS)
+        summary = plain.groupBy(key, CHUNK).agg(F.max("_d").alias("_cmax"))
+        prefix = chunk_prefix(split, summary, {"_dprev": F.max("_cmax")})
+        heavy_rows = attach_prefix(plain.join(F.broadcast(split.heavy_keys), [key], "left_semi"),
+                                   split, prefix, ["_dprev"])
+        runs = (heavy_rows.select(key, CHUNK, "_us", seq, "_d", "_dprev")
+                .repartition(key, CHUNK).sortWithinPartitions(key, CHUNK, "_us", seq)
+                .mapInPandas(_candidate_fold(key, thr),
+                             f"{key} {key_t}, _chunk int, _cand bigint, _exit bigint"))
+        # Phase 2: entry baseline of every later chunk (small, per heavy key).
+        seeds = runs.groupBy(key).applyInPandas(
+            _resolve_seeds(key, thr), f"{key} {key_t}, _chunk int, _seed bigint")
+        # Phase 3: the plain fold per chunk, seeded where a chunk is entered
+        # with a baseline from earlier chunks.
+        seeded = frame.join(checked_broadcast(seeds, split.heavy_rows), [key, CHUNK], "left")
+        fired = (seeded.select(key, CHUNK, seq, "_us", "_d", "top", "top_id", "_top_us", "_seed")
+                 .sortWithinPartitions(key, CHUNK, "_us", seq)
+                 .mapInPandas(_fire_fold([key, CHUNK], thr, True),
+                              out_schema.replace(f"{seq} {seq_t},", f"_chunk int, {seq} {seq_t},")))
     return fired.select(key, seq, "top", "top_id",
                         F.timestamp_micros("_top_us").cast("timestamp_ntz").alias("top_ts"))
-

@@ -51,6 +51,7 @@ class KeySplit:
     heavy: DataFrame | None
     heavy_rows: int
     heavy_keys: DataFrame | None = None
+    grid: int = 1
 
     @property
     def split(self) -> bool:
@@ -73,7 +74,7 @@ def checked_broadcast(df: DataFrame, rows: int) -> DataFrame:
 
 
 def split_hot_keys(df: DataFrame, keys: list[str], order: str | Column,
-                   rows_per_chunk: int | None = None) -> KeySplit:
+                   rows_per_chunk: int | None = None, keep_bounds: bool = False) -> KeySplit:
     """Tag rows with ``_chunk`` so that no ``(keys, _chunk)`` group is huge.
 
     ``order`` must be numeric or a timestamp; rows with equal ``order`` land
@@ -115,11 +116,11 @@ def split_hot_keys(df: DataFrame, keys: list[str], order: str | Column,
              .agg(F.array_distinct(F.percentile_approx(order_c, probs, accuracy))
                   .alias(BOUNDS))).persist()
     heavy_rows = n_heavy * grid
-    tagged = _tag(df, keys, order_c, heavy, heavy_rows, grid)
-    return KeySplit(tagged, keys, heavy, heavy_rows, heavy_keys)
+    tagged = _tag(df, keys, order_c, heavy, heavy_rows, grid, keep_bounds)
+    return KeySplit(tagged, keys, heavy, heavy_rows, heavy_keys, grid)
 
 
-def _count_below(df: DataFrame, bounds: str, order_c: Column, out: str, max_len: int) -> DataFrame:
+def count_below(df: DataFrame, bounds: str, order_c: Column, out: str, max_len: int) -> DataFrame:
     """``out`` = number of elements of the ascending array ``bounds`` that
     are ``< order``: a branch-free binary search in ``log2(max_len)`` steps of
     ``element_at`` + ``CASE``, each a separate (codegen'd) projection, so the
@@ -134,7 +135,7 @@ def _count_below(df: DataFrame, bounds: str, order_c: Column, out: str, max_len:
 
 
 def _tag(df: DataFrame, keys: list[str], order_c: Column, heavy: DataFrame,
-         heavy_rows: int, grid: int) -> DataFrame:
+         heavy_rows: int, grid: int, keep_bounds: bool = False) -> DataFrame:
     # Chunk = number of boundaries strictly below the row's order value:
     # monotone in the order, so chunks are contiguous runs of it.
     if keys:
@@ -143,10 +144,10 @@ def _tag(df: DataFrame, keys: list[str], order_c: Column, heavy: DataFrame,
         # One global key: the boundary table is a single row, attached as a
         # scalar subquery rather than a join.
         joined = df.withColumn(BOUNDS, heavy.select(BOUNDS).scalar())
-    tagged = _count_below(joined, BOUNDS, order_c, CHUNK, grid)
-    return (tagged.withColumn(CHUNK, F.when(F.col(BOUNDS).isNull(), F.lit(0))
-                              .otherwise(F.col(CHUNK)))
-            .drop(BOUNDS))
+    tagged = count_below(joined, BOUNDS, order_c, CHUNK, grid)
+    tagged = tagged.withColumn(CHUNK, F.when(F.col(BOUNDS).isNull(), F.lit(0))
+                               .otherwise(F.col(CHUNK)))
+    return tagged if keep_bounds else tagged.drop(BOUNDS)
 
 
 def chunk_prefix(split: KeySplit, summary: DataFrame,

@@ -49,3 +49,30 @@ def test_top_speed_golden(spark):
     out = delta_trigger_max(df, "car", "ts", "seq", "speed", "distance", 50.0, 10_000_000)
     got = rows(out, "seq", "top", "top_id")
     assert got == [(2, 70.0, 2), (4, 55.0, 3)]
+
+
+def _cars(spark):
+    ev = load(spark, SF_MID, "events").select("user_id", "event_id", "ts", "value")
+    # Few cars, so each is hot: key = user_id % 3.
+    ev = ev.withColumn("car", (F.col("user_id") % 3).cast("int"))
+    return running_per_key(ev, ["car"], "ts", ["event_id"], "value") \
+        .withColumnRenamed("_run", "distance").drop("_rn")
+
+
+def test_top_speed_parallel_equals_sequential(spark):
+    cars = _cars(spark)
+    args = ("car", "ts", "event_id", "value", "distance", 50.0, 24 * 3600 * 1_000_000)
+    seq = rows(delta_trigger_max(cars, *args), "car", "event_id", "top", "top_id", "top_ts")
+    par = rows(delta_trigger_max(cars, *args, monotone=True, rows_per_chunk=97),
+               "car", "event_id", "top", "top_id", "top_ts")
+    assert seq == par and len(seq) > 1000
+
+
+def test_top_speed_parallel_large_threshold_and_short_frame(spark):
+    # Threshold spanning many rows: many candidates per chunk, chains merge.
+    cars = _cars(spark)
+    args = ("car", "ts", "event_id", "value", "distance", 2000.0, 3600 * 1_000_000)
+    seq = rows(delta_trigger_max(cars, *args), "car", "event_id", "top", "top_id")
+    par = rows(delta_trigger_max(cars, *args, monotone=True, rows_per_chunk=53),
+               "car", "event_id", "top", "top_id")
+    assert seq == par and len(seq) > 20
