@@ -24,29 +24,45 @@ def _c(col: str | Column) -> Column:
 
 
 def _strip_trailing(c: Column, pattern: str) -> Column:
-    """Remove the run of delimiters at the very end of ``c``.
-
-    Whitespace delimiters are stripped with ``rtrim`` (a character-set trim,
-    no regex); a pattern that already ends in ``+`` is anchored as is; any
-    other pattern is repeated. ``\\z`` (not ``$``, which also matches before a
-    final line break) anchors at the true end.
-    """
-    if pattern in (WHITESPACE_RUN, WHITESPACE_ONE):
-        return F.rtrim(c, F.lit(WHITESPACE_CHARS))
-    if pattern.endswith("+") and not pattern.endswith("\\+"):
-        return F.regexp_replace(c, f"{pattern}\\z", "")
+    """Remove the run of delimiters at the very end of ``c`` (generic case;
+    ``\\z``, not ``$``, which also matches before a final line break)."""
     return F.regexp_replace(c, f"(?:{pattern})+\\z", "")
 
 
+def _is_run(pattern: str) -> bool:
+    return pattern.endswith("+") and not pattern.endswith("\\+")
+
+
 def java_split(col: str | Column, pattern: str) -> Column:
     """``String.split(pattern)`` as Java does it (limit 0).
 
     Spark's ``split`` keeps trailing empty strings; Java drops them, keeps
     leading and inner ones, maps ``""`` to ``[""]`` and a string made only of
-    delimiters to ``[]``. We strip the trailing delimiter run and split the
-    rest.
+    delimiters to ``[]``. Exact fast forms, all plain expressions:
+
+    * whitespace: the trailing run is removed with ``rtrim`` (a character-set
+      trim, no regex), then the regex split;
+    * a run pattern (``\\W+``): consecutive delimiters are one match, so a
+      trailing run leaves exactly one trailing ``""`` (two, ``["", ""]``,
+      when the string is only delimiters); it is dropped after the split
+      instead of a second regex pass over the text;
+    * anything else: strip the trailing delimiter run, then split.
     """
     c = _c(col)
+    if pattern in (WHITESPACE_RUN, WHITESPACE_ONE):
+        trimmed = F.rtrim(c, F.lit(WHITESPACE_CHARS))
+        return (F.when(c == "", F.array(F.lit("")))
+                .when(trimmed == "", F.array().cast("array<string>"))
+                .otherwise(F.split(trimmed, pattern, -1)))
+    if _is_run(pattern):
+        parts = F.split(c, pattern, -1)
+        n = F.size(parts)
+        last_empty = F.element_at(parts, -1) == ""
+        return (F.when(c == "", F.array(F.lit("")))
+                .when(last_empty & (n == 2) & (F.element_at(parts, 1) == ""),
+                      F.array().cast("array<string>"))
+                .when(last_empty, F.slice(parts, 1, n - 1))
+                .otherwise(parts))
     stripped = _strip_trailing(c, pattern)
     return (
         F.when(c == "", F.array(F.lit("")))

@@ -250,3 +250,6 @@ select event_type, count(*) as n, cast(sum(cast(value as decimal(18,2))) as doub
        arg_max(event_id, rn) as fired_at
 from r group by event_type, (rn - 1) // 2 having count(*) = 2"""
 ORACLE["stream_keyword_mask"] = ORACLE["keyword_mask"]
+ORACLE["stream_tumbling_word_count"] = ORACLE["tumbling_word_count"]
+ORACLE["stream_side_output_main"] = ORACLE["side_output_main"]
+ORACLE["stream_side_output_rejected"] = ORACLE["side_output_rejected"]

@@ -192,7 +192,8 @@ def cached_prefix(spark, sf):
 
 
 def parse_tuple(spark, sf):
-    li = load(spark, sf, "lineitem")
+    li = spread_for_cpu(load(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate"), "l_orderkey")
     text = li.select(format_tuple("l_orderkey", "l_linenumber", "l_extendedprice",
                                   to_epoch_millis("l_shipdate")).alias("value"))
     return text.select(parse_tuple_text("value", CAR_FIELDS).alias("t")).select("t.*")

@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import NON_WORD, WHITESPACE_ONE, text_lines, tokenize
 from ..session import checkpoint_path
 from ..sources.tables import load
 from ..streaming import twins
@@ -123,6 +124,48 @@ def stream_keyword_mask(spark, sf):
     return out.select("event_id", "masked")
 
 
+def _document_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents replayed in ``doc_id`` order with their ingestion time
+    (2024-01-01 + doc_id seconds) as event time, plus flush rows."""
+    docs = load(spark, sf, "documents").select(
+        "doc_id", "text",
+        F.timestamp_seconds(F.unix_seconds(F.lit("2024-01-01 00:00:00").cast("timestamp"))
+                            + F.col("doc_id")).alias("ingest_ts"))
+    flush = [flush_rows(docs, "ingest_ts", {"doc_id": -1 - i, "text": FLUSH_KEY}, years=100 + i)
+             for i in range(2)]
+    root = replay_files(docs, "doc_id", REPLAY_FILES, "documents", flush)
+    return stream_folder(spark, root, docs.schema)
+
+
+def stream_tumbling_word_count(spark, sf):
+    lines = text_lines(_document_stream(spark, sf), "text")
+    toks = tokenize(lines, "line", WHITESPACE_ONE, keep=["doc_id", "ingest_ts"])
+    out = _to_files(spark, twins.tumbling_counts(toks, ["word"], "ingest_ts", "5 seconds"),
+                    "tumbling_word_count")
+    return _ntz(out.where(F.col("word") != FLUSH_KEY), "window_start", "window_end")
+
+
+def stream_side_output_main(spark, sf):
+    docs = _document_stream(spark, sf)
+    toks = tokenize(docs, "text", NON_WORD, lower=True, drop_empty=True,
+                    keep=["doc_id", "ingest_ts"])
+    main, _ = twins.side_outputs(toks, "ingest_ts")
+    out = _to_files(spark, main, "side_output_main")
+    # The flush text tokenizes to "__flush__" (kept in the plan, dropped here).
+    return _ntz(out.where(F.col("word") != FLUSH_KEY.lower()), "window_start", "window_end") \
+        .select("word", "window_start", "window_end", "count")
+
+
+def stream_side_output_rejected(spark, sf):
+    docs = _document_stream(spark, sf)
+    toks = tokenize(docs, "text", NON_WORD, lower=True, drop_empty=True,
+                    keep=["doc_id", "ingest_ts"])
+    _, rejected = twins.side_outputs(toks, "ingest_ts")
+    out = _to_files(spark, rejected.select("doc_id", F.col("word").alias("value")),
+                    "side_output_rejected")
+    return out.where(F.col("doc_id") >= 0)
+
+
 STREAM_QUERIES = {
     "stream_window_counts": stream_window_counts,
     "stream_hot_items": stream_hot_items,
@@ -130,6 +173,9 @@ STREAM_QUERIES = {
     "stream_count_trigger": stream_count_trigger,
     "stream_count_trigger_purged": stream_count_trigger_purged,
     "stream_keyword_mask": stream_keyword_mask,
+    "stream_tumbling_word_count": stream_tumbling_word_count,
+    "stream_side_output_main": stream_side_output_main,
+    "stream_side_output_rejected": stream_side_output_rejected,
 }
 
 __all__ = ["STREAM_QUERIES"]

@@ -43,6 +43,10 @@ def build_session(
         # state store for every other stateful streaming operator too.
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        # Streaming session windows: merge a key's rows into sessions inside
+        # each input partition before the shuffle, so a hot key ships
+        # sessions, not rows.
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -137,3 +137,33 @@ def keyword_mask_sink(rules_path: str, out_path: str, ts: str, text: str, defaul
             .parquet(f"{out_path}/epoch={epoch_id}")
 
     return write
+
+
+def side_outputs(tokens: DataFrame, ts: str, token_col: str = "word", max_len: int = 5,
+                 size: str = "5 seconds", delay: str = "0 seconds"
+                 ) -> tuple[DataFrame, DataFrame]:
+    """P11 + P1 + W2 on a stream: the main branch counts tokens of length
+    1..``max_len`` per tumbling window (stateful, append mode); the
+    ``rejected`` branch maps longer tokens to ``"rejected: " + token``
+    (stateless). Start each branch as its own query, or write stateless
+    outputs from one ``foreachBatch`` (``sinks.fan_out_stream``).
+
+    The watermark is assigned before the branch filter and the predicate
+    mentions the event-time column, so Catalyst keeps it above the
+    watermark: rows of the other branch still advance event time (H1b).
+    """
+    n = F.length(token_col)
+    timed = tokens.withWatermark(ts, delay)
+    main = timed.where(F.when(F.col(ts).isNotNull(), (n > 0) & (n <= max_len)))
+    counts = (main.groupBy(token_col, F.window(ts, size).alias("w"))
+              .agg(F.count(F.lit(1)).alias("count"))
+              .select(token_col, _ntz("w.start").alias("window_start"),
+                      _ntz("w.end").alias("window_end"), "count"))
+    rejected = tokens.where(n > max_len).withColumn(
+        token_col, F.concat(F.lit("rejected: "), F.col(token_col)))
+    return counts, rejected
+
+
+def with_ingest_time(stream: DataFrame, col: str = "ingest_ts") -> DataFrame:
+    """processing/ingestion time of a live stream as a column."""
+    return stream.withColumn(col, F.current_timestamp())
