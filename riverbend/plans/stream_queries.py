@@ -19,13 +19,16 @@ from ..streaming.replay import flush_rows, replay_files, stream_folder
 
 FLUSH_KEY = "__flush__"
 REPLAY_FILES = 4
+# One far-future flush file: after it, Spark runs a no-data batch with the
+# advanced watermark, which closes every remaining window.
+FLUSH_FILES = 1
 
 
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
     ev = load(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     flush = [flush_rows(ev, "ts", {"event_type": FLUSH_KEY, "user_id": -1,
                                    "event_id": 10**15 + i, "props": '{"k": -1}', "value": 0.0},
-                        years=100 + i) for i in range(2)]
+                        years=100 + i) for i in range(FLUSH_FILES)]
     root = replay_files(ev, "event_id", REPLAY_FILES, "events", flush)
     return stream_folder(spark, root, ev.schema)
 
@@ -132,7 +135,7 @@ def _document_stream(spark: SparkSession, sf: str) -> DataFrame:
         F.timestamp_seconds(F.unix_seconds(F.lit("2024-01-01 00:00:00").cast("timestamp"))
                             + F.col("doc_id")).alias("ingest_ts"))
     flush = [flush_rows(docs, "ingest_ts", {"doc_id": -1 - i, "text": FLUSH_KEY}, years=100 + i)
-             for i in range(2)]
+             for i in range(FLUSH_FILES)]
     root = replay_files(docs, "doc_id", REPLAY_FILES, "documents", flush)
     return stream_folder(spark, root, docs.schema)
 

@@ -44,8 +44,8 @@ def replay_files(df: DataFrame, order: str, n_files: int, name: str,
             part = part.where(F.col(order) <= F.lit(edges[i + 1]))
         # One file per range, so one micro-batch sees one contiguous range.
         part.coalesce(1).write.mode("overwrite").parquet(os.path.join(root, f"{i:05d}"))
-    # Flush files go last: the first moves the watermark past every window,
-    # a second (later) one makes sure a batch runs with that watermark.
+    # Flush files go last: they move the watermark past every window, and
+    # Spark then runs a no-data batch with that watermark, closing them.
     for j, rows in enumerate(flush or []):
         rows.coalesce(1).write.mode("overwrite").parquet(os.path.join(root, f"{n_files + j:05d}"))
     return root
