@@ -67,6 +67,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            # A machine-local folder would not survive a lost executor or be
+            # visible to the others: a cluster must name a shared folder.
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (HDFS/object store)")
         path = tempfile.mkdtemp(prefix="riverbend-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     if spark.sparkContext.getCheckpointDir() is None:
