@@ -1,7 +1,6 @@
 import re
 
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from conftest import rows
 from fixtures import CONNECT_WORDS, WORDS
@@ -98,4 +97,3 @@ def test_lower_and_split_stay_in_jvm(spark):
     plan = tokenize(from_elements(spark, WORDS), "value", NON_WORD, lower=True) \
         ._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    assert F is not None
