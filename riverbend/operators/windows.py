@@ -157,8 +157,10 @@ def session_windows(df: DataFrame, key: str, ts: str, gap_us: int,
 
 
 # How a running aggregate is computed inside a chunk and carried across.
+# "count" counts rows (a null input still counts, like the reference's
+# count aggregate); the others skip nulls as SQL aggregates do.
 _PREFIX_COMBINE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
-_LOCAL = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
+_LOCAL = {"count": lambda c: F.count(F.lit(1)), "sum": F.sum, "min": F.min, "max": F.max}
 
 
 def running_aggs(df: DataFrame, keys: list[str], order: str, tiebreak: list[str],
@@ -201,6 +203,6 @@ def running_per_key(df: DataFrame, key: list[str], order: str, tiebreak: list[st
     ``(order, *tiebreak)`` order, exact and hot-key safe (chunked prefix)."""
     v = (F.col(value).cast("decimal(18,2)") if value else F.lit(None).cast("decimal(18,2)"))
     out = running_aggs(df.withColumn("_v", v), key, order, tiebreak,
-                       {"_rn": ("_v", "count") if value else (order, "count"),
+                       {"_rn": ("_v", "count"),
                         "_run": ("_v", "sum")}, rows_per_chunk)
     return out.drop("_v")

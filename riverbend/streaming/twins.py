@@ -88,7 +88,7 @@ def sessions(stream: DataFrame, key: str, ts: str, gap: str, value: str,
                     "n", "total"))
 
 
-COUNT_STATE = "n long, cents long"
+COUNT_STATE = "n long, cents long, seen boolean"
 
 
 def count_trigger(stream: DataFrame, key: str, order: str, seq: str, value: str,
@@ -105,9 +105,13 @@ def count_trigger(stream: DataFrame, key: str, order: str, seq: str, value: str,
     out_schema = f"{key} {key_type}, n long, total double, fired_at {seq_type}"
 
     def fold(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n0, c0 = state.get if state.exists else (0, 0)
+        n0, c0, seen0 = state.get if state.exists else (0, 0, False)
         batch = pd.concat(list(pdfs)).sort_values([order, seq])
-        cents = np.rint(batch[value].to_numpy(dtype=float) * 100).astype(np.int64)
+        vals = batch[value]
+        # A null value still counts as a row; the sum skips it and stays
+        # null until the first non-null value (as SQL's sum does).
+        cents = np.rint(vals.fillna(0).to_numpy(dtype=float) * 100).astype(np.int64)
+        seen = seen0 | (np.cumsum(vals.notna().to_numpy()) > 0)
         pos = n0 + np.arange(1, len(batch) + 1)
         run = c0 + np.cumsum(cents)
         fire = pos % every == 0
@@ -117,15 +121,25 @@ def count_trigger(stream: DataFrame, key: str, order: str, seq: str, value: str,
             fired_run = run[fire]
             prev = np.r_[0, fired_run[:-1]]
             totals, counts = fired_run - prev, np.full(fire.sum(), every)
+            # A batch's sum is null when all of its values are null.
+            nn = np.cumsum(np.r_[0, vals.notna().to_numpy().astype(np.int64)])
+            if seen0 and n0 > 0:
+                nn = nn + 1  # carried rows held a non-null value
+            fired_nn = nn[1:][fire]
+            has_value = (fired_nn - np.r_[0, fired_nn[:-1]]) > 0
             last = np.flatnonzero(fire)[-1] if fire.any() else -1
             n_left = len(batch) - 1 - last if last >= 0 else n0 + len(batch)
             c_left = run[-1] - run[last] if last >= 0 else run[-1]
-            state.update((int(n_left), int(c_left)))
+            seen_left = bool(vals.iloc[last + 1:].notna().any()) or (last < 0 and seen0)
+            state.update((int(n_left), int(c_left), seen_left))
         else:
             totals, counts = run[fire], pos[fire]
-            state.update((int(pos[-1]), int(run[-1])))
+            has_value = seen[fire]
+            state.update((int(pos[-1]), int(run[-1]), bool(seen[-1])))
+        total = pd.array(totals / 100.0, dtype="Float64")
+        total[~has_value] = pd.NA
         yield pd.DataFrame({key: [k[0]] * int(fire.sum()), "n": counts.astype(np.int64),
-                            "total": totals / 100.0, "fired_at": batch[seq].to_numpy()[fire]})
+                            "total": total, "fired_at": batch[seq].to_numpy()[fire]})
 
     return (stream.select(key, order, seq, value).groupBy(key)
             .applyInPandasWithState(fold, out_schema, COUNT_STATE, "append",

@@ -101,3 +101,16 @@ def test_stream_count_trigger_equals_batch(spark, replay, purge):
     batch = op(_batch_events(spark), "event_type", "ts", "event_id", "value", 2)
     assert got == rows(batch, "event_type", "n", "fired_at")
     assert got_totals == sorted(round(r["total"], 2) for r in batch.collect())
+
+
+@pytest.mark.parametrize("purge", [False, True])
+def test_stream_count_trigger_with_nulls_equals_batch(spark, purge):
+    data = [("a", i, i, None if i % 3 == 0 else float(i)) for i in range(1, 12)] + \
+        [("b", i, i, None) for i in range(1, 4)]
+    df = spark.createDataFrame(data, "k string, o long, s long, v double")
+    root = replay_files(df, "o", 3, "nulls")
+    out = _run_memory(spark, twins.count_trigger(stream_folder(spark, root, df.schema), "k", "o",
+                                                 "s", "v", 2, purge))
+    op = purging_count_trigger if purge else count_trigger
+    want = rows(op(df, "k", "o", "s", "v", 2), "k", "n", "total", "fired_at")
+    assert rows(out, "k", "n", "total", "fired_at") == want

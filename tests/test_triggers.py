@@ -76,3 +76,10 @@ def test_top_speed_parallel_large_threshold_and_short_frame(spark):
     par = rows(delta_trigger_max(cars, *args, monotone=True, rows_per_chunk=53),
                "car", "event_id", "top", "top_id")
     assert seq == par and len(seq) > 20
+
+
+def test_count_trigger_counts_null_values(spark):
+    data = [("a", 0, 0, 1), ("a", 1, 1, None), ("a", 2, 2, 1), ("a", 3, 3, None)]
+    df = spark.createDataFrame(data, "word string, ord long, seq long, v int")
+    out = count_trigger(df, "word", "ord", "seq", "v", 2)
+    assert rows(out, "word", "n", "total", "fired_at") == [("a", 2, 1.0, 1), ("a", 4, 2.0, 3)]
