@@ -49,11 +49,17 @@ def fan_out(parent: DataFrame, branches: dict[str, Callable[[DataFrame], DataFra
 
 
 def fan_out_stream(branches: dict[str, Callable[[DataFrame], DataFrame]],
-                   writers: dict[str, Callable[[DataFrame], None]]):
+                   writers: dict[str, Callable[[DataFrame, int], None]]):
     """K4 (streaming): a ``foreachBatch`` function writing every branch of
-    each micro-batch from one persisted copy of it."""
+    each micro-batch from one persisted copy of it.
+
+    Writers receive ``(branch_df, epoch_id)``: a micro-batch can be replayed
+    after a failure, so a writer should key its output by the epoch (e.g.
+    overwrite ``path/epoch=<id>``) to stay exactly-once.
+    """
 
     def run(batch: DataFrame, epoch_id: int):
-        fan_out(batch, branches, writers)
+        fan_out(batch, branches, {k: (lambda w: (lambda d: w(d, epoch_id)))(w)
+                                  for k, w in writers.items()})
 
     return run

@@ -114,3 +114,28 @@ def test_stream_count_trigger_with_nulls_equals_batch(spark, purge):
     op = purging_count_trigger if purge else count_trigger
     want = rows(op(df, "k", "o", "s", "v", 2), "k", "n", "total", "fired_at")
     assert rows(out, "k", "n", "total", "fired_at") == want
+
+
+def test_stream_fan_out_writes_both_branches(spark, scratch):
+    from riverbend.functions.text import NON_WORD, tokenize
+    from riverbend.operators.routing import side_output
+    from riverbend.sinks import fan_out_stream
+
+    docs = load(spark, SF_SMALL, "documents").select("doc_id", "text")
+    root = replay_files(docs, "doc_id", 3, "docs")
+    toks = tokenize(stream_folder(spark, root, docs.schema), "text", NON_WORD, lower=True,
+                    keep=["doc_id"])
+    paths = {"main": os.path.join(scratch, "main"), "rejected": os.path.join(scratch, "rej")}
+
+    def writer(path):
+        return lambda d, epoch: d.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+    sink = fan_out_stream({"main": lambda d: side_output(d, "word")[0],
+                           "rejected": lambda d: side_output(d, "word")[1]},
+                          {k: writer(p) for k, p in paths.items()})
+    _run_foreach(spark, toks, sink)
+    main, rejected = side_output(tokenize(docs, "text", NON_WORD, lower=True, keep=["doc_id"]),
+                                 "word")
+    # Output is keyed by epoch (path/epoch=<id>): compare the branch columns.
+    assert rows(spark.read.parquet(paths["main"]), "doc_id", "word") == rows(main)
+    assert rows(spark.read.parquet(paths["rejected"]), "doc_id", "word") == rows(rejected)
