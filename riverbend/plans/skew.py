@@ -104,10 +104,11 @@ def split_hot_keys(df: DataFrame, keys: list[str], order: str | Column,
 
     max_chunks = _conf_int(spark, MAX_CHUNKS_CONF, DEFAULT_MAX_CHUNKS)
     grid = min(max_chunks, math.ceil(top / rows_per_chunk))
-    # At most total / rows_per_chunk keys can exceed the threshold: the
-    # heavy table is bounded by the partition count, not by the data.
+    # Every heavy key holds more than rows_per_chunk rows, so there are at
+    # most total // rows_per_chunk of them: a proven bound on the heavy table
+    # (about the partition count, not the data), with no job to count it.
     heavy_keys = counts.where(F.col("_n") > rows_per_chunk).select(*keys)
-    n_heavy = heavy_keys.count()
+    n_heavy = max(1, total // rows_per_chunk)
     probs = [i / grid for i in range(1, grid)]
     accuracy = max(10_000, 20 * grid)
     sample_src = df.join(checked_broadcast(heavy_keys, n_heavy), keys, "left_semi") \
