@@ -6,8 +6,8 @@ word's script leaves as candidates the languages that write at least ``MIN_SCRIP
 their letters in it; each candidate scores the mean log probability of the word's features
 over that of all languages, times the root of their number. The Viterbi path through the
 words pays ``SWITCH`` for a change of language, so stray words do not break a span. The
-prediction is the language whose spans hold most letters; its share of the letters, weighed
-by its lead within the path, is the score.
+prediction is the language whose spans hold most letters; the share of all letters that lie in
+its spans, in words of a script that some language writes, is the score.
 
 The model is fitted on a bounded sample: about ``SAMPLE_DOCS`` training documents a language,
 chosen by a hash of the id; a language with fewer gives all. It has ``BUCKETS`` rows and at
@@ -17,11 +17,11 @@ most ``MAX_LANGS`` columns whatever the input. All else covers all documents.
 from __future__ import annotations
 
 import math
-import zlib
 from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from riverbend.llm.common import held_out
 from riverbend.llm.pieces import groups
 
-SAMPLE_DOCS, BUCKETS, MAX_LANGS = 8_000, 1 << 15, 64
+SAMPLE_DOCS, BUCKETS, MAX_LANGS = 8_000, 1 << 15, 64  # buckets: the top 15 bits of a hash
 SWITCH, MIN_SCRIPT_SHARE, ALPHA = 6.0, 0.01, 0.5
 MAX_WORDS = 200_000  # of a task's word table, which is then emptied
 HOLD = 4, 2  # documents of crc32(id) mod 4 = 2 are never learned from
@@ -52,20 +52,43 @@ NAMES = sorted({name for _, name in SCRIPTS})
 STARTS = [start for start, _ in SCRIPTS]
 
 
-def script_of(letter: str) -> str:
-    return SCRIPTS[max(0, bisect_right(STARTS, ord(letter)) - 1)][1]
+NUMBER = [NAMES.index(name) for _, name in SCRIPTS]
+LATIN = NAMES.index("latin")
+PUNCTUATION = ".,;:!?\"'()[]{}<>*#$%&|-_/0123456789"
+
+
+def script_of(letter: str) -> int:
+    """Number of the letter's script in ``NAMES``."""
+    return LATIN if letter < "\u0370" else NUMBER[max(0, bisect_right(STARTS, ord(letter)) - 1)]
 
 
 def letters_of(word: str) -> str:
+    word = word.strip(PUNCTUATION)
     return word if word.isalpha() else "".join(filter(str.isalpha, word))
 
 
-def features(letters: str) -> list[int]:
-    """Hash buckets of the pairs and triples of a lower-case word with its ends, and of itself."""
-    b = f"<{letters}>"
-    n = len(b)
-    grams = [b, *[b[i:i + 2] for i in range(n - 1)], *[b[i:i + 3] for i in range(n - 2)]]
-    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) & (BUCKETS - 1) for g in grams]
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash buckets of the pairs and triples of each lower-case word with its ends marked, and
+    of the whole word; and where each word's buckets begin. No word may be empty."""
+    text = "".join(f"<{w}>" for w in words)
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    mix = np.uint64(0x9E3779B97F4A7C15)
+    with np.errstate(over="ignore"):
+        pairs = (codes[:-1] * np.uint64(0x10001) + codes[1:]) * mix
+        triples = (pairs[:-1] ^ (codes[2:] << np.uint64(7))) * mix
+        place = np.arange(len(codes)) - np.repeat(starts, sizes)
+        whole = np.add.reduceat((codes + np.uint64(1)) * mix * (place.astype(np.uint64) * 2 + np.uint64(1)) ** 3, starts) * mix
+    # of the word's first code point on: one pair a code point but the last, one triple but the last two, itself
+    out = np.empty((len(codes), 2), np.uint64)
+    out[:-1, 0], out[:-2, 1] = pairs, triples
+    keep = np.ones((len(codes), 2), bool)
+    keep[ends - 1] = False
+    keep[ends - 2, 1] = False
+    out[ends - 1, 0], keep[ends - 1, 0] = whole, True
+    return (out[keep] >> np.uint64(64 - 15)).astype(np.int64), np.cumsum(2 * sizes - 2) - (2 * sizes - 2)
 
 
 @dataclass
@@ -99,13 +122,16 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         def out() -> Iterator[pa.RecordBatch]:
             lang, key, n = [], [], []
             for name, counter in words.items():
-                grams, scripts = np.zeros(BUCKETS, np.int64), Counter()
-                for word, k in counter.items():
-                    if letters := letters_of(word):
-                        np.add.at(grams, features(letters), k)
-                        scripts[script_of(letters[0])] += k * len(letters)
+                scripts, found = Counter(), [(x, k) for word, k in counter.items() if (x := letters_of(word))]
+                if not found:
+                    continue
+                for x, k in found:
+                    scripts[script_of(x[0])] += k * len(x)
+                buckets, start = features([x for x, _ in found])
+                times = np.repeat([k for _, k in found], np.diff(np.append(start, len(buckets))))
+                grams = np.bincount(buckets, weights=times, minlength=BUCKETS).astype(np.int64)
                 at = np.nonzero(grams)[0]
-                key += [*at.tolist(), *[-1 - NAMES.index(s) for s in scripts]]
+                key += [*at.tolist(), *[-1 - s for s in scripts]]
                 n += [*grams[at].tolist(), *scripts.values()]
                 lang += [name] * (len(key) - len(lang))
             words.clear()
@@ -141,7 +167,7 @@ class Words:
         self.model, self.place = model, defaultdict()
         self.place.default_factory = self.place.__len__
         self.scores = np.zeros((0, len(model.langs)), np.float32)
-        self.letters = np.zeros(0, np.int64)
+        self.letters, self.known = np.zeros(0, np.int64), np.zeros(0, bool)
 
     def lookup(self, texts: list[str]) -> list[list[int]]:
         if len(self.place) > MAX_WORDS:
@@ -150,89 +176,106 @@ class Words:
         ids = [list(map(self.place.__getitem__, t.lower().split())) for t in texts]
         new = list(self.place)[old:]
         scores, sizes = np.zeros((len(new), len(self.model.langs)), np.float32), np.zeros(len(new), np.int64)
-        for k, word in enumerate(new):
-            if letters := letters_of(word):
-                sizes[k] = len(letters)
-                f = features(letters)
-                scores[k] = self.model.weights[f].sum(axis=0) / math.sqrt(len(f))
-                writes = self.model.writes[NAMES.index(script_of(letters[0]))]
-                if writes.any():  # the script narrows the candidates
-                    scores[k][~writes] = min(-50.0, float(scores[k].min()))
-                else:
-                    scores[k] = 0
+        letters = [letters_of(word) for word in new]
+        at = np.nonzero(np.fromiter(map(len, letters), np.int64, len(new)))[0]
+        if len(at) and self.model.langs:
+            full = [letters[k] for k in at]
+            buckets, start = features(full)
+            n = np.diff(np.append(start, len(buckets)))
+            own = np.add.reduceat(self.model.weights[buckets], start, axis=0) / np.sqrt(n)[:, None]
+            writes = self.model.writes[np.fromiter((script_of(x[0]) for x in full), np.int64, len(full))]
+            # the script narrows the candidates; one that no language writes says nothing
+            own = np.where(writes, own, np.minimum(-50, own.min(axis=1, keepdims=True)))
+            scores[at] = np.where(writes.any(axis=1, keepdims=True), own, 0)
+        sizes[at] = [len(letters[k]) for k in at]
         self.scores, self.letters = np.concatenate([self.scores, scores]), np.concatenate([self.letters, sizes])
+        self.known = np.concatenate([self.known, (scores != 0).any(axis=1)])
         return ids
 
 
-def viterbi(ids: list[list[int]], scores: np.ndarray, switch: float = SWITCH) -> list[np.ndarray]:
-    """Best language of every word of every text. All texts step together, word by word,
-    longest first, so a step is one operation on an array."""
+@dataclass
+class Paths:
+    """Texts of a group, longest first: ``order`` has their numbers; the word numbers and best
+    languages of all of them lie end to end."""
+
+    order: list[int]
+    sizes: np.ndarray
+    starts: np.ndarray
+    words: np.ndarray
+    langs: np.ndarray
+
+
+def viterbi(ids: list[list[int]], scores: np.ndarray, switch: float = SWITCH) -> Paths:
+    """Best language of every word of every text. All texts step together, word by word, so
+    a step is one operation on an array."""
     order = sorted(range(len(ids)), key=lambda k: -len(ids[k]))
     sizes = np.array([len(ids[k]) for k in order], np.int64)
-    out = [np.empty(0, np.int8)] * len(ids)
-    if not len(sizes) or not sizes[0]:
-        return out
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    flat = np.fromiter((i for k in order for i in ids[k]), np.int64, int(sizes.sum()))
-    active = len(sizes) - np.searchsorted(sizes[::-1], np.arange(sizes[0]), "right")
+    starts = np.cumsum(sizes) - sizes
+    flat = np.fromiter(chain.from_iterable(ids[k] for k in order), np.int64, int(sizes.sum()))
+    path = np.zeros(len(flat), np.int8)
+    if not len(flat) or not scores.shape[1]:
+        return Paths(order, sizes, starts, flat, path)
+    longest = int(sizes[0])
+    active = len(sizes) - np.searchsorted(sizes[::-1], np.arange(longest), "right")
+    state = np.zeros(len(sizes), np.int64)  # the last word's language, of texts that have ended
     best = scores[flat[starts[:active[0]]]].astype(np.float64)
-    ends, back, leap = [None] * len(sizes), [], []
-    for t in range(1, int(sizes[0])):
+    back, leap = [], []
+    for t in range(1, longest):
         m = int(active[t])
         if m < len(best):
-            for d in range(m, len(best)):
-                ends[d] = int(best[d].argmax())
+            state[m: len(best)] = best[m:].argmax(axis=1)
             best = best[:m]
         top = best.argmax(axis=1)
-        jump = best[np.arange(m), top] - switch
-        moved = jump[:, None] > best
-        back.append(moved)
+        jump = (best.max(axis=1) - switch)[:, None]
+        back.append(jump > best)
         leap.append(top.astype(np.int8))
-        best = np.where(moved, jump[:, None], best) + scores[flat[starts[:m] + t]]
-    for d in range(len(best)):
-        ends[d] = int(best[d].argmax())
-    state = np.array([0 if e is None else e for e in ends], np.int64)
-    path = np.empty(len(flat), np.int8)
-    for t in range(int(sizes[0]) - 1, -1, -1):
+        best = np.maximum(best, jump) + scores[flat[starts[:m] + t]]
+    state[: len(best)] = best.argmax(axis=1)
+    for t in range(longest - 1, -1, -1):
         m = int(active[t])
-        path[starts[:m] + t] = state[:m]
+        now = state[:m]
+        path[starts[:m] + t] = now
         if t:
-            at = np.arange(m)
-            state[:m] = np.where(back[t - 1][at, state[:m]], leap[t - 1], state[:m])
-    for d, k in enumerate(order):
-        out[k] = path[starts[d]: starts[d] + sizes[d]]
-    return out
+            moved = back[t - 1][np.arange(m), now]
+            if moved.any():
+                state[:m] = np.where(moved, leap[t - 1], now)
+    return Paths(order, sizes, starts, flat, path)
 
 
-def judge(path: np.ndarray, ids: list[int], words: Words) -> tuple[str, float]:
-    """(language, score) of a text from its path."""
-    langs = words.model.langs
-    if not langs or not ids:
-        return "und", 0.0
-    at = np.array(ids)
-    letters = words.letters[at]
-    if not letters.any():
-        return "und", 0.0
-    share = np.bincount(path, weights=letters, minlength=len(langs)) / letters.sum()
-    k = int(share.argmax())
-    mine = path == k
-    known = np.abs(words.scores[at][mine]).sum(axis=1) > 0
-    lead = float((letters[mine] * known).sum() / max(1, letters[mine].sum()))
-    return langs[k], float(min(1.0, share[k] * lead))
+def judge(paths: Paths, words: Words) -> list[tuple[str, float]]:
+    """(language, score) of each text, in the order they were given."""
+    langs, out = words.model.langs, [("und", 0.0)] * len(paths.order)
+    n = int((paths.sizes > 0).sum())  # the texts without words are the last
+    if not langs or not n:
+        return out
+    letters, starts = words.letters[paths.words], paths.starts[:n]
+    share = np.stack([np.add.reduceat(np.where(paths.langs == k, letters, 0), starts) for k in range(len(langs))], axis=1)
+    total = share.sum(axis=1)
+    best = share.argmax(axis=1)
+    mine = paths.langs == np.repeat(best, paths.sizes[:n])
+    known = np.add.reduceat(np.where(mine & words.known[paths.words], letters, 0), starts)
+    for d in range(n):
+        if total[d]:
+            out[paths.order[d]] = langs[best[d]], float(known[d] / total[d])
+    return out
 
 
-def spans(path: np.ndarray) -> list[tuple[int, int, int]]:
-    """(first word, word after the last, language) of each span."""
-    cuts = [0, *(np.nonzero(path[1:] != path[:-1])[0] + 1).tolist(), len(path)]
-    return [(a, b, int(path[a])) for a, b in zip(cuts, cuts[1:]) if a < b]
+def spans(paths: Paths, langs: list[str]) -> list[list[dict]]:
+    """First word, word after the last, and language of each span of each text."""
+    out: list[list[dict]] = [[]] * len(paths.order)
+    for d, k in enumerate(paths.order):
+        path = paths.langs[paths.starts[d]: paths.starts[d] + paths.sizes[d]]
+        cuts = [0, *(np.nonzero(path[1:] != path[:-1])[0] + 1).tolist(), len(path)]
+        out[k] = [{"first": a, "end": b, "lang": langs[path[a]]} for a, b in zip(cuts, cuts[1:]) if a < b]
+    return out
 
 
-def _judged(batch_texts: pa.Array, words: Words) -> Iterator[tuple[np.ndarray, tuple[str, float]]]:
-    for texts in groups(batch_texts):
-        ids = words.lookup(texts)
-        paths = viterbi(ids, words.scores) if words.model.langs else [np.empty(0, np.int8)] * len(ids)
-        for p, i in zip(paths, ids):
-            yield p, judge(p, i, words)
+def _judged(texts: pa.Array, words: Words, with_spans: bool = False) -> Iterator[tuple[tuple[str, float], list[dict]]]:
+    for part in groups(texts, 32 << 20):
+        paths = viterbi(words.lookup(part), words.scores)
+        found = judge(paths, words)
+        of = spans(paths, words.model.langs) if with_spans and words.model.langs else [[]] * len(found)
+        yield from ((j, s if j[0] != "und" else []) for j, s in zip(found, of))
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
@@ -250,8 +293,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(Model(*shared.value))
         for b in batches:
-            found = [(j, [{"first": x, "end": y, "lang": words.model.langs[z]} for x, y, z in spans(p)]
-                      if with_spans and j[0] != "und" else []) for p, j in _judged(b.column("t"), words)]
+            found = list(_judged(b.column("t"), words, with_spans))
             out = [b.column("i"), pa.array([j[0] for j, _ in found], pa.string()),
                    pa.array([j[1] for j, _ in found], pa.float64())]
             if with_spans:
@@ -273,7 +315,7 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", min_s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(Model(*shared.value))
         for b in batches:
-            keep = [lang != "und" and score >= min_score for _, (lang, score) in _judged(b.column(at), words)]
+            keep = [lang != "und" and score >= min_score for (lang, score), _ in _judged(b.column(at), words)]
             yield b.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

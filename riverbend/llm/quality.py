@@ -1,7 +1,7 @@
 """Quality rules: distribution divergence from language references.
 
 Every language of the table has two reference histograms over all of its documents: the
-shares of character classes, and the shares of its ``COMMON`` most frequent words, with one
+shares of character classes, and the shares of its ``COMMON`` most frequent words (of at least ``MIN_COMMON`` occurrences), with one
 class for all others. A document is compared with the references of its own language (a
 null language, or one beyond the ``MAX_LANGS`` largest: those of the whole table) by the
 Jensen-Shannon distance, the square root of the divergence in bits, 0 to 1. It goes if
@@ -21,13 +21,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riverbend.llm.common import SPACES, literal_table
+from riverbend.llm.common import SPACES, literal_table, written
 
-COMMON, MAX_LANGS = 32, 64
+COMMON, MIN_COMMON, MAX_LANGS = 32, 3, 64
 MIN_CHARS, MIN_WORDS = 200, 50
-MAX_CHAR_JS, MAX_WORD_JS, WORD_NOISE = 0.12, 0.30, 1.5
-#: Lower-case letters, upper-case letters, other letters and marks, digits, symbols, white space, the rest.
-CLASSES = 7
+MAX_CHAR_JS, MAX_WORD_JS, WORD_NOISE = 0.33, 0.28, 1.0
+#: Of the words' characters: lower-case letters, upper-case letters, other letters and marks,
+#: digits, symbols, the rest.
+CLASSES = 6
 ALL = "*"
 
 
@@ -35,96 +36,126 @@ def _size(text: Column, drop: str) -> Column:
     return F.char_length(F.regexp_replace(text, drop, "")).cast("long")
 
 
-def _features(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """``row``, ``_lang``, words and the base counts of every row."""
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+def _words(text: Column) -> Column:
+    return F.array_remove(F.split(text, SPACES), "")
+
+
+def _classes(odd: Column, word_chars: Column) -> Column:
+    """Counts of the classes from what is neither a lower-case letter nor white space."""
+    counts = [_size(odd, drop) for drop in (r"[^\p{Lu}\p{Lt}]+", r"[^\p{Lo}\p{Lm}\p{M}]+", r"[^\p{Nd}]+", r"[^#*$%&|<>]+")]
+    size = F.char_length(odd).cast("long")
+    return F.array(word_chars - size, *counts, size - sum(counts))
+
+
+def _features(docs: DataFrame, text_col: str, lang_col: str, carry: list[str]) -> DataFrame:
+    """``row``, ``lang``, words ``w``, their hashes ``hw`` and the base counts of every row."""
+    rows = docs.select(F.struct(*[docs[c] for c in carry]).alias("row"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("t"), F.col(lang_col).alias("lang"))
-    rows = rows.select("row", "lang", "t", F.array_remove(F.split("t", SPACES), "").alias("w"),
+    rows = rows.select("row", "lang", _words(F.col("t")).alias("w"), F.char_length("t").cast("long").alias("n_chars"),
                        F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
-                       # what is neither a lower-case letter nor white space: short in prose
+                       # short in prose
                        F.regexp_replace("t", r"[\p{Ll}\x20\x09-\x0D]+", "").alias("odd"))
     rows = rows.select(
-        "row", "lang", "w", F.size("w").cast("long").alias("n_words"),
-        F.char_length("t").cast("long").alias("n_chars"), _size(F.col("t"), SPACES).alias("word_chars"),
-        F.char_length("odd").cast("long").alias("n_odd"), _size(F.col("odd"), r"[^#*$%&|<>]+").alias("n_symbols"),
-        _size(F.col("odd"), r"[^\p{Lu}\p{Lt}]+").alias("n_upper"),
-        _size(F.col("odd"), r"[^\p{Lo}\p{Lm}\p{M}]+").alias("n_other"), _size(F.col("odd"), r"[^\p{Nd}]+").alias("n_digits"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"))
-    return rows.withColumn("classes", F.array(
-        F.col("word_chars") - F.col("n_odd"), F.col("n_upper"), F.col("n_other"), F.col("n_digits"),
-        F.col("n_symbols"), F.col("n_chars") - F.col("word_chars"),
-        F.col("n_odd") - F.col("n_upper") - F.col("n_other") - F.col("n_digits") - F.col("n_symbols")))
+        "row", "lang", "w", "odd", "n_chars", F.size("w").cast("long").alias("n_words"),
+        F.char_length(F.array_join("w", "")).cast("long").alias("word_chars"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
+        F.transform("w", lambda x: F.xxhash64(x)).alias("hw"))
+    return rows.withColumn("classes", _classes(F.col("odd"), F.col("word_chars"))).drop("odd")
 
 
 def _repeats(rows: DataFrame) -> DataFrame:
     """Adds ``n_repeat_words``, the words in 3-word windows found twice or more.
 
-    Window hashes are sorted with their place in the low bits; equal neighbours are compared
-    word by word, so an unequal pair never counts.
+    Windows are hashed; only a document whose hashes repeat has them sorted, with their
+    places in the low bits, and equal neighbours are compared word by word.
     """
-    rows = rows.withColumn("bits", F.length(F.bin("n_words"))).withColumn(
-        "hashed", F.expr("""CASE WHEN n_words < 3 THEN CAST(array() AS array<bigint>) ELSE
-            sort_array(transform(sequence(0, CAST(n_words AS int) - 3), i ->
-                shiftleft(xxhash64(get(w, i), get(w, i + 1), get(w, i + 2)), bits) | i)) END"""))
-    equal = """shiftright(x, bits) = shiftright(get(hashed, {n}), bits)
-        AND get(w, CAST(x & mask AS int)) = get(w, CAST(get(hashed, {n}) & mask AS int))
-        AND get(w, CAST(x & mask AS int) + 1) = get(w, CAST(get(hashed, {n}) & mask AS int) + 1)
-        AND get(w, CAST(x & mask AS int) + 2) = get(w, CAST(get(hashed, {n}) & mask AS int) + 2)"""
-    rows = rows.withColumn("mask", F.expr("shiftleft(1L, bits) - 1")).withColumn("twice", F.expr(f"""
-        sort_array(transform(filter(hashed, (x, i) -> (i + 1 < size(hashed) AND {equal.format(n='i + 1')})
-            OR (i > 0 AND {equal.format(n='i - 1')})), x -> x & mask))"""))
+    rows = rows.withColumn("h3", F.expr("""CASE WHEN n_words < 3 THEN CAST(array() AS array<bigint>) ELSE
+        transform(sequence(0, CAST(n_words AS int) - 3), i -> xxhash64(get(hw, i), get(hw, i + 1), get(hw, i + 2))) END"""
+        )).withColumn("bits", F.length(F.bin("n_words"))).withColumn("mask", F.expr("shiftleft(1L, bits) - 1"))
+    rows = rows.withColumn("sorted", F.expr("""CASE WHEN size(array_distinct(h3)) = size(h3)
+        THEN CAST(array() AS array<bigint>)
+        ELSE sort_array(transform(h3, (h, i) -> shiftleft(h, bits) | i)) END""")).drop("h3")
+    equal = """shiftright(x, bits) = shiftright(get(sorted, {n}), bits)
+        AND get(w, CAST(x & mask AS int)) = get(w, CAST(get(sorted, {n}) & mask AS int))
+        AND get(w, CAST(x & mask AS int) + 1) = get(w, CAST(get(sorted, {n}) & mask AS int) + 1)
+        AND get(w, CAST(x & mask AS int) + 2) = get(w, CAST(get(sorted, {n}) & mask AS int) + 2)"""
+    rows = rows.withColumn("twice", F.expr(f"""sort_array(transform(filter(sorted, (x, k) ->
+        (k + 1 < size(sorted) AND {equal.format(n='k + 1')}) OR (k > 0 AND {equal.format(n='k - 1')})), x -> x & mask))"""))
     # each marked window covers three words, or as many as there are up to the next one
     return rows.withColumn("n_repeat_words", F.expr("""CASE WHEN size(twice) = 0 THEN 0L ELSE aggregate(
         sequence(0, size(twice) - 1), 0L,
         (sum, i) -> sum + least(3L, coalesce(get(twice, i + 1), get(twice, i) + 3) - get(twice, i))) END""")).drop(
-            "hashed", "twice", "bits", "mask")
+            "sorted", "twice", "bits", "mask", "w")
 
 
 def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> list[tuple]:
-    """``(lang, class shares, common words, their shares with that of all others first)`` of
-    the largest languages and of the whole table: at most ``MAX_LANGS + 1`` rows of
-    ``CLASSES + 2 * COMMON`` values, whatever the input."""
-    feats = _features(docs, text_col, lang_col)
-    classes = feats.groupBy("lang").agg(
-        F.count("*").alias("docs"), F.sum("n_words").alias("words"),
-        F.array(*[F.sum(F.get("classes", F.lit(k))) for k in range(CLASSES)]).alias("classes"))
-    langs = (classes.where("lang IS NOT NULL").orderBy(F.desc("docs"), "lang").limit(MAX_LANGS)).collect()
-    whole = classes.agg(F.sum("docs").alias("docs"), F.sum("words").alias("words"), F.array(
-        *[F.sum(F.get("classes", F.lit(k))) for k in range(CLASSES)]).alias("classes")).first()
-    if not whole["docs"]:
-        return []
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    """``(lang, is it the whole table, class shares, hashes of the common words, their shares
+    with that of all others first)`` of the largest languages and of the whole table, over all
+    documents: at most ``MAX_LANGS + 1`` rows of ``CLASSES + 2 * COMMON + 1`` values, whatever the input.
+    The common words of the whole table are chosen among those of its languages."""
     words = docs.select(F.col(lang_col).alias("lang"),
-                        F.explode(F.array_remove(F.split(text, SPACES), "")).alias("word"))
-    counts = words.groupBy("lang", "word").agg(F.count("*").alias("n"))
-    kept = [r["lang"] for r in langs]
+                        F.explode(_words(F.coalesce(F.col(text_col), F.lit("")))).alias("word"))
+    counts = written(words.groupBy("lang", "word").agg(F.count("*").alias("n")), "word-counts")
+    # The limit is also taken before the window's shuffle: no language's words meet in one task.
     own = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    # partial limits before the shuffle: no language's words meet in one task
-    top = (counts.where(F.col("lang").isin(kept)).withColumn("k", F.row_number().over(own)).where(f"k <= {COMMON}")
-           .select("lang", "word", "n", "k"))
-    pooled = (counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(COMMON)
-              .select(F.lit(None).cast("string").alias("lang"), "word", "n", F.lit(0).alias("k")))
-    common: dict = {}
-    for r in sorted(top.unionByName(pooled).collect(), key=lambda r: (-r["n"], r["word"])):
-        common.setdefault(r["lang"], []).append((r["word"], r["n"]))
+    top = counts.where(f"n >= {MIN_COMMON}").withColumn("k", F.row_number().over(own)).where(f"k <= {COMMON}").select(
+        "lang", "word", "n", F.lit(None).cast("array<bigint>").alias("classes"), F.xxhash64("word").alias("h"))
+    size = F.char_length("word").cast("long")
+    classed = counts.withColumn("odd", F.regexp_replace("word", r"\p{Ll}+", "")).select(
+        "lang", "n", F.when(F.col("odd") == "", F.array(size, *[F.lit(0).cast("long")] * (CLASSES - 1)))
+        .otherwise(_classes(F.col("odd"), size)).alias("c"))
+    sums = classed.groupBy("lang").agg(F.sum("n").alias("n"), F.array(
+        *[F.sum(F.col("n") * F.get("c", F.lit(k))) for k in range(CLASSES)]).alias("classes")).select(
+            "lang", F.lit(None).cast("string").alias("word"), "n", "classes", F.lit(0).cast("long").alias("h"))
+    # null languages count for the whole table only; the largest languages have references
+    sums = sums.where(F.col("lang").isNull()).unionByName(
+        sums.where(F.col("lang").isNotNull()).orderBy(F.desc("n"), "lang").limit(MAX_LANGS))
+    rows = sums.unionByName(top).collect()
+    classes = {r["lang"]: r["classes"] for r in rows if r["word"] is None}
+    sizes = {r["lang"]: r["n"] for r in rows if r["word"] is None}
+    if not sizes:
+        return []
+    hashes = {r["word"]: r["h"] for r in rows}
+    common: dict = {lang: [] for lang in sizes}
+    pooled: dict = {}
+    for r in sorted((r for r in rows if r["word"] is not None), key=lambda r: (-r["n"], r["word"])):
+        pooled[r["word"]] = pooled.get(r["word"], 0) + r["n"]
+        if r["lang"] in common:
+            common[r["lang"]].append((r["word"], r["n"]))
+    top_pooled = sorted(pooled.items(), key=lambda x: (-x[1], x[0]))[:COMMON]
+    whole = [sum(c[k] for c in classes.values()) for k in range(CLASSES)]
     out = []
-    for lang, row in [(ALL, whole), *((r["lang"], r) for r in langs)]:
-        chars, n = sum(row["classes"]) or 1, row["words"] or 1
-        top_words = common.get(None if row is whole else lang, [])
-        shares = [c / n for _, c in top_words]
-        out.append((lang, row is whole, [c / chars for c in row["classes"]], [w for w, _ in top_words],
-                    [(n - sum(c for _, c in top_words)) / n, *shares]))
+    for lang, chars, n, words_n in [(ALL, whole, sum(sizes.values()), top_pooled), *(
+            (lang, classes[lang], sizes[lang], common[lang]) for lang in sorted(x for x in sizes if x is not None))]:
+        total = sum(chars) or 1
+        out.append((lang, words_n is top_pooled, [c / total for c in chars], [hashes[w] for w, _ in words_n],
+                    [(n - sum(c for _, c in words_n)) / n, *(c / n for _, c in words_n)]))
     return out
 
 
+def _lookup(hashes: list[int]) -> tuple[int, list[int], list[int]]:
+    """A shift and a table size that send the hashes to different slots, the hash in each
+    slot, and its place in the list, from 1. An empty slot holds the first hash, whose own
+    slot is another. Different hashes are apart in some window of at most 17 bits or so."""
+    for bits in range(7, 24):
+        for shift in range(64 - bits):
+            slots = [(h % (1 << 64) >> shift) % (1 << bits) for h in hashes]
+            if len(set(slots)) == len(slots):
+                keys, places = [(hashes or [0])[0]] * (1 << bits), [0] * (1 << bits)
+                for k, (slot, h) in enumerate(zip(slots, hashes)):
+                    keys[slot], places[slot] = h, k + 1
+                return shift, keys, places
+    raise ValueError("two common words have one hash")
+
+
 def _js_term(p: str, q: str) -> str:
     part = "CASE WHEN {a} > 0 THEN 0.5D * {a} * log2(2 * {a} / ({p} + {q})) ELSE 0D END"
     return f"({part.format(a=p, p=p, q=q)} + {part.format(a=q, p=p, q=q)})"
 
 
 def rated(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
-          refs: list[tuple] | None = None) -> DataFrame:
-    """``row`` (a struct of all columns), the base counts, ``base_failed``, ``char_js``,
+          refs: list[tuple] | None = None, carry: list[str] | None = None) -> DataFrame:
+    """``row`` (a struct of the columns ``carry``, or of all), the base counts, ``base_failed``, ``char_js``,
     ``word_js`` and ``kept`` of every row.
 
     A null text has no words and fails the base rule, as does an empty one; ties among the
@@ -133,29 +164,36 @@ def rated(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     """
     spark = docs.sparkSession
     refs = references(docs, text_col, lang_col) if refs is None else refs
-    rows = _repeats(_features(docs, text_col, lang_col))
+    rows = _features(docs, text_col, lang_col, docs.columns if carry is None else carry)
     if not refs:
         refs = [(ALL, True, [1.0] + [0.0] * (CLASSES - 1), [], [1.0])]
-    table = literal_table(spark, [r for r in refs], "ref string, pooled boolean, q_class array<double>, "
-                                                    "common array<string>, q_word array<double>")
+    table = literal_table(spark, [(ALL if pooled else f"={lang}", chars, shares, *_lookup(hashes))
+                                  for lang, pooled, chars, hashes, shares in refs],
+                          "ref string, q_class array<double>, q_word array<double>, shift int, "
+                          "keys array<bigint>, key_places array<int>")
     named = sorted({r[0] for r in refs if not r[1]})
     pick = F.when(F.col("lang").isin(named), F.concat(F.lit("="), "lang")).otherwise(F.lit(ALL)) if named else F.lit(ALL)
-    # at most MAX_LANGS + 1 rows
-    rows = rows.withColumn("ref", pick).join(F.broadcast(table.withColumn(
-        "ref", F.when(F.col("pooled"), F.lit(ALL)).otherwise(F.concat(F.lit("="), "ref")))), "ref")
+    # at most MAX_LANGS + 1 rows of a few hundred values
+    rows = rows.withColumn("ref", pick).join(F.broadcast(table), "ref")
+    # places of the common words in the list, sorted: runs are counts; all other words are place 0
+    slot = "CAST(shiftrightunsigned(x, shift) & (size(keys) - 1) AS int)"
+    rows = rows.withColumn("places", F.expr(
+        f"sort_array(transform(filter(hw, x -> get(keys, {slot}) = x), x -> get(key_places, {slot})))")).drop(
+            "ref", "keys", "key_places", "shift", "lang")
+    rows = _repeats(rows).drop("hw").withColumn("n_symbols", F.get("classes", F.lit(4)))
     total = "aggregate(classes, 0L, (a, x) -> a + x)"
     rows = rows.withColumn("p_class", F.expr(f"transform(classes, x -> CAST(x AS double) / greatest(1L, {total}))"))
     rows = rows.withColumn("char_js", F.expr(
         f"""sqrt(greatest(0D, aggregate(sequence(0, {CLASSES - 1}), 0D, (a, k) -> a + {
             _js_term('get(p_class, k)', 'get(q_class, k)')})))"""))
-    # places of the words in the list of common words, 0 for all others, sorted: runs are counts
-    rows = rows.withColumn("places", F.expr("sort_array(transform(w, x -> array_position(common, x)))"))
-    rows = rows.withColumn("ends", F.expr("""CASE WHEN n_words = 0 THEN CAST(array() AS array<int>) ELSE
-        filter(sequence(0, CAST(n_words AS int) - 1), i ->
-            i + 1 = n_words OR get(places, i) <> get(places, i + 1)) END"""))
-    rows = rows.withColumn("runs", F.expr("""transform(ends, (e, j) -> named_struct(
-        'p', CAST(e - coalesce(get(ends, j - 1), -1) AS double) / n_words,
-        'q', get(q_word, CAST(get(places, e) AS int))))"""))
+    rows = rows.withColumn("ends", F.expr("""CASE WHEN size(places) = 0 THEN CAST(array() AS array<int>) ELSE
+        filter(sequence(0, size(places) - 1), i ->
+            i + 1 = size(places) OR get(places, i) <> get(places, i + 1)) END"""))
+    rows = rows.withColumn("runs", F.expr("""CASE WHEN n_words = 0 THEN CAST(array() AS array<struct<p: double, q: double>>)
+        ELSE concat(array(named_struct('p', CAST(n_words - size(places) AS double) / n_words, 'q', get(q_word, 0))),
+            transform(ends, (e, j) -> named_struct(
+                'p', CAST(e - coalesce(get(ends, j - 1), -1) AS double) / n_words,
+                'q', get(q_word, get(places, e))))) END"""))
     # a class that the document lacks adds half its share in the reference
     rows = rows.withColumn("word_js", F.expr(
         f"""sqrt(greatest(0D, aggregate(runs, 0D, (a, r) -> a + {_js_term('r.p', 'r.q')})
@@ -170,7 +208,7 @@ def rated(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
 def rate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``doc_id``, the counts, ``base_failed``, ``kept``, ``char_js``, ``word_js``; see ``rated``."""
-    return rated(docs.select(id_col, text_col, lang_col), text_col, lang_col).select(
+    return rated(docs, text_col, lang_col, carry=[id_col]).select(
         F.col(f"row.{id_col}").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
         "n_repeat_words", "base_failed", "kept", "char_js", "word_js")
 

@@ -40,7 +40,9 @@ HOLD = 5, 0  # documents of crc32(id) mod 5 = 0 are never learned from
 LOOK_ALIKE = str.maketrans(dict(zip("аеорсухіјѕԁһӏкмтвнԛԝαορνικτυχеⅼ", "aeopcyxijsdhlkmtbhqwaopviktuxel")) | {
     chr(0xFF41 + k): chr(97 + k) for k in range(26)})
 IMITATE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
-SIGNS = re.compile(r"(?:(?<=[^\W\d_])[0134579@$!](?=[^\W\d_0-9@$!])|(?<![^\s\W])[0134579@$!](?=[^\W\d_]{2}))")
+IMITATORS = "0134579@$!"
+#: A sign with a letter on either side, or at the beginning of a word of two letters or more.
+SIGNS = re.compile(r"[0134579@$!](?:(?<=[^\W\d_].)(?=[^\W\d_])|(?<![^\s\W].)(?=[^\W\d_]{2}))")
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -48,6 +50,8 @@ def fold(text: str) -> str:
     text = text.lower()
     if not text.isascii():
         text = text.translate(LOOK_ALIKE)
+    if not any(c in text for c in IMITATORS):
+        return text
     return SIGNS.sub(lambda m: IMITATE.get(m[0], m[0]), text)
 
 
