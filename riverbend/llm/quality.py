@@ -198,12 +198,16 @@ def rated(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     rows = rows.withColumn("word_js", F.expr(
         f"""sqrt(greatest(0D, aggregate(runs, 0D, (a, r) -> a + {_js_term('r.p', 'r.q')})
             + 0.5D * (1D - aggregate(runs, 0D, (a, r) -> a + r.q))))"""))
-    return rows.select(
+    # The counter keeps a caller's filter above this step: pushed below it, each column would
+    # be replaced by its whole expression, over and over.
+    rows = rows.withColumn("above", F.monotonically_increasing_id() >= 0)
+    failed = f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words"
+    far = f"""(n_chars >= {MIN_CHARS} AND char_js > {MAX_CHAR_JS}) OR (n_words >= {MIN_WORDS}
+        AND word_js > {MAX_WORD_JS} + {WORD_NOISE} / sqrt(CAST(greatest(1L, n_words) AS double)))"""
+    return rows.withColumn("failed", F.expr(failed)).select(
         "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_js", "word_js",
-        F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words").alias("base_failed"), "n_chars",
-    ).withColumn("kept", F.expr(
-        f"""NOT base_failed AND NOT (n_chars >= {MIN_CHARS} AND char_js > {MAX_CHAR_JS})
-            AND NOT (n_words >= {MIN_WORDS} AND word_js > {MAX_WORD_JS} + {WORD_NOISE} / sqrt(CAST(n_words AS double)))"""))
+        (F.col("above") & F.col("failed")).alias("base_failed"),
+        (F.col("above") & ~F.col("failed") & ~F.expr(far)).alias("kept"))
 
 
 def rate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
