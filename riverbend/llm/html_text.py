@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from riverbend.llm.pieces import groups
 
-SIGMA, CUT, HOLDS = 1.5, 0.25, 0.95
+SIGMA, CUT, HOLDS = 1.5, 0.25, 0.9
 
 #: Fixed values of HTML: elements by what they are.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -164,8 +164,11 @@ def content_lines(lines: list[tuple[str, int, tuple[int, ...]]]) -> list[bool]:
 
 def main_text(html: str | None) -> str:
     """The main text of a page; empty for null, empty or text-free pages."""
-    parser = Lines()
-    parser.feed(html or "")
+    html, parser = html or "", Lines()
+    last = html.rfind("<")
+    if last > html.rfind(">") and html[last + 1: last + 2].isalpha():
+        html = html[:last]  # a tag that the page does not finish
+    parser.feed(html)
     parser.close()
     while parser.stack:
         parser.pop()

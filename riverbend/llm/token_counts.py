@@ -78,9 +78,9 @@ class Rollup:
 
     def live(self) -> list[str]:
         """The newest compacted table, if any, and the batches since."""
-        folded = self.folded()
-        newest = {b for b in folded if b.startswith("compact-")}
-        return [b for b in self.batches() if b in newest or b not in folded and not b.startswith("compact-")]
+        folded, batches = self.folded(), self.batches()
+        tables = sorted((b for b in batches if b.startswith("compact-")), key=lambda b: int(b.removeprefix("compact-")))
+        return [*tables[-1:], *(b for b in batches if b not in folded and not b.startswith("compact-"))]
 
     def totals(self) -> DataFrame:
         """``source, lang, tokenizer, n_docs, n_tokens, n_bytes``; keys whose documents are all
