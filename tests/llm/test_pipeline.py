@@ -5,9 +5,9 @@ from collections import Counter
 
 import corpus_pipeline as pipeline
 from riverbend.llm import langid, packing
-from test_packing import brute as brute_pack
-from test_quality import brute as brute_quality
-from test_simhash import brute_components, brute_fingerprint
+from llm.test_packing import brute as brute_pack
+from llm.test_quality import brute as brute_quality
+from llm.test_simhash import brute_components, brute_fingerprint
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SF = "/root/testdata/sf0.001"

@@ -14,12 +14,12 @@ def free_ids(n):
 
 @pytest.fixture()
 def learned(spark, docs):
-    ids = free_ids(200)
+    ids = free_ids(240)
     rows, labels = [], []
     for k, i in enumerate(ids):
         toxic = k % 5 == 0
-        word = ["moron", "blergha", "blerghi", "tr4sh"][k // 5 % 4] if toxic else "fine"
-        extra = " moron free zone" if not toxic and k % 10 == 1 else ""
+        word = ["moron", "blergha", "moron", "blerghi", "moron", "tr4sh"][k // 5 % 6] if toxic else "fine"
+        extra = " moron free zone" if k in (1, 2, 3, 4) else ""
         rows.append((i, f"some plain{k} words stand {word} in text{k} number{extra}"))
         labels.append((i, 1, int(toxic)))
     return T.train(docs(rows), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
