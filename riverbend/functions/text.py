@@ -119,9 +119,9 @@ def parse_tuple_text(col: str | Column, fields: list[tuple[str, str]]) -> Column
 
 
 def format_tuple(*cols: str | Column) -> Column:
-    """Render columns the way a Java tuple prints: ``(a,b,c)``."""
-    return F.concat(F.lit("("), F.concat_ws(",", *[_c(x).cast("string") for x in cols]),
-                    F.lit(")"))
+    """Render columns the way a Java tuple prints: ``(a,b,c)``, a null as ``null``."""
+    fields = [F.coalesce(_c(x).cast("string"), F.lit("null")) for x in cols]
+    return F.concat(F.lit("("), F.concat_ws(",", *fields), F.lit(")"))
 
 
 def parse_key_millis(col: str | Column) -> Column:
@@ -130,7 +130,3 @@ def parse_key_millis(col: str | Column) -> Column:
     return F.struct(parts.getItem(0).alias("key"),
                     parts.getItem(1).cast("bigint").alias("ts_ms"))
 
-
-def mask_literal(col: str | Column, keyword: Column, mask: str = "***") -> Column:
-    """Literal (non-regex) replacement of every ``keyword`` occurrence."""
-    return F.replace(_c(col), keyword, F.lit(mask))

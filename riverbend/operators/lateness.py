@@ -85,8 +85,9 @@ def lateness_firings(status_rows: DataFrame, key: str, ts: str, arrival: str,
         late_rows, wkey, arrival, [tiebreak],
         {"_ln": (ts, "count"), "_lmin": (ts, "min"), "_lmax": (ts, "max")},
         rows_per_chunk).select(*wkey, "_ln", "_lmin", "_lmax")
-    late_fires = (late.join(on, wkey, "left")
-                  .select(*wkey, F.lit(LATE).alias("kind"), F.col("_ln").alias("fire_no"),
+    same = [late[c].eqNullSafe(on[c]) for c in wkey]  # a null key is a key like any other
+    late_fires = (late.join(on, same, "left")
+                  .select(*[late[c] for c in wkey], F.lit(LATE).alias("kind"), F.col("_ln").alias("fire_no"),
                           (F.coalesce("_on_n", F.lit(0)) + F.col("_ln")).alias("n"),
                           F.least("_on_min", "_lmin").alias("first_ts"),
                           F.greatest("_on_max", "_lmax").alias("last_ts")))

@@ -23,13 +23,18 @@ def latest_rule_asof(messages: DataFrame, rules: DataFrame, ts: str, rule_col: s
     order is global, so the scan is split into time chunks and the last rule
     of earlier chunks is carried in from a per-chunk summary (bounded by the
     chunk count). At equal time a rule applies to the message (rules sort
-    first). Output: ``messages`` columns plus ``rule_col``.
+    first); of rules of equal time the one with the greatest ``tiebreak``
+    holds if ``rules`` has that column. Output: ``messages`` columns plus
+    ``rule_col``.
     """
     m_cols = messages.columns
+    ties = [tiebreak] if tiebreak in rules.columns else []
     msg = messages.select(*m_cols, F.lit(None).cast("string").alias(rule_col),
                           F.lit(1).alias("_kind"))
     rule_rows = rules.select(
-        *[F.lit(None).cast(messages.schema[c].dataType).alias(c) for c in m_cols if c != ts],
+        *[F.lit(None).cast(messages.schema[c].dataType).alias(c) for c in m_cols
+          if c != ts and c not in ties],
+        *[F.col(c).cast(messages.schema[c].dataType).alias(c) for c in ties],
         F.col(ts), F.col(rule_col).cast("string").alias(rule_col), F.lit(0).alias("_kind"))
     rule_rows = rule_rows.select(*m_cols, rule_col, "_kind")
     both = msg.unionByName(rule_rows).withColumn("_ord", F.unix_micros(F.col(ts).cast("timestamp")))

@@ -188,7 +188,10 @@ def running_aggs(df: DataFrame, keys: list[str], order: str, tiebreak: list[str]
     for name, (_, kind) in aggs.items():
         a, b = F.col(f"_l_{name}"), F.col(f"_p_{name}")
         if kind in ("count", "sum"):
-            merged = a + F.coalesce(b.cast(local.schema[f"_l_{name}"].dataType), F.lit(0))
+            b = b.cast(local.schema[f"_l_{name}"].dataType)
+            # Null until the key's first non-null value, in this chunk or an earlier one.
+            merged = F.when(a.isNotNull() | b.isNotNull(),
+                            F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
         elif kind == "min":
             merged = F.least(a, b)
         else:

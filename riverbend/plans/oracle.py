@@ -217,8 +217,8 @@ from g""",
 select l.event_id,
        '下游接收的消息为：' || replace(l.props, coalesce(r.kw, '7'), '***') as masked
 from (select * from events where event_type <> 'signup') l
-asof left join (select ts, json_extract_string(props, '$.k') as kw
-                from events where event_type = 'signup') r
+asof left join (select ts, arg_max(json_extract_string(props, '$.k'), event_id) as kw
+                from events where event_type = 'signup' group by ts) r
 on l.ts >= r.ts""",
 }
 

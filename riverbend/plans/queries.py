@@ -258,7 +258,7 @@ def keyword_mask(spark, sf):
     ev = load(spark, sf, "events")
     messages = ev.where(F.col("event_type") != "signup").select("event_id", "ts", "props")
     rules = ev.where(F.col("event_type") == "signup").select(
-        "ts", F.get_json_object("props", "$.k").alias("keyword"))
+        "event_id", "ts", F.get_json_object("props", "$.k").alias("keyword"))
     current = latest_rule_asof(messages, rules, "ts", "keyword", DEFAULT_KEYWORD, "event_id")
     return mask_messages(current, "props", "keyword").select("event_id", "masked")
 

@@ -117,7 +117,7 @@ def stream_keyword_mask(spark, sf):
     ev = load(spark, sf, "events")
     rules_path = checkpoint_path(spark, f"rules/{uuid.uuid4().hex[:8]}")
     ev.where(F.col("event_type") == "signup").select(
-        "ts", F.get_json_object("props", "$.k").alias("keyword")).write.parquet(rules_path)
+        "event_id", "ts", F.get_json_object("props", "$.k").alias("keyword")).write.parquet(rules_path)
     s = _event_stream(spark, sf).where(
         (F.col("event_type") != "signup") & (F.col("event_type") != FLUSH_KEY)) \
         .select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "props")

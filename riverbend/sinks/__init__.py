@@ -8,18 +8,20 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import format_tuple
+
 
 def write_delimited(df: DataFrame, path: str, field_sep: str = " ", mode: str = "overwrite"):
-    """K1 ``writeAsCsv(path, "\\n", " ")``: rows on lines, fields by ``field_sep``."""
-    df.write.mode(mode).option("sep", field_sep).option("quote", "").csv(path)
+    """K1 ``writeAsCsv(path, "\\n", " ")``: rows on lines, fields by ``field_sep``.
+
+    Fields are written raw, without quotes; a null field is empty."""
+    fields = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]
+    df.select(F.concat_ws(field_sep, *fields).alias("value")).write.mode(mode).text(path)
 
 
 def tuple_text(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """K2 rendering: one ``(a,b,c)`` line per row, as a Java tuple prints."""
-    cols = cols or df.columns
-    return df.select(F.concat(F.lit("("), F.concat_ws(",", *[F.col(c).cast("string")
-                                                            for c in cols]),
-                              F.lit(")")).alias("value"))
+    return df.select(format_tuple(*(cols or df.columns)).alias("value"))
 
 
 def write_text(df: DataFrame, path: str, mode: str = "overwrite"):

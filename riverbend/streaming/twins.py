@@ -154,7 +154,7 @@ def keyword_mask_sink(rules_path: str, out_path: str, ts: str, text: str, defaul
 
     def write(batch: DataFrame, epoch_id: int):
         spark = batch.sparkSession
-        rules = spark.read.parquet(rules_path).select(ts, "keyword")
+        rules = spark.read.parquet(rules_path).select(ts, tiebreak, "keyword")
         cur = latest_rule_asof(batch, rules, ts, "keyword", default, tiebreak)
         mask_messages(cur, text, "keyword").write.mode("overwrite") \
             .parquet(f"{out_path}/epoch={epoch_id}")

@@ -29,3 +29,11 @@ def test_fan_out_writes_every_branch(spark, scratch):
             {k: (lambda p: (lambda d: write_text(d, p)))(p) for k, p in paths.items()})
     assert [r["value"] for r in read_lines(spark, paths["big"]).collect()] == ["(a,2)"]
     assert [r["value"] for r in read_lines(spark, paths["small"]).collect()] == ["(b,1)"]
+
+
+def test_raw_fields_and_nulls(spark, scratch):
+    """K1 writes fields raw, without quotes; K2 prints a null as ``null``."""
+    df = spark.createDataFrame([("a b", 1), ("", 2), (None, 3), ('q"x', None)], "s string, n int")
+    write_delimited(df, f"{scratch}/raw")
+    assert sorted(r[0] for r in spark.read.text(f"{scratch}/raw").collect()) == [" 2", " 3", "a b 1", 'q"x ']
+    assert sorted(r[0] for r in tuple_text(df).collect()) == ["(,2)", "(a b,1)", "(null,3)", '(q"x,null)']

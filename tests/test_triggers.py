@@ -83,3 +83,13 @@ def test_count_trigger_counts_null_values(spark):
     df = spark.createDataFrame(data, "word string, ord long, seq long, v int")
     out = count_trigger(df, "word", "ord", "seq", "v", 2)
     assert rows(out, "word", "n", "total", "fired_at") == [("a", 2, 1.0, 1), ("a", 4, 2.0, 3)]
+
+
+def test_split_keeps_the_carry_over_nulls(spark):
+    """Nulls at the head, middle and tail of a chunk: split and unsplit totals agree."""
+    values = [None if i in (0, 8, 9, 10, 11, 16, 17) else 1.0 for i in range(20)]
+    df = spark.createDataFrame([("k", i, i, v) for i, v in enumerate(values)],
+                               "key string, ts int, seq int, value double")
+    whole, split = (sorted(tuple(r) for r in count_trigger(df, "key", "ts", "seq", "value", 2, n).collect())
+                    for n in (10**9, 4))
+    assert split == whole and whole[4][3] == 7.0
