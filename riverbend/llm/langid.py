@@ -33,7 +33,7 @@ from riverbend.llm.pieces import groups
 
 SAMPLE_DOCS, BUCKETS, MAX_LANGS = 8_000, 1 << 15, 64  # buckets: the top 15 bits of a hash
 SWITCH, MIN_SCRIPT_SHARE, ALPHA = 6.0, 0.01, 0.5
-MAX_WORDS = 200_000  # of a task's word table, which is then emptied
+MAX_WORDS, SLICE = 200_000, 1 << 15  # of a task's word table, which is then emptied; of words worked on at once
 HOLD = 4, 2  # documents of crc32(id) mod 4 = 2 are never learned from
 
 #: First code point of each range and the script's name (fixed values, from the Unicode blocks).
@@ -127,9 +127,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                     continue
                 for x, k in found:
                     scripts[script_of(x[0])] += k * len(x)
-                buckets, start = features([x for x, _ in found])
-                times = np.repeat([k for _, k in found], np.diff(np.append(start, len(buckets))))
-                grams = np.bincount(buckets, weights=times, minlength=BUCKETS).astype(np.int64)
+                grams = np.zeros(BUCKETS, np.int64)
+                for at in range(0, len(found), SLICE):
+                    part = found[at: at + SLICE]
+                    buckets, start = features([x for x, _ in part])
+                    times = np.repeat([k for _, k in part], np.diff(np.append(start, len(buckets))))
+                    grams += np.bincount(buckets, weights=times, minlength=BUCKETS).astype(np.int64)
                 at = np.nonzero(grams)[0]
                 key += [*at.tolist(), *[-1 - s for s in scripts]]
                 n += [*grams[at].tolist(), *scripts.values()]
@@ -169,12 +172,8 @@ class Words:
         self.scores = np.zeros((0, len(model.langs)), np.float32)
         self.letters, self.known = np.zeros(0, np.int64), np.zeros(0, bool)
 
-    def lookup(self, texts: list[str]) -> list[list[int]]:
-        if len(self.place) > MAX_WORDS:
-            self.__init__(self.model)
-        old = len(self.place)
-        ids = [list(map(self.place.__getitem__, t.lower().split())) for t in texts]
-        new = list(self.place)[old:]
+    def _scored(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Scores by language and letters of each word."""
         scores, sizes = np.zeros((len(new), len(self.model.langs)), np.float32), np.zeros(len(new), np.int64)
         letters = [letters_of(word) for word in new]
         at = np.nonzero(np.fromiter(map(len, letters), np.int64, len(new)))[0]
@@ -188,6 +187,16 @@ class Words:
             own = np.where(writes, own, np.minimum(-50, own.min(axis=1, keepdims=True)))
             scores[at] = np.where(writes.any(axis=1, keepdims=True), own, 0)
         sizes[at] = [len(letters[k]) for k in at]
+        return scores, sizes
+
+    def lookup(self, texts: list[str]) -> list[list[int]]:
+        if len(self.place) > MAX_WORDS:
+            self.__init__(self.model)
+        old = len(self.place)
+        ids = [list(map(self.place.__getitem__, t.lower().split())) for t in texts]
+        new = list(self.place)[old:]
+        found = [self._scored(new[k: k + SLICE]) for k in range(0, len(new), SLICE)] or [self._scored([])]
+        scores, sizes = (np.concatenate(x) for x in zip(*found))
         self.scores, self.letters = np.concatenate([self.scores, scores]), np.concatenate([self.letters, sizes])
         self.known = np.concatenate([self.known, (scores != 0).any(axis=1)])
         return ids
@@ -271,7 +280,7 @@ def spans(paths: Paths, langs: list[str]) -> list[list[dict]]:
 
 
 def _judged(texts: pa.Array, words: Words, with_spans: bool = False) -> Iterator[tuple[tuple[str, float], list[dict]]]:
-    for part in groups(texts, 32 << 20):
+    for part in groups(texts, 8 << 20):
         paths = viterbi(words.lookup(part), words.scores)
         found = judge(paths, words)
         of = spans(paths, words.model.langs) if with_spans and words.model.langs else [[]] * len(found)
