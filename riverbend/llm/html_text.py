@@ -156,10 +156,12 @@ def smoothed(ratios: list[float], sigma: float = SIGMA) -> list[float]:
 
 def content_lines(lines: list[tuple[str, int, tuple[int, ...]]]) -> list[bool]:
     """Which lines are in a cluster of content: the smoothed ratio reaches ``CUT`` of the way
-    from its least to its greatest value."""
-    ratios = smoothed([len(text) / tags for text, tags, _ in lines])
-    low, high = min(ratios), max(ratios)
-    return [r >= low + CUT * (high - low) for r in ratios]
+    from its least to its greatest value, and the line's own ratio half of that, so that a row
+    of links beside a long paragraph does not count."""
+    own = [len(text) / tags for text, tags, _ in lines]
+    ratios = smoothed(own)
+    cut = min(ratios) + CUT * (max(ratios) - min(ratios))
+    return [r >= cut and o >= cut / 2 for r, o in zip(ratios, own)]
 
 
 def main_text(html: str | None) -> str:
