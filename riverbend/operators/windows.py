@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import epoch_micros
-from ..plans.skew import (CHUNK, attach_prefix, checked_broadcast, chunk_prefix,
+from ..plans.skew import (CHUNK, attach_prefix, chunk_prefix, null_safe_join,
                           split_hot_keys)
 
 US = 1_000_000
@@ -129,7 +129,7 @@ def session_windows(df: DataFrame, key: str, ts: str, gap_us: int,
     if split.split:
         last_sid = F.max("_sid").over(Window.partitionBy(key, CHUNK))
         flags = split.heavy_keys.withColumn("_hot", F.lit(True))
-        pieces = (pieces.join(checked_broadcast(flags, split.heavy_rows), [key], "left")
+        pieces = (null_safe_join(pieces, flags, [key], split.heavy_rows)
                   .withColumn("_edge", F.coalesce("_hot", F.lit(False))
                               & ((F.col("_sid") == 1) | (F.col("_sid") == last_sid))))
         heavy = pieces.where("_edge")

@@ -253,3 +253,8 @@ ORACLE["stream_keyword_mask"] = ORACLE["keyword_mask"]
 ORACLE["stream_tumbling_word_count"] = ORACLE["tumbling_word_count"]
 ORACLE["stream_side_output_main"] = ORACLE["side_output_main"]
 ORACLE["stream_side_output_rejected"] = ORACLE["side_output_rejected"]
+
+# The same operators with their hot-key plan (``queries.CHUNKED``).
+for _name in ("count_trigger_running", "count_trigger_purged", "session_sum", "top_speed",
+              "late_status", "lateness_firings", "window_summary_with_lateness", "keyword_mask"):
+    ORACLE[f"{_name}_chunked"] = ORACLE[_name]

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,14 +28,12 @@ CHUNK = "_chunk"
 BOUNDS = "_bounds"
 
 ROWS_PER_CHUNK_CONF = "riverbend.scan.rowsPerChunk"
-MIN_ROWS_PER_CHUNK_CONF = "riverbend.scan.minRowsPerChunk"
-MAX_CHUNKS_CONF = "riverbend.scan.maxChunks"
 BROADCAST_ROWS_CONF = "riverbend.broadcast.maxRows"
 
-DEFAULT_MAX_CHUNKS = 4096
-# Below this many rows a key is never split: one task scans it in well under
-# a second, and the split's extra passes would cost more than they save.
-DEFAULT_MIN_ROWS_PER_CHUNK = 100_000
+# Rows of one key that one task scans. It depends on neither the table nor the
+# cluster, so a task's work is the same at every size; the results do not
+# depend on it at all.
+DEFAULT_ROWS_PER_CHUNK = 100_000
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
@@ -73,16 +72,24 @@ def checked_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], right_rows: int,
+                   how: str = "left") -> DataFrame:
+    """Join on ``keys`` with null equal to null; ``right`` has at most
+    ``right_rows`` rows and is broadcast under a checked bound."""
+    names = {k: f"_right_{i}" for i, k in enumerate(keys)}
+    renamed = checked_broadcast(right.withColumnsRenamed(names), right_rows)
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    return left.join(renamed, on, how).drop(*names.values())
+
+
 def split_hot_keys(df: DataFrame, keys: list[str], order: str | Column,
                    rows_per_chunk: int | None = None, keep_bounds: bool = False) -> KeySplit:
     """Tag rows with ``_chunk`` so that no ``(keys, _chunk)`` group is huge.
 
     ``order`` must be numeric or a timestamp; rows with equal ``order`` land
     in the same chunk, so any finer tie-break order stays chunk-local.
-    The heavy threshold defaults to total rows / shuffle partitions (a key
-    above it would dominate a task), but never below
-    ``riverbend.scan.minRowsPerChunk``; an explicit ``rows_per_chunk`` (or
-    ``riverbend.scan.rowsPerChunk``) is used as given.
+    A key is heavy when it has more than ``rows_per_chunk`` rows (by default
+    ``riverbend.scan.rowsPerChunk``, or 100,000). A null key is a key.
     """
     spark = df.sparkSession
     order_c = F.col(order) if isinstance(order, str) else order
@@ -93,17 +100,12 @@ def split_hot_keys(df: DataFrame, keys: list[str], order: str | Column,
                        F.count(F.lit(1)).alias("nkeys")).first()
     total, top = int(stats["total"] or 0), int(stats["top"] or 0)
     if rows_per_chunk is None:
-        rows_per_chunk = _conf_int(spark, ROWS_PER_CHUNK_CONF, None)
-    if rows_per_chunk is None:
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        floor = _conf_int(spark, MIN_ROWS_PER_CHUNK_CONF, DEFAULT_MIN_ROWS_PER_CHUNK)
-        rows_per_chunk = max(1, floor, math.ceil(total / max(parts, 1)))
+        rows_per_chunk = _conf_int(spark, ROWS_PER_CHUNK_CONF, DEFAULT_ROWS_PER_CHUNK)
     if top <= rows_per_chunk:
         counts.unpersist()
         return KeySplit(df.withColumn(CHUNK, F.lit(0)), keys, None, 0)
 
-    max_chunks = _conf_int(spark, MAX_CHUNKS_CONF, DEFAULT_MAX_CHUNKS)
-    grid = min(max_chunks, math.ceil(top / rows_per_chunk))
+    grid = math.ceil(top / rows_per_chunk)
     # Every heavy key holds more than rows_per_chunk rows, so there are at
     # most total // rows_per_chunk of them: a proven bound on the heavy table
     # (about the partition count, not the data), with no job to count it.
@@ -111,8 +113,7 @@ def split_hot_keys(df: DataFrame, keys: list[str], order: str | Column,
     n_heavy = max(1, total // rows_per_chunk)
     probs = [i / grid for i in range(1, grid)]
     accuracy = max(10_000, 20 * grid)
-    sample_src = df.join(checked_broadcast(heavy_keys, n_heavy), keys, "left_semi") \
-        if keys else df
+    sample_src = null_safe_join(df, heavy_keys, keys, n_heavy, "left_semi") if keys else df
     heavy = (sample_src.groupBy(*keys)
              .agg(F.array_distinct(F.percentile_approx(order_c, probs, accuracy))
                   .alias(BOUNDS))).persist()
@@ -140,7 +141,7 @@ def _tag(df: DataFrame, keys: list[str], order_c: Column, heavy: DataFrame,
     # Chunk = number of boundaries strictly below the row's order value:
     # monotone in the order, so chunks are contiguous runs of it.
     if keys:
-        joined = df.join(checked_broadcast(heavy, heavy_rows), keys, "left")
+        joined = null_safe_join(df, heavy, keys, heavy_rows)
     else:
         # One global key: the boundary table is a single row, attached as a
         # scalar subquery rather than a join.
@@ -159,21 +160,20 @@ def chunk_prefix(split: KeySplit, summary: DataFrame,
     from the tagged rows); ``combine`` maps output names to aggregate columns
     evaluated over all *earlier* chunks of the same key, e.g.
     ``{"_carry_n": F.sum("n")}``. Returns ``None`` when nothing was split.
-    The result has at most ``heavy_rows`` rows and is broadcast under a
-    checked bound.
+    The result has at most ``heavy_rows`` rows.
     """
     if not split.split:
         return None
     keys = split.keys
     heavy_summary = summary
     if keys:
-        heavy_summary = summary.join(
-            checked_broadcast(split.heavy_keys, split.heavy_rows), keys, "left_semi")
-    # One row per chunk of a heavy key: the window sees at most maxChunks rows.
+        heavy_summary = null_safe_join(summary, split.heavy_keys, keys, split.heavy_rows,
+                                       "left_semi")
+    # One row per chunk of a heavy key.
     w = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     out = heavy_summary.select(*keys, CHUNK,
                                *[agg.over(w).alias(name) for name, agg in combine.items()])
-    return checked_broadcast(out, split.heavy_rows)
+    return out
 
 
 def attach_prefix(rows: DataFrame, split: KeySplit, prefix: DataFrame | None,
@@ -183,4 +183,4 @@ def attach_prefix(rows: DataFrame, split: KeySplit, prefix: DataFrame | None,
         for n in names:
             rows = rows.withColumn(n, F.lit(None))
         return rows
-    return rows.join(prefix, [*split.keys, CHUNK], "left")
+    return null_safe_join(rows, prefix, [*split.keys, CHUNK], split.heavy_rows)

@@ -10,8 +10,10 @@ plan can keep a window open).
 
 from __future__ import annotations
 
+import math
 import os
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,42 +23,58 @@ from ..session import checkpoint_path
 FLUSH_YEARS = 100
 
 
-def replay_files(df: DataFrame, order: str, n_files: int, name: str,
-                 flush: list[DataFrame] | None = None) -> str:
-    """Write ``df`` as ``n_files`` consecutive ranges of ``order`` (each its
-    own folder, written in order so modification times follow the data),
-    then the ``flush`` rows as the last file(s). Returns the root folder,
-    inside the shared checkpoint folder.
+# Rows of one file of a replayed range; a micro-batch reads a range.
+ROWS_PER_FILE, FILES_PER_BATCH = 250_000, 1_000
 
-    A driver loop over a handful of Spark writes (one per file), not over
-    data: each write is a distributed job over one range.
+
+class Replay(NamedTuple):
+    """A replayed table: its folder, and how many files make one micro-batch."""
+
+    root: str
+    files: int
+
+
+def replay_files(df: DataFrame, order: str, ranges: int, name: str,
+                 flush: list[DataFrame] | None = None) -> Replay:
+    """Write ``df`` as at least ``ranges`` consecutive ranges of ``order``
+    (each its own folder, written in order so modification times follow the
+    data), then the ``flush`` rows as the last file(s), inside the shared
+    checkpoint folder.
+
+    Every range is written by as many tasks as it has files, the same number
+    for each range, so that a micro-batch is one whole range; a table with
+    more rows than ``FILES_PER_BATCH`` files a range hold gets more ranges.
+    The driver loops over ranges, not over data.
     """
     spark = df.sparkSession
     root = checkpoint_path(spark, f"replay/{name}-{uuid.uuid4().hex[:8]}")
-    # Ranges only need to be contiguous, not equal: a 1% rank error is plenty.
-    bounds = df.approxQuantile(order, [i / n_files for i in range(1, n_files)], 0.01) \
-        if n_files > 1 else []
+    total = df.count()
+    ranges = max(ranges, math.ceil(total / (ROWS_PER_FILE * FILES_PER_BATCH)))
+    files = max(1, math.ceil(total / (ranges * ROWS_PER_FILE)))
+    # Ranges only need to be contiguous, not equal.
+    bounds = df.approxQuantile(order, [i / ranges for i in range(1, ranges)], 0.04 / ranges) \
+        if ranges > 1 else []
     edges = [None, *bounds, None]
-    for i in range(n_files):
+    for i in range(ranges):
         part = df
         if edges[i] is not None:
             part = part.where(F.col(order) > F.lit(edges[i]))
         if edges[i + 1] is not None:
             part = part.where(F.col(order) <= F.lit(edges[i + 1]))
-        # One file per range, so one micro-batch sees one contiguous range.
-        part.coalesce(1).write.mode("overwrite").parquet(os.path.join(root, f"{i:05d}"))
+        # Dealt in turn: every task of a range gets rows and writes one file.
+        part.repartition(files).write.mode("overwrite").parquet(os.path.join(root, f"{i:05d}"))
     # Flush files go last: they move the watermark past every window, and
     # Spark then runs a no-data batch with that watermark, closing them.
     for j, rows in enumerate(flush or []):
-        rows.coalesce(1).write.mode("overwrite").parquet(os.path.join(root, f"{n_files + j:05d}"))
-    return root
+        rows.write.mode("overwrite").parquet(os.path.join(root, f"{ranges + j:05d}"))
+    return Replay(root, files)
 
 
-def stream_folder(spark: SparkSession, root: str, schema, max_files: int = 1) -> DataFrame:
-    """Read a replay folder as a stream, one file (folder) per micro-batch,
-    in modification-time order."""
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-            .option("recursiveFileLookup", "true").parquet(root))
+def stream_folder(spark: SparkSession, replay: Replay, schema) -> DataFrame:
+    """Read a replayed table as a stream, one range per micro-batch, in
+    modification-time order."""
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", replay.files)
+            .option("recursiveFileLookup", "true").parquet(replay.root))
 
 
 def flush_rows(like: DataFrame, ts: str, overrides: dict, years: int = FLUSH_YEARS) -> DataFrame:
@@ -73,10 +91,3 @@ def flush_rows(like: DataFrame, ts: str, overrides: dict, years: int = FLUSH_YEA
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return row.select(*cols)
-
-
-def run_available(query_builder, name: str):
-    """Start a writeStream builder with ``availableNow`` and wait for it."""
-    q = query_builder.trigger(availableNow=True).queryName(name).start()
-    q.awaitTermination()
-    return q
