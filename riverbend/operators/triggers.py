@@ -14,14 +14,19 @@ batch these become ordered scans per key:
 
 from __future__ import annotations
 
+import math
+from decimal import Decimal
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
 from ..functions.time import epoch_micros
-from ..plans.skew import (BOUNDS, CHUNK, attach_prefix, checked_broadcast, chunk_prefix,
-                          count_below, split_hot_keys)
+from ..plans.skew import (BOUNDS, CHUNK, attach_prefix, chunk_prefix, count_below,
+                          null_safe_join, split_hot_keys)
 from .windows import running_per_key
 
 
@@ -63,168 +68,177 @@ def purging_count_trigger(df: DataFrame, key: str, order: str, seq: str, value:
             .where(F.col("n") == every))
 
 
-def _chain_end(d: np.ndarray, start: int, base: int, thr: int) -> tuple[list[int], int]:
-    """Firings of one delta chain over the sorted array ``d`` from index
-    ``start`` with baseline ``base``; returns (firing indices, final base)."""
+def _first_over(d: np.ndarray, base, thr) -> np.ndarray:
+    """Per baseline, the index of the first element of the ascending ``d`` with
+    ``d - base > thr`` as the type computes it (``len(d)`` if none). The search
+    for ``base + thr`` may be off by the rounding of a double on either side."""
+    base = np.atleast_1d(base)
+    j = np.searchsorted(d, base + thr, side="right")
+    while (back := (j > 0) & (d[np.maximum(j - 1, 0)] - base > thr)).any():
+        j[back] = np.searchsorted(d, d[j[back] - 1], side="left")
+    last = len(d) - 1
+    while (on := (j <= last) & ~(d[np.minimum(j, last)] - base > thr)).any():
+        j[on] = np.searchsorted(d, d[j[on]], side="right")
+    return j
+
+
+def _chain_end(d: np.ndarray, base, thr) -> tuple[list[int], object]:
+    """Firings of one delta chain over ``d`` with baseline ``base``; returns
+    (firing indices, final base)."""
     fired = []
-    if len(d) == 0 or start >= len(d):
-        return fired, base
-    if np.all(d[start + 1:] >= d[start:-1]):
+    if np.all(d[1:] >= d[:-1]):
         # Monotone measure: jump straight to each next firing.
-        lo = start
+        lo = 0
         while lo < len(d):
-            j = lo + int(np.searchsorted(d[lo:], base + thr, side="right"))
+            j = lo + int(_first_over(d[lo:], base, thr)[0])
             if j >= len(d):
                 break
             fired.append(j)
-            base = int(d[j])
+            base = d[j]
             lo = j + 1
     else:
-        for j in range(start, len(d)):
-            if d[j] - base > thr:
+        for j, v in enumerate(d.tolist()):
+            if v - base > thr:
                 fired.append(j)
-                base = int(d[j])
+                base = v
     return fired, base
 
 
-def _groups(batches, group_cols: list[str]):
-    """Regroup sorted Arrow batches into whole groups (one pandas frame per
-    group of ``group_cols``). Rows arrive sorted by the group columns, so a
-    group is complete as soon as a different key appears."""
-    pending = []
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        keys = pdf[group_cols].to_numpy()
-        change = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-        cuts = np.r_[0, change, len(pdf)]
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            part = pdf.iloc[a:b]
-            if pending and tuple(pending[-1][group_cols].iloc[0]) != tuple(part[group_cols].iloc[0]):
-                yield pd.concat(pending)
-                pending = []
-            pending.append(part)
-    if pending:
-        yield pd.concat(pending)
+def _column(batch, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy(zero_copy_only=False)
+
+
+def _pieces(batch: pa.RecordBatch):
+    """``(from, to, starts)`` of every run of a group in the batch; the first
+    row of a group carries ``_start``, so keys are never compared here."""
+    start = _column(batch, "_start")
+    edges = np.unique(np.r_[0, np.flatnonzero(start), batch.num_rows])
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        yield a, b, bool(start[a])
 
 
-def _fire_fold(group_cols: list[str], thr: int, seeded: bool):
-    """Fold each (key[, chunk]) group in sorted order: without a seed the
-    first row sets the baseline and cannot fire; with a seed (``_seed``)
-    every row may fire. Streams over Arrow batches carrying only the current
-    group and its baseline, so memory stays constant whatever a group's size."""
+def _fire_fold(out_cols: list[str], thr, seeded: bool):
+    """Fold each group in sorted order: without a seed the first row sets the
+    baseline and cannot fire; with a seed (``_seed``) every row may fire.
+    Streams over Arrow batches carrying only the current group's baseline, so
+    memory stays constant whatever a group's size."""
 
     def fold(batches):
-        cur, base = None, None
-        for pdf in batches:
-            if pdf.empty:
+        base = None
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            gk = pdf[group_cols].to_numpy()
-            d = pdf["_d"].to_numpy(dtype=np.int64)
-            seeds = pdf["_seed"].to_numpy() if seeded else None
-            fired = np.zeros(len(pdf), dtype=bool)
-            change = np.flatnonzero((gk[1:] != gk[:-1]).any(axis=1)) + 1
-            for a, b in zip(np.r_[0, change], np.r_[change, len(pdf)]):
-                i = a
-                if cur != tuple(gk[a]):
-                    cur = tuple(gk[a])
-                    seed = seeds[a] if seeded else None
-                    if seed is None or pd.isna(seed):
-                        base, i = int(d[a]), a + 1
-                    else:
-                        base = int(seed)
-                idx, base = _chain_end(d[i:b], 0, base, thr)
-                fired[np.asarray(idx, dtype=np.int64) + i] = True
-            out = pdf.loc[fired].drop(columns=["_d"] + (["_seed"] if seeded else []))
-            if not out.empty:
-                yield out
+            d = _column(batch, "_d")
+            fired = np.zeros(batch.num_rows, dtype=bool)
+            for a, b, starts in _pieces(batch):
+                if starts:
+                    base = batch.column("_seed")[a].as_py() if seeded else None
+                    if base is None:
+                        base, a = d[a], a + 1
+                idx, base = _chain_end(d[a:b], base, thr)
+                fired[np.asarray(idx, dtype=np.int64) + a] = True
+            if fired.any():
+                yield batch.select(out_cols).filter(pa.array(fired))
 
     return fold
 
 
-def _candidate_fold(key: str, thr: int):
+def _groups(batches):
+    """Whole groups (bounded: one chunk of a heavy key each) as Arrow tables."""
+    pending = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        for a, b, starts in _pieces(batch):
+            if starts and pending:
+                yield pa.Table.from_batches(pending)
+                pending = []
+            pending.append(batch.slice(a, b - a))
+    if pending:
+        yield pa.Table.from_batches(pending)
+
+
+def _candidate_fold(key: str, thr):
     """Phase 1 of the parallel delta trigger, per chunk of a heavy key.
 
-    Chunk 0 starts from the key's first row: emit its exit baseline. A later
-    chunk is entered with an unknown baseline ``B`` in
-    ``[dprev - thr, dprev]`` (``dprev`` = last distance before the chunk), so
-    its first firing is one of the rows up to the first with
-    ``d > dprev + thr``. Walk the chains from all those candidates at once
-    and emit, per run of candidates sharing an exit, the run's largest
-    candidate distance and the exit baseline.
+    Chunk 0 starts from the key's first row: emit its exit baseline
+    (``_head``). A later chunk is entered with an unknown baseline of at most
+    ``dprev`` (the last distance before the chunk), so its first firing is one
+    of the rows up to the first that is more than ``thr`` beyond ``dprev``.
+    Walk the chains from all those candidates at once and emit, per run of
+    candidates sharing an exit, the run's largest candidate distance and the
+    exit baseline.
     """
 
     def fold(batches):
-        for g in _groups(batches, [key, "_chunk"]):
-            d = g["_d"].to_numpy(dtype=np.int64)
-            k, c = g[key].iloc[0], int(g["_chunk"].iloc[0])
-            if len(d) > 1 and np.any(d[1:] < d[:-1]):
+        for g in _groups(batches):
+            d, dprev = g.column("_d").to_numpy(), g.column("_dprev")[0].as_py()
+            if np.any(d[1:] < d[:-1]):
                 raise ValueError("delta trigger: distance decreases inside a key; "
                                  "call with monotone=False")
-            dprev = g["_dprev"].iloc[0]
-            if pd.isna(dprev):
-                _, exit_base = _chain_end(d, 1, int(d[0]), thr)
-                yield pd.DataFrame({key: [k], "_chunk": [c], "_cand": [None], "_exit": [exit_base]})
-                continue
-            limit = int(np.searchsorted(d, int(dprev) + thr, side="right"))
-            cands = np.arange(0, min(limit + 1, len(d)))
-            cur = cands.copy()
-            exits = d[cur].copy()
-            active = np.ones(len(cur), dtype=bool)
-            while active.any():
-                idx = np.flatnonzero(active)
-                uniq, inv = np.unique(cur[idx], return_inverse=True)
-                nxt = np.searchsorted(d, d[uniq] + thr, side="right")[inv]
-                moving = nxt < len(d)
-                done = idx[~moving]
-                active[done] = False
-                go = idx[moving]
-                cur[go] = nxt[moving]
-                exits[go] = d[cur[go]]
-            # Exits are non-decreasing in the candidate: keep one row per run.
-            last_of_run = np.r_[exits[1:] != exits[:-1], True]
-            yield pd.DataFrame({key: k, "_chunk": c, "_cand": d[cands][last_of_run],
-                                "_exit": exits[last_of_run]})
+            if dprev is None:
+                _, exit_base = _chain_end(d[1:], d[0], thr)
+                cand = exits = np.array([exit_base], dtype=d.dtype)
+            else:
+                limit = int(_first_over(d, np.array([dprev], dtype=d.dtype), thr)[0])
+                cur = np.arange(0, min(limit + 1, len(d)))
+                cand, exits = d[cur], d[cur]
+                active = np.arange(len(cur))
+                while len(active):
+                    uniq, inv = np.unique(cur[active], return_inverse=True)
+                    nxt = _first_over(d, d[uniq], thr)[inv]
+                    active, nxt = active[nxt < len(d)], nxt[nxt < len(d)]
+                    cur[active] = nxt
+                    exits[active] = d[nxt]
+                # Exits are non-decreasing in the candidate: keep one row per run.
+                last_of_run = np.r_[exits[1:] != exits[:-1], True]
+                cand, exits = cand[last_of_run], exits[last_of_run]
+            same = pa.array(np.zeros(len(cand), dtype=np.int64))
+            first = g.slice(0, 1).combine_chunks().to_batches()[0]
+            yield pa.RecordBatch.from_arrays(
+                [first.column(key).take(same), first.column(CHUNK).take(same),
+                 pa.array(np.full(len(cand), dprev is None)), pa.array(cand), pa.array(exits)],
+                [key, CHUNK, "_head", "_cand", "_exit"])
 
     return fold
 
 
-def _resolve_seeds(key: str, thr: int):
+def _resolve_seeds(key: str, thr):
     """Phase 2, per heavy key: walk the chunks in order carrying the
     baseline; each chunk's seed is the baseline it is entered with."""
 
     def resolve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_chunk", "_cand"], na_position="first")
         base, out = None, []
-        for c, runs in pdf.groupby("_chunk", sort=True):
-            if runs["_cand"].isna().all():
-                base = int(runs["_exit"].iloc[0])
+        for c, runs in pdf.sort_values([CHUNK, "_cand"]).groupby(CHUNK, sort=True):
+            exits = runs["_exit"].to_numpy()
+            if runs["_head"].iloc[0]:
+                base = exits[0]
                 continue
             out.append((runs[key].iloc[0], c, base))
-            cand = runs["_cand"].to_numpy(dtype=np.int64)
-            i = int(np.searchsorted(cand, base + thr, side="right"))
-            if i < len(cand):
-                base = int(runs["_exit"].to_numpy(dtype=np.int64)[i])
-        return pd.DataFrame(out, columns=[key, "_chunk", "_seed"])
+            i = int(_first_over(runs["_cand"].to_numpy(), base, thr)[0])
+            if i < len(exits):
+                base = exits[i]
+        return pd.DataFrame(out, columns=[key, CHUNK, "_seed"])
 
     return resolve
 
 
 def delta_trigger_max(df: DataFrame, key: str, ts: str, seq: str, measure: str,
                       distance: str, threshold: float, evict_us: int,
-                      scale: int = 100, monotone: bool = False,
-                      rows_per_chunk: int | None = None) -> DataFrame:
+                      monotone: bool = False, rows_per_chunk: int | None = None) -> DataFrame:
     """W8 + A5: per key, fire whenever ``distance`` grew by more than
     ``threshold`` since the last firing row (the first row only sets the
     baseline); each firing emits the row with the largest ``measure`` among
     rows with ``ts > firing ts - evict`` (earliest such row on ties).
 
-    ``distance`` is compared in fixed point (``scale`` units) so the
-    threshold test is exact. Output: ``key, seq`` (firing row), ``top`` and
-    ``top_id`` (the max row's measure and ``seq``), ``top_ts``.
+    Distances are compared in their own type: floating distances as doubles,
+    integers and decimals as whole numbers of their unit (which must fit 64
+    bits). A null or NaN distance neither fires nor moves the baseline, though
+    its row can be a maximum; a null key is a key. Output: ``key, seq`` (firing
+    row), ``top`` and ``top_id`` (the max row's measure and ``seq``), ``top_ts``.
 
     Plan: the evictor's frame max is a range-frame window; the trigger chain
-    is an ordered fold (``mapInPandas`` over sorted partitions). With
+    is an ordered fold (``mapInArrow`` over sorted partitions). With
     ``monotone=True`` (distance never decreases within a key, e.g. an
     odometer or a running sum of non-negative values) hot keys are split
     into order chunks and processed in parallel: the frame uses halo copies
@@ -232,15 +246,22 @@ def delta_trigger_max(df: DataFrame, key: str, ts: str, seq: str, measure: str,
     per chunk with an entry baseline resolved from per-chunk candidate
     chains. Without ``monotone`` each key is one ordered fold.
     """
-    thr = int(round(threshold * scale))
+    kind = df.schema[distance].dataType
+    if isinstance(kind, (FloatType, DoubleType)):
+        d, d_t, thr = F.nanvl(F.col(distance).cast("double"), F.lit(None)), "double", float(threshold)
+    else:
+        scale = kind.scale if isinstance(kind, DecimalType) else 0
+        d, d_t = (F.col(distance) * F.lit(10**scale)).cast("bigint"), "bigint"
+        # whole numbers exceed the threshold where they exceed its floor
+        thr = math.floor(Decimal(str(threshold)).scaleb(scale))
     rows = df.select(key, seq, epoch_micros(ts).alias("_us"), F.col(measure).alias("_m"),
-                     (F.col(distance) * F.lit(scale)).cast("bigint").alias("_d"))
+                     d.alias("_d"))
     split = split_hot_keys(rows, [key], "_us", rows_per_chunk, keep_bounds=True) \
         if monotone else None
     key_t = df.schema[key].dataType.simpleString()
     seq_t = df.schema[seq].dataType.simpleString()
-    out_schema = (f"{key} {key_t}, {seq} {seq_t}, _us bigint, top double, top_id {seq_t}, "
-                  f"_top_us bigint")
+    out_cols = [key, seq, "top", "top_id", "_top_us"]
+    out_schema = f"{key} {key_t}, {seq} {seq_t}, top double, top_id {seq_t}, _top_us bigint"
     best = lambda w: F.max(F.struct(F.col("_m").alias("v"), (-F.col("_us")).alias("t"),
                                     (-F.col(seq)).alias("i"))).over(w)
 
@@ -250,13 +271,18 @@ def delta_trigger_max(df: DataFrame, key: str, ts: str, seq: str, measure: str,
                             (-F.col("_best.i")).alias("top_id"),
                             (-F.col("_best.t")).alias("_top_us"))
 
+    def ordered(frame: DataFrame, *group: str) -> DataFrame:
+        """Rows with a distance in group order, the first of each group flagged."""
+        first = F.row_number().over(Window.partitionBy(*group).orderBy("_us", seq)) == 1
+        return (frame.where(F.col("_d").isNotNull()).withColumn("_start", first)
+                .sortWithinPartitions(*group, "_us", seq))
+
     if split is None or not split.split:
         frame = finish(rows.withColumn("_best", best(
             Window.partitionBy(key).orderBy("_us").rangeBetween(-(evict_us - 1), 0))))
         # The frame window already hash-partitioned the rows by key; only
         # the in-partition order has to be refined with ``seq``.
-        fired = (frame.sortWithinPartitions(key, "_us", seq)
-                 .mapInPandas(_fire_fold([key], thr, False), out_schema))
+        fired = ordered(frame, key).mapInArrow(_fire_fold(out_cols, thr, False), out_schema)
     else:
         tagged = split.df
         # Halo: a row is also copied into every later chunk whose rows may
@@ -273,21 +299,17 @@ def delta_trigger_max(df: DataFrame, key: str, ts: str, seq: str, measure: str,
         plain = tagged.drop(BOUNDS)
         summary = plain.groupBy(key, CHUNK).agg(F.max("_d").alias("_cmax"))
         prefix = chunk_prefix(split, summary, {"_dprev": F.max("_cmax")})
-        heavy_rows = attach_prefix(plain.join(F.broadcast(split.heavy_keys), [key], "left_semi"),
-                                   split, prefix, ["_dprev"])
-        runs = (heavy_rows.select(key, CHUNK, "_us", seq, "_d", "_dprev")
-                .repartition(key, CHUNK).sortWithinPartitions(key, CHUNK, "_us", seq)
-                .mapInPandas(_candidate_fold(key, thr),
-                             f"{key} {key_t}, _chunk int, _cand bigint, _exit bigint"))
-        # Phase 2: entry baseline of every later chunk (small, per heavy key).
+        heavy = null_safe_join(plain, split.heavy_keys, [key], split.heavy_rows, "left_semi")
+        heavy = attach_prefix(heavy, split, prefix, ["_dprev"])
+        runs = (ordered(heavy.select(key, CHUNK, "_us", seq, "_d", "_dprev"), key, CHUNK)
+                .mapInArrow(_candidate_fold(key, thr), f"{key} {key_t}, {CHUNK} int, "
+                            f"_head boolean, _cand {d_t}, _exit {d_t}"))
+        # Phase 2: entry baseline of every later chunk, per heavy key.
         seeds = runs.groupBy(key).applyInPandas(
-            _resolve_seeds(key, thr), f"{key} {key_t}, _chunk int, _seed bigint")
+            _resolve_seeds(key, thr), f"{key} {key_t}, {CHUNK} int, _seed {d_t}")
         # Phase 3: the plain fold per chunk, seeded where a chunk is entered
         # with a baseline from earlier chunks.
-        seeded = frame.join(checked_broadcast(seeds, split.heavy_rows), [key, CHUNK], "left")
-        fired = (seeded.select(key, CHUNK, seq, "_us", "_d", "top", "top_id", "_top_us", "_seed")
-                 .sortWithinPartitions(key, CHUNK, "_us", seq)
-                 .mapInPandas(_fire_fold([key, CHUNK], thr, True),
-                              out_schema.replace(f"{seq} {seq_t},", f"_chunk int, {seq} {seq_t},")))
+        seeded = null_safe_join(frame, seeds, [key, CHUNK], split.heavy_rows)
+        fired = ordered(seeded, key, CHUNK).mapInArrow(_fire_fold(out_cols, thr, True), out_schema)
     return fired.select(key, seq, "top", "top_id",
                         F.timestamp_micros("_top_us").cast("timestamp_ntz").alias("top_ts"))

@@ -93,3 +93,42 @@ def test_split_keeps_the_carry_over_nulls(spark):
     whole, split = (sorted(tuple(r) for r in count_trigger(df, "key", "ts", "seq", "value", 2, n).collect())
                     for n in (10**9, 4))
     assert split == whole and whole[4][3] == 7.0
+
+
+def _fold(cars, threshold):
+    """Firing rows of a plain walk in order."""
+    base, fired = {}, []
+    for car, seq, dist in cars:
+        if car not in base:
+            base[car] = dist
+        elif dist - base[car] > threshold:
+            fired.append(seq)
+            base[car] = dist
+    return sorted(fired)
+
+
+def test_top_speed_compares_doubles_and_keeps_null_cars(spark):
+    """A walk of speed / 3.6 a step, with a car whose key is null and one above 2**53."""
+    data, dist = [], {}
+    for i, v in enumerate(r["value"] for r in load(spark, SF_MID, "events").orderBy("event_id")
+                          .limit(6000).select("value").collect()):
+        car = (None, 7, 2**53 + 1)[i % 3]
+        dist[car] = dist.get(car, 0.0) + v / 3.6
+        data.append((car, i, v, dist[car], i * 60))
+    df = spark.createDataFrame(data, "car long, seq long, speed double, distance double, t long") \
+        .withColumn("ts", F.timestamp_seconds("t").cast("timestamp_ntz"))
+    want = _fold([(c, s, d) for c, s, _, d, _ in data], 50.0)
+    args = ("car", "ts", "seq", "speed", "distance", 50.0, 600 * 1_000_000)
+    whole = rows(delta_trigger_max(df, *args), "seq", "top", "top_id")
+    split = rows(delta_trigger_max(df, *args, monotone=True, rows_per_chunk=97), "seq", "top", "top_id")
+    assert [r[0] for r in whole] == want and len(want) > 1000
+    assert split == whole
+
+
+def test_delta_trigger_threshold_as_the_type_computes_it(spark):
+    df = spark.createDataFrame([(1, i, 1.0, d, i) for i, d in enumerate([0.0, 50.005, None, 100.011])],
+                               "car int, seq long, speed double, distance double, t long") \
+        .withColumn("ts", F.timestamp_seconds("t").cast("timestamp_ntz"))
+    args = ("car", "ts", "seq", "speed", "distance", 50.0, 10_000_000)
+    for kw in ({}, {"monotone": True, "rows_per_chunk": 1}):
+        assert rows(delta_trigger_max(df, *args, **kw), "seq") == [(1,), (3,)]
