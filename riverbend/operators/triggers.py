@@ -27,11 +27,12 @@ from pyspark.sql.types import DecimalType, DoubleType, FloatType
 from ..functions.time import epoch_micros
 from ..plans.skew import (BOUNDS, CHUNK, attach_prefix, chunk_prefix, count_below,
                           null_safe_join, split_hot_keys)
-from .windows import running_per_key
+from .windows import running_per_key, summand
 
 
 def count_trigger(df: DataFrame, key: str, order: str, seq: str, value: str,
-                  every: int = 2, rows_per_chunk: int | None = None) -> DataFrame:
+                  every: int = 2, rows_per_chunk: int | None = None,
+                  scale: int | None = None) -> DataFrame:
     """``GlobalWindows + CountTrigger.of(every)`` followed by ``sum``.
 
     Output per firing: ``key, fire_no, n`` (rows seen so far), ``total``
@@ -40,7 +41,7 @@ def count_trigger(df: DataFrame, key: str, order: str, seq: str, value: str,
     reference keeps for ever is just a running (count, sum).
     """
     r = running_per_key(df.select(key, order, seq, value), [key], order, [seq], value,
-                        rows_per_chunk)
+                        rows_per_chunk, scale)
     return (r.where(F.col("_rn") % every == 0)
             .select(key, (F.col("_rn") / every).cast("bigint").alias("fire_no"),
                     F.col("_rn").cast("bigint").alias("n"),
@@ -49,7 +50,8 @@ def count_trigger(df: DataFrame, key: str, order: str, seq: str, value: str,
 
 
 def purging_count_trigger(df: DataFrame, key: str, order: str, seq: str, value: str,
-                          every: int = 2, rows_per_chunk: int | None = None) -> DataFrame:
+                          every: int = 2, rows_per_chunk: int | None = None,
+                  scale: int | None = None) -> DataFrame:
     """``PurgingTrigger.of(CountTrigger.of(every))`` followed by ``sum``.
 
     Rows are numbered per key (hot-key safe), grouped into disjoint batches
@@ -62,7 +64,7 @@ def purging_count_trigger(df: DataFrame, key: str, order: str, seq: str, value:
     batch = F.floor((F.col("_rn") - 1) / every)
     return (r.groupBy(key, batch.cast("bigint").alias("batch_no"))
             .agg(F.count(F.lit(1)).alias("n"),
-                 F.sum(F.col(value).cast("decimal(18,2)")).cast("double").alias("total"),
+                 F.sum(summand(value, scale)).cast("double").alias("total"),
                  F.min_by(seq, "_rn").alias("first_id"),
                  F.max_by(seq, "_rn").alias("fired_at"))
             .where(F.col("n") == every))

@@ -24,6 +24,13 @@ def micros_to_ts(col: Column) -> Column:
     return F.timestamp_micros(col).cast("timestamp_ntz")
 
 
+def summand(value: str | None, scale: int | None = None) -> Column:
+    """What a sum adds up: the column in its own type, or as a decimal of ``scale``
+    places where a floating sum must not depend on the order of its rows."""
+    col = F.col(value) if value else F.lit(None).cast("bigint")
+    return col if scale is None else col.cast(f"decimal(18,{scale})")
+
+
 def tumbling_bounds(ts: str | Column, size_us: int) -> tuple[Column, Column]:
     """``(window_start, window_end)`` of the tumbling window holding ``ts``."""
     start = F.floor(epoch_micros(ts) / F.lit(size_us)) * F.lit(size_us)
@@ -52,13 +59,18 @@ def grouped_sum(df: DataFrame, keys: list[str], value: str | None = None,
 
 
 def tumbling_sum(df: DataFrame, keys: list[str], ts: str, size_s: float,
-                 value: str | None = None, alias: str = "count") -> DataFrame:
+                 value: str | None = None, alias: str = "count",
+                 first: dict[str, str] | None = None, tiebreak: str | None = None) -> DataFrame:
     """W1/W2/W3 + A2: per key and tumbling window, the sum of ``value``
-    (a count when ``value`` is None). One shuffle, partial aggregation."""
+    (a count when ``value`` is None). ``first`` maps output names to columns
+    taken from the window's first row (by ``ts``, then ``tiebreak``). One
+    shuffle, partial aggregation."""
     start, end = tumbling_bounds(ts, int(size_s * US))
     agg = F.count(F.lit(1)) if value is None else F.sum(value)
+    order = F.struct(ts, tiebreak) if tiebreak else F.col(ts)
     return (df.groupBy(*keys, start.alias("window_start"), end.alias("window_end"))
-            .agg(agg.alias(alias)))
+            .agg(agg.alias(alias),
+                 *[F.min_by(col, order).alias(name) for name, col in (first or {}).items()]))
 
 
 def sliding_counts(df: DataFrame, key: str, ts: str, size_s: int, slide_s: int,
@@ -98,13 +110,14 @@ def window_summary(df: DataFrame, keys: list[str], ts: str, size_s: float) -> Da
 
 
 def session_windows(df: DataFrame, key: str, ts: str, gap_us: int,
-                    value: str | None = None, rows_per_chunk: int | None = None) -> DataFrame:
+                    value: str | None = None, rows_per_chunk: int | None = None,
+                    scale: int | None = None) -> DataFrame:
     """W5 + A2: event-time sessions per key with a static gap.
 
     Two rows of a key share a session when the next one is at most ``gap``
     after the previous (so rows at 0 and 3 with gap 3 form one session).
     Output per session: ``key, first_ts, session_end (= last ts + gap), n,
-    total`` (``total`` = sum of ``value``, as decimal-exact double).
+    total`` (``total`` = sum of ``value``, see ``summand``, as a double).
 
     Plan: hot keys are cut into contiguous time chunks (``split_hot_keys``);
     sessions are islands inside each ``(key, chunk)`` (one shuffle, sorted
@@ -114,8 +127,7 @@ def session_windows(df: DataFrame, key: str, ts: str, gap_us: int,
     """
     us = epoch_micros(ts)
     base = df.select(key, F.col(ts).alias("_ts"), us.alias("_us"),
-                     (F.col(value).cast("decimal(18,2)") if value else F.lit(None)
-                      .cast("decimal(18,2)")).alias("_v"))
+                     summand(value, scale).alias("_v"))
     split = split_hot_keys(base, [key], "_us", rows_per_chunk)
     w = Window.partitionBy(key, CHUNK).orderBy("_us")
     islands = (split.df
@@ -201,11 +213,11 @@ def running_aggs(df: DataFrame, keys: list[str], order: str, tiebreak: list[str]
 
 
 def running_per_key(df: DataFrame, key: list[str], order: str, tiebreak: list[str],
-                    value: str | None = None, rows_per_chunk: int | None = None) -> DataFrame:
-    """Running count (``_rn``) and running decimal sum (``_run``) per key in
-    ``(order, *tiebreak)`` order, exact and hot-key safe (chunked prefix)."""
-    v = (F.col(value).cast("decimal(18,2)") if value else F.lit(None).cast("decimal(18,2)"))
-    out = running_aggs(df.withColumn("_v", v), key, order, tiebreak,
+                    value: str | None = None, rows_per_chunk: int | None = None,
+                    scale: int | None = None) -> DataFrame:
+    """Running count (``_rn``) and running sum (``_run``, see ``summand``) per key
+    in ``(order, *tiebreak)`` order, hot-key safe (chunked prefix)."""
+    out = running_aggs(df.withColumn("_v", summand(value, scale)), key, order, tiebreak,
                        {"_rn": ("_v", "count"),
                         "_run": ("_v", "sum")}, rows_per_chunk)
     return out.drop("_v")

@@ -134,6 +134,16 @@ g as (select *, sum(b) over (partition by user_id order by ts) as sid from a)
 select user_id, min(ts) as first_ts, max(ts) + interval '30 minutes' as session_end,
        count(*) as n, cast(sum(cast(value as decimal(18,2))) as double) as total
 from g group by user_id, sid""",
+    "tumbling_value_sum": """
+with r as (
+  select event_type, event_id, time_bucket(interval '10 minutes', ts) as window_start,
+         cast(value as decimal(18,2)) * cast('1.2345' as decimal(5,4)) as amount,
+         row_number() over (partition by event_type, time_bucket(interval '10 minutes', ts)
+                            order by ts, event_id) as rn
+  from events)
+select event_type, window_start, window_start + interval '10 minutes' as window_end,
+       cast(sum(amount) as double) as total, max(event_id) filter (where rn = 1) as first_id
+from r group by all""",
     "window_summary": """
 select event_type, time_bucket(interval '10 minutes', ts) as window_start,
        time_bucket(interval '10 minutes', ts) + interval '10 minutes' as window_end,

@@ -33,7 +33,7 @@ from ..operators.routing import connect_flat, even_odd_selector, select_tags, si
 from ..operators.topn import hot_items as top_items
 from ..operators.triggers import count_trigger, delta_trigger_max, purging_count_trigger
 from ..operators.windows import (US, add_tumbling_window, grouped_sum, running_per_key,
-                                 session_windows, sliding_counts, window_summary)
+                                 session_windows, sliding_counts, tumbling_sum, window_summary)
 from ..sources.files import CAR_FIELDS
 from ..sources.tables import load
 from .skew import ROWS_PER_CHUNK_CONF
@@ -50,6 +50,7 @@ LATE_WINDOW_US, LATE_DELAY_US, LATE_LATENESS_US = 3600 * US, 2 * 3600 * US, 3600
 SUMMARY_WINDOW_S = 600
 DEFAULT_KEYWORD = "7"
 CHUNKED_ROWS = 1_000
+VALUE_SCALE = 2  # events.value holds two decimals
 INGEST_EPOCH = "2024-01-01 00:00:00"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,7 +203,17 @@ def parse_tuple(spark, sf):
 
 def session_sum(spark, sf):
     ev = load(spark, sf, "events").select("user_id", "ts", "value")
-    return session_windows(ev, "user_id", "ts", SESSION_GAP_US, "value")
+    return session_windows(ev, "user_id", "ts", SESSION_GAP_US, "value", scale=VALUE_SCALE)
+
+
+def tumbling_value_sum(spark, sf):
+    """A sum of six decimals per type and 10 minutes, with the id of the window's first row."""
+    ev = load(spark, sf, "events").select(
+        "event_type", "event_id", "ts",
+        (F.col("value").cast("decimal(18,2)") * F.lit("1.2345").cast("decimal(5,4)")).alias("amount"))
+    out = tumbling_sum(ev, ["event_type"], "ts", SUMMARY_WINDOW_S, "amount", "total",
+                       {"first_id": "event_id"}, "event_id")
+    return out.withColumn("total", F.col("total").cast("double"))
 
 
 def window_summary_10m(spark, sf):
@@ -214,17 +225,19 @@ def window_summary_10m(spark, sf):
 
 def count_trigger_running(spark, sf):
     ev = load(spark, sf, "events")
-    return count_trigger(ev, "event_type", "ts", "event_id", "value", COUNT_EVERY)
+    return count_trigger(ev, "event_type", "ts", "event_id", "value", COUNT_EVERY,
+                         scale=VALUE_SCALE)
 
 
 def count_trigger_purged(spark, sf):
     ev = load(spark, sf, "events")
-    return purging_count_trigger(ev, "event_type", "ts", "event_id", "value", COUNT_EVERY)
+    return purging_count_trigger(ev, "event_type", "ts", "event_id", "value", COUNT_EVERY,
+                         scale=VALUE_SCALE)
 
 
 def top_speed(spark, sf):
     ev = load(spark, sf, "events").select("user_id", "event_id", "ts", "value")
-    cars = running_per_key(ev, ["user_id"], "ts", ["event_id"], "value") \
+    cars = running_per_key(ev, ["user_id"], "ts", ["event_id"], "value", scale=VALUE_SCALE) \
         .withColumnRenamed("_run", "distance").drop("_rn")
     # Distance is a running sum of speeds: it never decreases when no speed
     # is negative, which lets hot cars run in parallel chunks.
@@ -281,6 +294,7 @@ QUERIES: dict[str, Query] = {
     "parse_tuple_text": parse_tuple,
     "session_sum": session_sum,
     "window_summary": window_summary_10m,
+    "tumbling_value_sum": tumbling_value_sum,
     "count_trigger_running": count_trigger_running,
     "count_trigger_purged": count_trigger_purged,
     "top_speed": top_speed,

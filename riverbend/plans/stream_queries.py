@@ -18,6 +18,7 @@ from ..streaming import twins
 from ..streaming.replay import flush_rows, replay_files, stream_folder
 
 FLUSH_KEY = "__flush__"
+VALUE_SCALE = 2  # events.value holds two decimals
 REPLAY_FILES = 4
 # One far-future flush file: after it, Spark runs a no-data batch with the
 # advanced watermark, which closes every remaining window.
@@ -94,8 +95,8 @@ def stream_hot_items(spark, sf):
 
 def stream_sessions(spark, sf):
     s = _event_stream(spark, sf)
-    out = _to_files(spark, twins.sessions(s, "user_id", "ts", "30 minutes", "value"),
-                    "sessions")
+    out = _to_files(spark, twins.sessions(s, "user_id", "ts", "30 minutes", "value",
+                                         scale=VALUE_SCALE), "sessions")
     return _ntz(out.where("user_id <> -1"), "first_ts", "session_end")
 
 

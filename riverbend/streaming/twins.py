@@ -27,6 +27,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.lookup import latest_rule_asof, mask_messages
 from ..operators.topn import hot_items as top_items
+from ..operators.windows import summand
 
 
 def _ntz(c):
@@ -78,12 +79,12 @@ def hot_items_sink(path: str, n: int = 3):
 
 
 def sessions(stream: DataFrame, key: str, ts: str, gap: str, value: str,
-             delay: str = "0 seconds") -> DataFrame:
+             delay: str = "0 seconds", scale: int | None = None) -> DataFrame:
     """W5 + A2 on a stream (built-in session windows, merged in state)."""
     return (stream.withWatermark(ts, delay)
             .groupBy(key, F.session_window(ts, gap).alias("s"))
             .agg(F.min(ts).alias("first_ts"), F.count(F.lit(1)).alias("n"),
-                 F.sum(F.col(value).cast("decimal(18,2)")).cast("double").alias("total"))
+                 F.sum(summand(value, scale)).cast("double").alias("total"))
             .select(key, _ntz("first_ts").alias("first_ts"), _ntz("s.end").alias("session_end"),
                     "n", "total"))
 
@@ -185,8 +186,3 @@ def side_outputs(tokens: DataFrame, ts: str, token_col: str = "word", max_len: i
     rejected = tokens.where(n > max_len).withColumn(
         token_col, F.concat(F.lit("rejected: "), F.col(token_col)))
     return counts, rejected
-
-
-def with_ingest_time(stream: DataFrame, col: str = "ingest_ts") -> DataFrame:
-    """processing/ingestion time of a live stream as a column."""
-    return stream.withColumn(col, F.current_timestamp())

@@ -83,10 +83,10 @@ def test_stream_hot_items_equals_batch(spark, replay, scratch):
 
 def test_stream_sessions_equal_batch(spark, replay):
     out = _run_memory(spark, twins.sessions(_stream(spark, replay), "user_id", "ts",
-                                            "30 minutes", "value"))
+                                            "30 minutes", "value", scale=2))
     got = rows(out.where("user_id <> -1"), "user_id", "first_ts", "session_end", "n", "total")
     want = rows(session_windows(_batch_events(spark), "user_id", "ts", 30 * 60 * 1_000_000,
-                                "value"), "user_id", "first_ts", "session_end", "n", "total")
+                                "value", scale=2), "user_id", "first_ts", "session_end", "n", "total")
     assert got == want and len(got) > 100
 
 

@@ -24,8 +24,8 @@ def test_purging_count_trigger_golden(spark):
 def test_running_hot_key_split_equals_single_pass(spark):
     ev = load(spark, SF_MID, "events")
     cols = ("event_type", "event_id", "_rn", "_run")
-    whole = rows(running_per_key(ev, ["event_type"], "ts", ["event_id"], "value", 10**9), *cols)
-    split = rows(running_per_key(ev, ["event_type"], "ts", ["event_id"], "value", 37), *cols)
+    whole = rows(running_per_key(ev, ["event_type"], "ts", ["event_id"], "value", 10**9, scale=2), *cols)
+    split = rows(running_per_key(ev, ["event_type"], "ts", ["event_id"], "value", 37, scale=2), *cols)
     assert whole == split
 
 
@@ -55,7 +55,7 @@ def _cars(spark):
     ev = load(spark, SF_MID, "events").select("user_id", "event_id", "ts", "value")
     # Few cars, so each is hot: key = user_id % 3.
     ev = ev.withColumn("car", (F.col("user_id") % 3).cast("int"))
-    return running_per_key(ev, ["car"], "ts", ["event_id"], "value") \
+    return running_per_key(ev, ["car"], "ts", ["event_id"], "value", scale=2) \
         .withColumnRenamed("_run", "distance").drop("_rn")
 
 
@@ -85,6 +85,12 @@ def test_count_trigger_counts_null_values(spark):
     assert rows(out, "word", "n", "total", "fired_at") == [("a", 2, 1.0, 1), ("a", 4, 2.0, 3)]
 
 
+def test_sums_keep_the_type_of_the_input(spark):
+    df = spark.createDataFrame([("a", 0, 0, 0.004), ("a", 1, 1, 0.004)], "k string, o long, s long, v double")
+    assert rows(count_trigger(df, "k", "o", "s", "v", 2), "total") == [(0.008,)]
+    assert rows(purging_count_trigger(df, "k", "o", "s", "v", 2), "total") == [(0.008,)]
+
+
 def test_split_keeps_the_carry_over_nulls(spark):
     """Nulls at the head, middle and tail of a chunk: split and unsplit totals agree."""
     values = [None if i in (0, 8, 9, 10, 11, 16, 17) else 1.0 for i in range(20)]

@@ -36,8 +36,8 @@ def test_session_merges_at_exact_gap(spark):
 def test_session_hot_key_split_equals_single_pass(spark):
     ev = load(spark, SF_MID, "events").select("event_type", "ts", "value")
     gap = 20 * 60 * 1_000_000
-    whole = rows(session_windows(ev, "event_type", "ts", gap, "value", rows_per_chunk=10**9))
-    split = rows(session_windows(ev, "event_type", "ts", gap, "value", rows_per_chunk=97))
+    whole = rows(session_windows(ev, "event_type", "ts", gap, "value", scale=2, rows_per_chunk=10**9))
+    split = rows(session_windows(ev, "event_type", "ts", gap, "value", scale=2, rows_per_chunk=97))
     assert whole == split and len(whole) > 100
 
 
