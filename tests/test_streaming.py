@@ -139,3 +139,20 @@ def test_stream_fan_out_writes_both_branches(spark, scratch):
     # Output is keyed by epoch (path/epoch=<id>): compare the branch columns.
     assert rows(spark.read.parquet(paths["main"]), "doc_id", "word") == rows(main)
     assert rows(spark.read.parquet(paths["rejected"]), "doc_id", "word") == rows(rejected)
+
+
+def test_replay_of_many_files_a_range_equals_batch(spark, monkeypatch):
+    from riverbend.streaming import replay as module
+
+    monkeypatch.setattr(module, "ROWS_PER_FILE", 50)
+    ev = _batch_events(spark).withColumn("ts", F.col("ts").cast("timestamp"))
+    flush = [flush_rows(ev, "ts", {"event_type": FLUSH_KEY, "event_id": 10**15})]
+    replayed = replay_files(ev, "event_id", 4, "many", flush)
+    assert replayed.files > 1
+    out = _run_memory(spark, twins.tumbling_counts(stream_folder(spark, replayed, ev.schema),
+                                                   ["event_type"], "ts", "10 minutes"))
+    got = rows(out.where(F.col("event_type") != FLUSH_KEY),
+               "event_type", "window_start", "window_end", "count")
+    want = rows(window_summary(_batch_events(spark), ["event_type"], "ts", 600),
+                "event_type", "window_start", "window_end", "n")
+    assert got == want
