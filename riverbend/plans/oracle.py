@@ -7,6 +7,8 @@ recursive CTE where the reference is sequential.
 
 from __future__ import annotations
 
+from .io_queries import IO_ORACLE
+
 # Java's String.split (limit 0) in SQL: '' -> [''], only delimiters -> [],
 # otherwise split after removing the trailing delimiter run.
 def _java_split(expr: str, pattern: str) -> str:
@@ -230,6 +232,7 @@ from (select * from events where event_type <> 'signup') l
 asof left join (select ts, arg_max(json_extract_string(props, '$.k'), event_id) as kw
                 from events where event_type = 'signup' group by ts) r
 on l.ts >= r.ts""",
+    **IO_ORACLE,
 }
 
 

@@ -19,6 +19,7 @@ How the reference's inputs map onto the tables:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,14 +29,17 @@ from ..functions.text import (NON_WORD, WHITESPACE_ONE, WHITESPACE_RUN, format_t
                               parse_tuple_text, text_lines, tokenize)
 from ..functions.time import to_epoch_millis, to_epoch_seconds, from_epoch_seconds
 from ..operators.lateness import final_window_summary, lateness_firings, lateness_status
-from ..operators.lookup import latest_rule_asof, mask_messages, with_cached_text
+from ..operators.lookup import (latest_rule_asof, mask_messages, read_cached_text,
+                                with_cached_text)
 from ..operators.routing import connect_flat, even_odd_selector, select_tags, side_output, tag_rows
 from ..operators.topn import hot_items as top_items
 from ..operators.triggers import count_trigger, delta_trigger_max, purging_count_trigger
 from ..operators.windows import (US, add_tumbling_window, grouped_sum, running_per_key,
                                  session_windows, sliding_counts, tumbling_sum, window_summary)
+from ..session import checkpoint_path
 from ..sources.files import CAR_FIELDS
 from ..sources.tables import load
+from .io_queries import IO_QUERIES
 from .skew import ROWS_PER_CHUNK_CONF
 
 # Fixed parameters of the reference jobs, and the stand-ins chosen for the
@@ -184,9 +188,11 @@ def connect_comap(spark, sf):
 
 
 def cached_prefix(spark, sf):
-    region = load(spark, sf, "region")
-    cached = region.agg(F.concat_ws(",", F.sort_array(
-        F.collect_list(F.struct("r_regionkey", "r_name"))).getField("r_name")).alias("text"))
+    """The cached file: the five region names, one a line, as one file of the shared folder."""
+    path = checkpoint_path(spark, f"io/cached-{uuid.uuid4().hex[:8]}")
+    load(spark, sf, "region").orderBy("r_regionkey").select("r_name").coalesce(1).write.text(path)
+    cached = read_cached_text(spark, path).select(F.regexp_replace(
+        F.regexp_replace("value", r"\n\z", ""), "\n", ",").alias("text"))
     cust = load(spark, sf, "customer").select("c_custkey", "c_name")
     return with_cached_text(cust, cached, "c_name", "enriched").select("c_custkey", "enriched")
 
@@ -303,6 +309,7 @@ QUERIES: dict[str, Query] = {
     "lateness_firings": lateness_firing_history,
     "window_summary_with_lateness": window_summary_with_lateness,
     "keyword_mask": keyword_mask,
+    **IO_QUERIES,
 }
 
 

@@ -7,6 +7,8 @@ for the reference's sockets and generator sources.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +28,12 @@ def _reader(spark: SparkSession, streaming: bool, max_files: int | None = None):
 
 
 def read_lines(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """S1 ``readTextFile``: one row per line, column ``value``."""
-    return _reader(spark, streaming).text(path)
+    """S1 ``readTextFile``: one row per line, column ``value``. Lines end at a line feed;
+    a carriage return before it belongs to the line's end, any other to the line."""
+    lines = _reader(spark, streaming).option("lineSep", "\n").text(path)
+    v = F.col("value")
+    return lines.select(F.when(F.endswith(v, F.lit("\r")), v.substr(F.lit(1), F.length(v) - 1))
+                        .otherwise(v).alias("value"))
 
 
 def read_user_behavior(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
@@ -50,8 +56,13 @@ def read_key_millis(spark: SparkSession, path: str, streaming: bool = False) ->
         "ts", F.timestamp_millis("ts_ms").cast("timestamp_ntz"))
 
 
+def read_or_default(spark: SparkSession, reader: Callable[[SparkSession, str], DataFrame],
+                    path: str | None, default: Callable[[], DataFrame]) -> DataFrame:
+    """The job parameter picks a file for ``reader``, else ``default`` makes the rows."""
+    return reader(spark, path) if path else default()
+
+
 def text_or_default(spark: SparkSession, path: str | None, default: list[str]) -> DataFrame:
-    """The job parameter picks a file, else the built-in sample lines."""
-    if path:
-        return read_lines(spark, path)
-    return spark.createDataFrame([(x,) for x in default], "value string")
+    """S8 for lines: the file, else the built-in sample lines."""
+    return read_or_default(spark, read_lines, path,
+                           lambda: spark.createDataFrame([(x,) for x in default], "value string"))
