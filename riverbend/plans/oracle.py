@@ -267,6 +267,39 @@ ORACLE["stream_tumbling_word_count"] = ORACLE["tumbling_word_count"]
 ORACLE["stream_side_output_main"] = ORACLE["side_output_main"]
 ORACLE["stream_side_output_rejected"] = ORACLE["side_output_rejected"]
 
+ORACLE["stream_split_all"] = ORACLE["split_all"]
+ORACLE["stream_connect"] = ORACLE["connect_comap"]
+
+
+def _late_stream(delay_hours: int) -> str:
+    """Rows that a stream in eight micro-batches keeps: a batch drops a row whose window ended
+    ``delay_hours`` before the largest event time of the batches up to the second before it."""
+    return f"""
+with z as (select max(event_id) + 1 as total, (max(event_id) + 1) * 3 // 8 as hop from events),
+a as (
+  select event_type, epoch_us(ts) // 1000 as ms,
+         (event_id + case when event_id % 13 = 0 then hop else 0 end) * 8 // (total + hop) as batch
+  from events, z),
+m as (select batch, max(ms) as top from a group by batch),
+w as (
+  select batch, max(top) over (order by batch rows between unbounded preceding and 2 preceding)
+                - {delay_hours} * 3600000 as wm
+  from m),
+k as (
+  select a.*, make_timestamp(ms // 3600000 * 3600000000) as window_start,
+         make_timestamp((ms // 3600000 + 1) * 3600000000) as window_end
+  from a join w using (batch)
+  where wm is null or (ms // 3600000 + 1) * 3600000 > wm)
+"""
+
+
+ORACLE["stream_late_drop"] = _late_stream(2) + """
+select event_type, window_start, window_end, count(*) as count from k group by all"""
+ORACLE["stream_window_summary_late"] = _late_stream(26) + """
+select event_type, window_start, window_end, count(*) as n, make_timestamp(min(ms) * 1000) as first_ts,
+       make_timestamp(max(ms) * 1000) as last_ts, count(distinct batch) as firings
+from k group by event_type, window_start, window_end"""
+
 # The same operators with their hot-key plan (``queries.CHUNKED``).
 for _name in ("count_trigger_running", "count_trigger_purged", "session_sum", "top_speed",
               "late_status", "lateness_firings", "window_summary_with_lateness", "keyword_mask"):

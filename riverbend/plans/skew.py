@@ -18,6 +18,9 @@ parallel prefix. Chunks are contiguous in the order, so the combine is exact.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 from functools import reduce
 
@@ -37,6 +40,28 @@ DEFAULT_ROWS_PER_CHUNK = 100_000
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+_CACHED: ContextVar[list[DataFrame] | None] = ContextVar("cached_split_tables", default=None)
+
+
+@contextmanager
+def released() -> Iterator[None]:
+    """Free the key counts and bounds that splits inside the block have cached, once it
+    ends: for callers that also run the result there, such as the sink of a micro-batch."""
+    token = _CACHED.set([])
+    try:
+        yield
+    finally:
+        for df in _CACHED.get():
+            df.unpersist()
+        _CACHED.reset(token)
+
+
+def _cached(df: DataFrame) -> DataFrame:
+    if _CACHED.get() is not None:
+        _CACHED.get().append(df)
+    return df.persist()
+
+
 @dataclass
 class KeySplit:
     """Input rows tagged with ``_chunk`` plus the heavy-key boundary table.
@@ -95,7 +120,7 @@ def split_hot_keys(df: DataFrame, keys: list[str], order: str | Column,
     order_c = F.col(order) if isinstance(order, str) else order
     # Per-key counts are small next to the rows; cache them so the stats and
     # the heavy-key lookup below share one scan of the input.
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).persist()
+    counts = _cached(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
     stats = counts.agg(F.sum("_n").alias("total"), F.max("_n").alias("top"),
                        F.count(F.lit(1)).alias("nkeys")).first()
     total, top = int(stats["total"] or 0), int(stats["top"] or 0)
@@ -114,9 +139,9 @@ def split_hot_keys(df: DataFrame, keys: list[str], order: str | Column,
     probs = [i / grid for i in range(1, grid)]
     accuracy = max(10_000, 20 * grid)
     sample_src = null_safe_join(df, heavy_keys, keys, n_heavy, "left_semi") if keys else df
-    heavy = (sample_src.groupBy(*keys)
-             .agg(F.array_distinct(F.percentile_approx(order_c, probs, accuracy))
-                  .alias(BOUNDS))).persist()
+    heavy = _cached(sample_src.groupBy(*keys)
+                    .agg(F.array_distinct(F.percentile_approx(order_c, probs, accuracy))
+                         .alias(BOUNDS)))
     heavy_rows = n_heavy * grid
     tagged = _tag(df, keys, order_c, heavy, heavy_rows, grid, keep_bounds)
     return KeySplit(tagged, keys, heavy, heavy_rows, heavy_keys, grid)

@@ -12,10 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import NON_WORD, WHITESPACE_ONE, text_lines, tokenize
+from ..functions.time import to_epoch_millis, to_event_time
+from ..operators.routing import connect_flat, even_odd_selector, select_tags, tag_rows
 from ..session import checkpoint_path
+from ..sources.inline import timestamped_events
 from ..sources.tables import load
 from ..streaming import twins
-from ..streaming.replay import flush_rows, replay_files, stream_folder
+from ..streaming.replay import flush_rows, replay_batches, replay_files, stream_folder
 
 FLUSH_KEY = "__flush__"
 VALUE_SCALE = 2  # events.value holds two decimals
@@ -23,6 +26,10 @@ REPLAY_FILES = 4
 # One far-future flush file: after it, Spark runs a no-data batch with the
 # advanced watermark, which closes every remaining window.
 FLUSH_FILES = 1
+STATE_PARTITIONS_CONF = "riverbend.stream.statePartitions"
+# Late data: every 13th event arrives 3/8 of the table later, in eight micro-batches.
+LATE_EVERY, LATE_BATCHES, LATE_HOP = 13, 8, 3
+LATE_WINDOW, LATE_DELAY, LATENESS = "1 hour", "2 hours", "1 day"
 
 
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -35,16 +42,13 @@ def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _start(spark: SparkSession, writer):
-    """Start a new stream with its state partitions sized to the cluster.
-
-    A fresh checkpoint fixes the state-store partition count at the current
-    ``spark.sql.shuffle.partitions``; every micro-batch then commits that
-    many stores. Cap it at twice the cluster's cores (a no-op on a large
-    cluster) and restore the session setting once the query has started.
-    """
+    """Start a new stream. Its checkpoint fixes the number of state partitions for good: the
+    one of ``riverbend.stream.statePartitions`` if set, else ``spark.sql.shuffle.partitions``."""
+    wanted = spark.conf.get(STATE_PARTITIONS_CONF, None)
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+    if wanted:
+        spark.conf.set(key, wanted)
     try:
         return writer.trigger(availableNow=True).start()
     finally:
@@ -61,10 +65,11 @@ def _to_files(spark: SparkSession, sdf: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-def _foreach(spark: SparkSession, sdf: DataFrame, name: str, make_sink) -> DataFrame:
+def _foreach(spark: SparkSession, sdf: DataFrame, name: str, make_sink,
+             mode: str = "append") -> DataFrame:
     run = f"{name}-{uuid.uuid4().hex[:8]}"
     out = checkpoint_path(spark, f"sinks/{run}")
-    q = _start(spark, sdf.writeStream.foreachBatch(make_sink(out)).outputMode("append")
+    q = _start(spark, sdf.writeStream.foreachBatch(make_sink(out)).outputMode(mode)
                .option("checkpointLocation", checkpoint_path(spark, f"ckpt/{run}")))
     q.awaitTermination()
     return spark.read.parquet(out)
@@ -100,20 +105,71 @@ def stream_sessions(spark, sf):
     return _ntz(out.where("user_id <> -1"), "first_ts", "session_end")
 
 
+def _count_trigger(spark, sf, name, purge):
+    s = _event_stream(spark, sf).where(F.col("event_type") != FLUSH_KEY)
+    out = _foreach(spark, s, name, lambda p: twins.count_trigger_sink(
+        p, f"{p}-carry", "event_type", "ts", "event_id", "value", 2, purge, VALUE_SCALE))
+    return out.select("event_type", "n", "total", "fired_at")
+
+
 def stream_count_trigger(spark, sf):
-    s = _event_stream(spark, sf)
-    out = _to_files(spark, twins.count_trigger(s, "event_type", "ts", "event_id", "value", 2),
-                    "count_trigger")
-    return out.where(F.col("event_type") != FLUSH_KEY)
+    return _count_trigger(spark, sf, "count_trigger", False)
 
 
 def stream_count_trigger_purged(spark, sf):
-    s = _event_stream(spark, sf)
-    out = _to_files(spark, twins.count_trigger(s, "event_type", "ts", "event_id", "value", 2,
-                                               purge=True), "count_trigger_purged")
+    return _count_trigger(spark, sf, "count_trigger_purged", True)
+
+
+def _late_stream(spark: SparkSession, sf: str, flush: bool) -> DataFrame:
+    """Events (type and epoch millis) in an arrival order with late rows, cut into
+    ``LATE_BATCHES`` micro-batches of equal stretches of it."""
+    ev = load(spark, sf, "events").select("event_id", "event_type", to_epoch_millis("ts").alias("ms"))
+    total = (ev.agg(F.max("event_id")).first()[0] or 0) + 1
+    hop = total * LATE_HOP // LATE_BATCHES
+    arrival = F.col("event_id") + F.when(F.col("event_id") % LATE_EVERY == 0, F.lit(hop)).otherwise(F.lit(0))
+    ev = ev.withColumn("batch", F.floor(arrival * LATE_BATCHES / F.lit(total + hop)).cast("int"))
+    last = [ev.agg(F.max("ms").alias("ms")).select(
+        F.lit(-1).cast("bigint").alias("event_id"), F.lit(FLUSH_KEY).alias("event_type"),
+        (F.col("ms") + F.lit(365 * 100 * 86_400_000)).alias("ms"))] if flush else []
+    return stream_folder(spark, replay_batches(ev, "batch", LATE_BATCHES, "late", last), ev.drop("batch").schema)
+
+
+def stream_late_drop(spark, sf):
+    """Hourly counts with a watermark two hours behind; later rows are dropped."""
+    s = timestamped_events(_late_stream(spark, sf, flush=True), "ms", "ts", LATE_DELAY)
+    out = _to_files(spark, twins.tumbling_counts(s, ["event_type"], "ts", LATE_WINDOW, None), "late_drop")
     return out.where(F.col("event_type") != FLUSH_KEY)
 
 
+def stream_window_summary_late(spark, sf):
+    """L4: hourly summaries that fire again for rows up to a day late; the last firing counts."""
+    s = timestamped_events(_late_stream(spark, sf, flush=False), "ms", "ts")
+    s = s.withColumn("ts", to_event_time("ts"))
+    out = _foreach(spark, twins.window_summaries(s, ["event_type"], "ts", LATE_WINDOW, LATE_DELAY, LATENESS),
+                   "window_summary_late", twins.epoch_sink, "update")
+    return twins.last_firings(out, ["event_type", "window_start", "window_end"], ["n", "first_ts", "last_ts"])
+
+
+def _order_stream(spark: SparkSession, sf: str) -> DataFrame:
+    orders = load(spark, sf, "orders").select("o_orderkey")
+    return stream_folder(spark, replay_files(orders, "o_orderkey", REPLAY_FILES, "orders"), orders.schema)
+
+
+def stream_split_all(spark, sf):
+    """P8-P10 on a stream."""
+    tagged = tag_rows(_order_stream(spark, sf), even_odd_selector("o_orderkey"))
+    return _to_files(spark, select_tags(tagged, "even", "odd").select(
+        "o_orderkey", F.array_join("tags", ",").alias("tags")), "split_all")
+
+
+def stream_connect(spark, sf):
+    """J1 on two streams."""
+    docs = load(spark, sf, "documents").select("doc_id", "text")
+    texts = stream_folder(spark, replay_files(docs, "doc_id", REPLAY_FILES, "texts"), docs.schema)
+    return _to_files(spark, connect_flat(_order_stream(spark, sf), "o_orderkey",
+                                         text_lines(texts, "text"), "line"), "connect")
+
+
 def stream_keyword_mask(spark, sf):
     ev = load(spark, sf, "events")
     rules_path = checkpoint_path(spark, f"rules/{uuid.uuid4().hex[:8]}")
@@ -180,6 +236,10 @@ STREAM_QUERIES = {
     "stream_tumbling_word_count": stream_tumbling_word_count,
     "stream_side_output_main": stream_side_output_main,
     "stream_side_output_rejected": stream_side_output_rejected,
+    "stream_late_drop": stream_late_drop,
+    "stream_window_summary_late": stream_window_summary_late,
+    "stream_split_all": stream_split_all,
+    "stream_connect": stream_connect,
 }
 
 __all__ = ["STREAM_QUERIES"]

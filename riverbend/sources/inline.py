@@ -20,7 +20,11 @@ def sequence(spark: SparkSession, start: int, end: int, col: str = "value") -> D
     return spark.range(start, end + 1).withColumnRenamed("id", col)
 
 
-def timestamped_events(df: DataFrame, ts_millis: str, out: str = "ts") -> DataFrame:
-    """Rows carrying their own event time (epoch millis) as a timestamp.
-    Streams add ``withWatermark(out, "0 seconds")`` (L1/L3)."""
-    return df.withColumn(out, F.timestamp_millis(ts_millis).cast("timestamp_ntz"))
+def timestamped_events(df: DataFrame, ts_millis: str, out: str = "ts",
+                       delay: str | None = None) -> DataFrame:
+    """Rows carrying their own event time (epoch millis) as a timestamp. With ``delay``
+    the watermark of L1-L3 is attached, and the column is a TIMESTAMP, as Spark asks for."""
+    ts = F.timestamp_millis(ts_millis)
+    if delay is None:
+        return df.withColumn(out, ts.cast("timestamp_ntz"))
+    return df.withColumn(out, ts).withWatermark(out, delay)

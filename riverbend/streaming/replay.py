@@ -55,18 +55,29 @@ def replay_files(df: DataFrame, order: str, ranges: int, name: str,
     bounds = df.approxQuantile(order, [i / ranges for i in range(1, ranges)], 0.04 / ranges) \
         if ranges > 1 else []
     edges = [None, *bounds, None]
-    for i in range(ranges):
-        part = df
-        if edges[i] is not None:
-            part = part.where(F.col(order) > F.lit(edges[i]))
-        if edges[i + 1] is not None:
-            part = part.where(F.col(order) <= F.lit(edges[i + 1]))
-        # Dealt in turn: every task of a range gets rows and writes one file.
-        part.repartition(files).write.mode("overwrite").parquet(os.path.join(root, f"{i:05d}"))
-    # Flush files go last: they move the watermark past every window, and
-    # Spark then runs a no-data batch with that watermark, closing them.
-    for j, rows in enumerate(flush or []):
-        rows.write.mode("overwrite").parquet(os.path.join(root, f"{ranges + j:05d}"))
+    parts = []
+    for low, high in zip(edges, edges[1:]):
+        part = df if low is None else df.where(F.col(order) > F.lit(low))
+        parts.append(part if high is None else part.where(F.col(order) <= F.lit(high)))
+    return _written(root, parts, files, flush)
+
+
+def replay_batches(df: DataFrame, batch: str, batches: int, name: str,
+                   flush: list[DataFrame] | None = None) -> Replay:
+    """Write ``df`` as the micro-batches that its column ``batch`` numbers from 0 (all of them
+    with rows), then the ``flush`` rows: for rules that depend on where batches end."""
+    root = checkpoint_path(df.sparkSession, f"replay/{name}-{uuid.uuid4().hex[:8]}")
+    files = max(1, math.ceil(df.count() / (batches * ROWS_PER_FILE)))
+    parts = [df.where(F.col(batch) == i).drop(batch) for i in range(batches)]
+    return _written(root, parts, files, flush)
+
+
+def _written(root: str, parts: list[DataFrame], files: int, flush: list[DataFrame] | None) -> Replay:
+    # Dealt in turn: every task of a part gets rows and writes one file. Flush files go last:
+    # they move the watermark past every window, and Spark then runs a no-data batch with
+    # that watermark, closing them.
+    for i, part in enumerate([*(p.repartition(files) for p in parts), *(flush or [])]):
+        part.write.mode("overwrite").parquet(os.path.join(root, f"{i:05d}"))
     return Replay(root, files)
 
 

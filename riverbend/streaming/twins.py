@@ -10,24 +10,28 @@ event-time column must be TIMESTAMP (``functions.time.to_event_time``):
 * top-N per window: append-mode window counts, then an exact batch top-N
   per micro-batch (all groups of a window are finalized in the same batch,
   when the watermark passes its end), so no per-window list is collected;
-* count triggers: ``applyInPandasWithState`` with O(1) state per key;
-* keyword masking: ``foreachBatch`` as-of lookup against the rule table as it
-  stands when the batch runs.
+* count triggers: ``foreachBatch`` with the batch operator's hot-key split; one
+  (count, sum) row per key is carried from epoch to epoch;
+* allowed lateness: update mode, where a window fires again in every micro-batch
+  that brings it rows;
+* keyword masking: ``foreachBatch`` as-of lookup against the rules of the batch's
+  time and the last one before it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from contextlib import contextmanager
 
-import numpy as np
-import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import DecimalType
 
+from ..functions.time import epoch_micros
 from ..operators.lookup import latest_rule_asof, mask_messages
 from ..operators.topn import hot_items as top_items
-from ..operators.windows import summand
+from ..operators.windows import running_per_key, summand
+from ..plans.skew import null_safe_join, released
 
 
 def _ntz(c):
@@ -35,10 +39,12 @@ def _ntz(c):
 
 
 def tumbling_counts(stream: DataFrame, keys: list[str], ts: str, size: str,
-                    delay: str = "0 seconds") -> DataFrame:
-    """W1-W3 on a stream: ``keys, window_start, window_end, count``."""
+                    delay: str | None = "0 seconds") -> DataFrame:
+    """W1-W3 on a stream: ``keys, window_start, window_end, count``. ``delay`` None: the
+    stream has its watermark already (L3)."""
     w = F.window(ts, size)
-    return (stream.withWatermark(ts, delay).groupBy(*keys, w.alias("w"))
+    timed = stream if delay is None else stream.withWatermark(ts, delay)
+    return (timed.groupBy(*keys, w.alias("w"))
             .agg(F.count(F.lit(1)).alias("count"))
             .select(*keys, _ntz("w.start").alias("window_start"),
                     _ntz("w.end").alias("window_end"), "count"))
@@ -89,76 +95,125 @@ def sessions(stream: DataFrame, key: str, ts: str, gap: str, value: str,
                     "n", "total"))
 
 
-COUNT_STATE = "n long, cents long, seen boolean"
+def window_summaries(stream: DataFrame, keys: list[str], ts: str, size: str,
+                     delay: str, lateness: str = "0 seconds") -> DataFrame:
+    """L4 + A6 on a stream, for update mode: ``keys, window_start, window_end, n, first_ts,
+    last_ts`` of every window that a micro-batch brought rows. A row is dropped once its
+    window ended ``delay + lateness`` before the largest event time two micro-batches back
+    (Spark moves the watermark between batches, and drops by the one before)."""
+    w = F.window(ts, size)
+    return (stream.withWatermark(ts, f"{delay} {lateness}").groupBy(*keys, w.alias("w"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
+            .select(*keys, _ntz("w.start").alias("window_start"), _ntz("w.end").alias("window_end"),
+                    "n", _ntz("first_ts").alias("first_ts"), _ntz("last_ts").alias("last_ts")))
+
+
+def epoch_sink(path: str):
+    """A ``foreachBatch`` function that keeps every batch in ``path/epoch=<id>`` (overwritten
+    when an epoch is retried)."""
+    return lambda batch, epoch_id: batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch_id}")
+
+
+def last_firings(firings: DataFrame, window: list[str], values: list[str]) -> DataFrame:
+    """Of the firings kept by ``epoch_sink``: each window's last content and ``firings``."""
+    last = F.max_by(F.struct(*values), "epoch").alias("_last")
+    return (firings.groupBy(*window).agg(last, F.count(F.lit(1)).alias("firings"))
+            .select(*window, "_last.*", "firings"))
+
+
+@contextmanager
+def _held(df: DataFrame):
+    """``df`` cached while several jobs of one micro-batch read it, and what splits cache."""
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        with released():
+            yield df
+    finally:
+        df.unpersist()
+
 
+def _wide_sum(df: DataFrame, col: str):
+    """The type that holds sums of sums of ``col``, epoch after epoch."""
+    kind = df.schema[col].dataType
+    return DecimalType(38, kind.scale) if isinstance(kind, DecimalType) else \
+        df.agg(F.sum(col)).schema[0].dataType
 
-def count_trigger(stream: DataFrame, key: str, order: str, seq: str, value: str,
-                  every: int = 2, purge: bool = False) -> DataFrame:
-    """W6/W7 on a stream with ``applyInPandasWithState``.
 
-    The state per key is a (count, sum) pair (the sum in integer cents, so
-    it is exact); with ``purge`` only the rows of the unfinished batch are
-    kept. Rows of one micro-batch are processed in ``(order, seq)`` order
-    with vectorized cumulative sums, not a per-row loop.
+def count_trigger_sink(path: str, carry_path: str, key: str, order: str, seq: str, value: str,
+                       every: int = 2, purge: bool = False, scale: int | None = None):
+    """W6/W7 on a stream: a ``foreachBatch`` function writing ``key, n, total, fired_at`` of
+    the batch's firings to ``path/epoch=<id>``.
+
+    Rows of a batch are numbered per key in ``(order, seq)`` order by the batch operator, hot
+    keys in chunks. Between epochs each key keeps one row (its rows so far, and the sum so
+    far or, with ``purge``, that of the unfinished group) in ``carry_path/epoch=<id>``. An
+    epoch reads the carry of the one before and overwrites its own, so it may be retried.
     """
-    key_type = stream.schema[key].dataType.simpleString()
-    seq_type = stream.schema[seq].dataType.simpleString()
-    out_schema = f"{key} {key_type}, n long, total double, fired_at {seq_type}"
-
-    def fold(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n0, c0, seen0 = state.get if state.exists else (0, 0, False)
-        batch = pd.concat(list(pdfs)).sort_values([order, seq])
-        vals = batch[value]
-        # A null value still counts as a row; the sum skips it and stays
-        # null until the first non-null value (as SQL's sum does).
-        cents = np.rint(vals.fillna(0).to_numpy(dtype=float) * 100).astype(np.int64)
-        seen = seen0 | (np.cumsum(vals.notna().to_numpy()) > 0)
-        pos = n0 + np.arange(1, len(batch) + 1)
-        run = c0 + np.cumsum(cents)
-        fire = pos % every == 0
-        if purge:
-            # Total of each full batch = running sum at its last row minus
-            # the running sum at the previous firing.
-            fired_run = run[fire]
-            prev = np.r_[0, fired_run[:-1]]
-            totals, counts = fired_run - prev, np.full(fire.sum(), every)
-            # A batch's sum is null when all of its values are null.
-            nn = np.cumsum(np.r_[0, vals.notna().to_numpy().astype(np.int64)])
-            if seen0 and n0 > 0:
-                nn = nn + 1  # carried rows held a non-null value
-            fired_nn = nn[1:][fire]
-            has_value = (fired_nn - np.r_[0, fired_nn[:-1]]) > 0
-            last = np.flatnonzero(fire)[-1] if fire.any() else -1
-            n_left = len(batch) - 1 - last if last >= 0 else n0 + len(batch)
-            c_left = run[-1] - run[last] if last >= 0 else run[-1]
-            seen_left = bool(vals.iloc[last + 1:].notna().any()) or (last < 0 and seen0)
-            state.update((int(n_left), int(c_left), seen_left))
-        else:
-            totals, counts = run[fire], pos[fire]
-            has_value = seen[fire]
-            state.update((int(pos[-1]), int(run[-1]), bool(seen[-1])))
-        total = pd.array(totals / 100.0, dtype="Float64")
-        total[~has_value] = pd.NA
-        yield pd.DataFrame({key: [k[0]] * int(fire.sum()), "n": counts.astype(np.int64),
-                            "total": total, "fired_at": batch[seq].to_numpy()[fire]})
-
-    return (stream.select(key, order, seq, value).groupBy(key)
-            .applyInPandasWithState(fold, out_schema, COUNT_STATE, "append",
-                                    GroupStateTimeout.NoTimeout))
+
+    def write(batch: DataFrame, epoch_id: int):
+        spark = batch.sparkSession
+        rows = batch.select(key, order, seq, summand(value, scale).alias("_x"))
+        kind = _wide_sum(rows, "_x")
+        total = lambda c: F.sum(c).cast(kind).alias("total")
+        with _held(rows):
+            counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"), total("_x"))
+            numbered = running_per_key(rows, [key], order, [seq], "_x")
+            if epoch_id:
+                before = spark.read.schema(counts.schema).parquet(f"{carry_path}/epoch={epoch_id - 1}")
+                carry = before.withColumnsRenamed({"n": "_n0", "total": "_t0"})
+                numbered = null_safe_join(numbered, carry, [key], before.count())
+            else:
+                before = counts.where(F.lit(False))
+                numbered = numbered.withColumns({"_n0": F.lit(0), "_t0": F.lit(None).cast(kind)})
+            pos = (F.col("_rn") + F.coalesce("_n0", F.lit(0))).cast("bigint")
+            if purge:
+                pieces = (numbered.groupBy(key, F.floor((pos - 1) / every).alias("_g"))
+                          .agg(F.count(F.lit(1)).alias("n"), total("_x"), F.max_by(seq, "_rn").alias("fired_at")))
+                left = F.col("n") % every
+                unfinished = before.where(left > 0).select(
+                    key, F.floor(F.col("n") / every).alias("_g"), left.alias("n"), "total",
+                    F.lit(None).cast(rows.schema[seq].dataType).alias("fired_at"))
+                groups = (pieces.unionByName(unfinished).groupBy(key, "_g")
+                          .agg(F.sum("n").alias("n"), total("total"), F.max("fired_at").alias("fired_at")))
+                fired = groups.where(F.col("n") == every)
+                no_sum = [d.select(key, "n", F.lit(None).cast(kind).alias("total")) for d in (counts, before)]
+                after = no_sum[0].unionByName(no_sum[1]).unionByName(
+                    groups.where(F.col("n") < every).select(key, F.lit(0).cast("bigint").alias("n"), "total"))
+            else:
+                run = F.when(F.col("_run").isNotNull() | F.col("_t0").isNotNull(),
+                             F.coalesce("_run", F.lit(0)).cast(kind) + F.coalesce("_t0", F.lit(0)).cast(kind))
+                fired = numbered.where(pos % every == 0).select(
+                    key, pos.alias("n"), run.alias("total"), F.col(seq).alias("fired_at"))
+                after = counts.unionByName(before)
+            fired.select(key, "n", F.col("total").cast("double").alias("total"), "fired_at") \
+                .write.mode("overwrite").parquet(f"{path}/epoch={epoch_id}")
+            after.groupBy(key).agg(F.sum("n").alias("n"), total("total")) \
+                .write.mode("overwrite").parquet(f"{carry_path}/epoch={epoch_id}")
+
+    return write
 
 
 def keyword_mask_sink(rules_path: str, out_path: str, ts: str, text: str, default: str,
                       tiebreak: str):
-    """J2 on a stream: each micro-batch of messages is matched to the latest
-    rule at or before its time, reading the rule table (appended by another
-    stream or job) as it stands when the batch runs."""
+    """J2/L7 on a stream: each micro-batch of messages is matched to the latest
+    rule at or before its time, in the rule table (appended by another
+    stream or job) as it stands when the batch runs. Only the rules of the
+    batch's time and those of the last instant before it are read."""
 
     def write(batch: DataFrame, epoch_id: int):
-        spark = batch.sparkSession
-        rules = spark.read.parquet(rules_path).select(ts, tiebreak, "keyword")
-        cur = latest_rule_asof(batch, rules, ts, "keyword", default, tiebreak)
-        mask_messages(cur, text, "keyword").write.mode("overwrite") \
-            .parquet(f"{out_path}/epoch={epoch_id}")
+        with _held(batch):
+            us = epoch_micros(ts)
+            span = batch.agg(F.min(us).alias("low"), F.max(us).alias("high")).first()
+            rules = batch.sparkSession.read.parquet(rules_path).select(ts, tiebreak, "keyword")
+            at = lambda v: F.timestamp_micros(F.lit(v)).cast(rules.schema[ts].dataType)
+            if span["low"] is not None:
+                rules = rules.where(F.col(ts) <= at(span["high"]))
+                old = rules.where(F.col(ts) <= at(span["low"])).agg(F.max(us)).first()[0]
+                if old is not None:
+                    rules = rules.where(F.col(ts) >= at(old))
+            cur = latest_rule_asof(batch, rules, ts, "keyword", default, tiebreak)
+            mask_messages(cur, text, "keyword").write.mode("overwrite") \
+                .parquet(f"{out_path}/epoch={epoch_id}")
 
     return write
 

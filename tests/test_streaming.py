@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
+from riverbend.operators.lookup import latest_rule_asof, mask_messages
 from riverbend.operators.topn import hot_items
 from riverbend.operators.triggers import count_trigger, purging_count_trigger
 from riverbend.operators.windows import session_windows, sliding_counts, window_summary
@@ -90,30 +91,67 @@ def test_stream_sessions_equal_batch(spark, replay):
     assert got == want and len(got) > 100
 
 
+def _run_count_trigger(spark, sdf, *cols, purge=False, every=2):
+    out = checkpoint_path(spark, f"t_{uuid.uuid4().hex[:8]}")
+    _run_foreach(spark, sdf, twins.count_trigger_sink(out, f"{out}-carry", *cols, every, purge))
+    return spark.read.parquet(out)
+
+
 @pytest.mark.parametrize("purge", [False, True])
-def test_stream_count_trigger_equals_batch(spark, replay, purge):
-    out = _run_memory(spark, twins.count_trigger(_stream(spark, replay), "event_type", "ts",
-                                                 "event_id", "value", 2, purge))
-    got = rows(out.where(F.col("event_type") != FLUSH_KEY), "event_type", "n", "fired_at")
-    got_totals = sorted(round(r["total"], 2) for r in out.where(
-        F.col("event_type") != FLUSH_KEY).collect())
-    op = purging_count_trigger if purge else count_trigger
-    batch = op(_batch_events(spark), "event_type", "ts", "event_id", "value", 2)
-    assert got == rows(batch, "event_type", "n", "fired_at")
-    assert got_totals == sorted(round(r["total"], 2) for r in batch.collect())
+@pytest.mark.parametrize("every", [2, 7])
+def test_stream_count_trigger_equals_batch(spark, replay, purge, every):
+    cols = ("event_type", "ts", "event_id", "value")
+    out = _run_count_trigger(spark, _stream(spark, replay).where(F.col("event_type") != FLUSH_KEY),
+                             *cols, purge=purge, every=every)
+    batch = (purging_count_trigger if purge else count_trigger)(_batch_events(spark), *cols, every)
+    assert rows(out, "event_type", "n", "fired_at") == rows(batch, "event_type", "n", "fired_at")
+    assert [x[0] for x in rows(out, "total")] == pytest.approx([x[0] for x in rows(batch, "total")])
 
 
 @pytest.mark.parametrize("purge", [False, True])
-def test_stream_count_trigger_with_nulls_equals_batch(spark, purge):
-    data = [("a", i, i, None if i % 3 == 0 else float(i)) for i in range(1, 12)] + \
-        [("b", i, i, None) for i in range(1, 4)]
+@pytest.mark.parametrize("split", [None, "3"])
+def test_stream_count_trigger_with_nulls_equals_batch(spark, purge, split):
+    """Null values, a null key, a key of nulls alone, and keys cut in chunks of three rows."""
+    data = [("a", i, i, None if i % 3 == 0 else float(i)) for i in range(1, 22)] + \
+        [("b", i, i, None) for i in range(1, 4)] + [(None, i, i, float(i)) for i in range(2, 15)]
     df = spark.createDataFrame(data, "k string, o long, s long, v double")
     root = replay_files(df, "o", 3, "nulls")
-    out = _run_memory(spark, twins.count_trigger(stream_folder(spark, root, df.schema), "k", "o",
-                                                 "s", "v", 2, purge))
+    if split:
+        spark.conf.set("riverbend.scan.rowsPerChunk", split)
+    try:
+        out = _run_count_trigger(spark, stream_folder(spark, root, df.schema), "k", "o", "s", "v", purge=purge)
+    finally:
+        spark.conf.unset("riverbend.scan.rowsPerChunk")
     op = purging_count_trigger if purge else count_trigger
-    want = rows(op(df, "k", "o", "s", "v", 2), "k", "n", "total", "fired_at")
-    assert rows(out, "k", "n", "total", "fired_at") == want
+    none_first = lambda d: sorted(map(str, d.select("k", "n", "total", "fired_at").collect()))
+    assert none_first(out) == none_first(op(df, "k", "o", "s", "v", 2))
+
+
+def test_rules_that_change_while_the_stream_runs(spark, scratch):
+    """Rules appended between micro-batches, two of them of one time: as the batch lookup."""
+    rules = [(i, 10 * i, f"w{i}") for i in range(1, 8)] + [(99, 40, "tie")]
+    messages = [(1000 + t, t, "w1 w2 w3 w4 w5 w6 w7 tie") for t in range(5, 80, 3)]
+
+    def table(data, text):
+        return spark.createDataFrame(data, f"id long, s long, {text} string").select(
+            "id", F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"), text)
+
+    source, rule_path, out = (os.path.join(scratch, n) for n in ("in", "rules", "out"))
+    os.makedirs(source)
+    schema = table(messages, "body").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    sink = twins.keyword_mask_sink(rule_path, out, "ts", "body", "w7", "id")
+    for low, high in ((0, 30), (30, 55), (55, 99)):
+        table([r for r in rules if low <= r[1] < high], "keyword").write.mode("append").parquet(rule_path)
+        table([m for m in messages if low <= m[1] < high], "body").coalesce(1).write.mode("append").parquet(source)
+        q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", os.path.join(scratch, "ckpt"))
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    want = mask_messages(latest_rule_asof(table(messages, "body"), table(rules, "keyword"), "ts", "keyword",
+                                          "w7", "id"), "body", "keyword")
+    got = spark.read.parquet(out)
+    assert got.select("epoch").distinct().count() == 3
+    assert rows(got, "id", "masked") == rows(want, "id", "masked")
 
 
 def test_stream_fan_out_writes_both_branches(spark, scratch):
