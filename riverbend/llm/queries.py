@@ -1,4 +1,4 @@
-"""Registered queries of the training-data operators, and their DuckDB SQL where there is one."""
+"""Registered queries of the training-data operators; their DuckDB SQL, where there is one, is in ``oracle``."""
 
 from __future__ import annotations
 
@@ -21,6 +21,7 @@ from riverbend.llm import (
     toxicity,
 )
 from riverbend.llm.common import held_out, table, written
+from riverbend.llm.oracle import ORACLE
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -85,18 +86,4 @@ QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_sharding, op3_simhash_near_dedup, op4_html_extraction, op5_quality_rules,
     op6_exact_top_k, op7_language_id, op8_toxicity, op9_sentencepiece, op10_token_counts)}
 
-ORACLE = {
-    "op6_exact_top_k": """
-        WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
-            FROM embeddings
-            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
-        s AS (
-            SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
-                   CAST(list_sum(list_transform(list_zip(a.q, b.q), p -> p[1] * p[2])) AS BIGINT) AS score
-            FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
-            WHERE a.vec_id % 50 = 0),
-        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
-        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
-}
+__all__ = ["ORACLE", "QUERIES"]
