@@ -242,4 +242,4 @@ STREAM_QUERIES = {
     "stream_connect": stream_connect,
 }
 
-__all__ = ["STREAM_QUERIES"]
+__all__ = ["STATE_PARTITIONS_CONF", "STREAM_QUERIES"]
