@@ -5,8 +5,10 @@ with the tags met since the last one. A line's ratio is its characters by its ta
 Gaussian kernel smooths the ratios along the page, and the lines above a threshold (a share
 of their spread) form the clusters of content. Lines in elements that by tag, role or name
 are menus, headers, footers, sidebars, notices, adverts, forms or reader comments never
-count. The main text is all that is left inside the smallest container that holds nearly
-all of the clusters' text: short paragraphs of the article stay, blocks beside it go.
+count; an element that only its name speaks against counts if it holds the page's article or
+most of the clusters' text (a layout's wrapper). The main text is all that is left inside the
+article that holds nearly all of the clusters' text, or without one inside the smallest
+container that holds all clusters: short paragraphs of the article stay, blocks beside it go.
 """
 
 from __future__ import annotations
@@ -46,53 +48,114 @@ NAMES = frozenset("""ad ads adbox adslot adsense advert adverts advertisement ad
     login cookie cookies consent gdpr notice notices alert popup modal overlay paywall comment
     comments commentlist discussion disqus replies respond toolbar pagination pager skip copyright
     disclaimer tags hidden""".split())
+#: Of these, what readers write: it may be longer than the article.
+READERS = frozenset("comment comments commentlist discussion disqus replies respond".split())
+#: A name after one of the first, or before one of the second, tells what a layout has.
+HAS, WRAPS = frozenset("has no not with without".split()), frozenset("wrap wrapper layout".split())
+#: Class tokens of the article itself: a part of another token does not outweigh them.
+ARTICLE = frozenset("post entry hentry article content story main".split())
+#: How surely a name speaks against an element: a part of a token, a whole token, readers' comments.
+PART, WHOLE, COMMENT = 1, 2, 3
 SPLIT = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 
 
-def beside(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    """Does the element stand beside the main text?"""
+def named(value: str) -> int:
+    """How surely a class or id names what is beside the main text; 0: not at all."""
+    found, article = 0, False
+    for token in value.split():
+        words = [w.lower() for w in SPLIT.split(token) if w]
+        if not words:
+            continue
+        article = article or "-".join(words) in ARTICLE
+        if all(w in NAMES for w in words):
+            found = max(found, COMMENT if READERS.intersection(words) else WHOLE)
+        elif not HAS.intersection(words) and words[-1] not in WRAPS and (words[0] in NAMES or words[-1] in NAMES):
+            found = max(found, PART)
+    return 0 if article and found == PART else found
+
+
+def beside(tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, int]:
+    """Does the element stand beside the main text for certain, and how surely by its name?"""
     if tag in ASIDE:
-        return True
+        return True, 0
     if tag in ("html", "body", "main", "article"):
-        return False
+        return False, 0
+    name = 0
     for key, value in attrs:
         if key in ("class", "id") and value:
-            if any(w.lower() in NAMES for w in SPLIT.split(value)):
-                return True
+            name = max(name, named(value))
         elif key == "role" and (value or "").lower() in ROLES or key == "hidden":
-            return True
+            return True, 0
         elif key == "style" and "display:none" in (value or "").replace(" ", "").lower():
-            return True
+            return True, 0
         elif key == "aria-hidden" and value == "true":
-            return True
-    return False
+            return True, 0
+    return False, name
 
 
 class Lines(HTMLParser):
-    """Lines of a page: (text, tags, path of containers), in page order."""
+    """Lines of a page in page order: (pieces, tags, path of containers), a piece being
+    (text, path of the elements that their name speaks against)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
-        self.stack: list[tuple[str, bool, bool]] = []  # tag, silent, beside
+        self.lines: list[tuple[list[tuple[str, tuple[int, ...]]], int, tuple[int, ...]]] = []
+        self.stack: list[tuple[str, bool, bool, int]] = []  # tag, silent, beside, named
         self.containers: list[int] = []
         self.kinds: dict[int, str] = {}
-        self.text: list[str] = []
+        self.named: tuple[int, ...] = ()
+        self.names: dict[int, int] = {}
+        self.text: list[tuple[str, tuple[int, ...]]] = []
+        self.above: dict[int, tuple[int, ...]] = {}  # containers: the named elements they stand in
         self.tags = self.silent = self.beside = self.opened = 0
 
     def end_line(self) -> None:
-        text = " ".join("".join(self.text).split())
-        self.text = []
-        if text:
-            self.lines.append((text, max(1, self.tags), tuple(self.containers)))
+        if any(text.strip() for text, _ in self.text):
+            self.lines.append((self.text, self.tags, tuple(self.containers)))
             self.tags = 0
+        self.text = []
+
+    def without(self, dropped: set[int]) -> list[tuple[str, int, tuple[int, ...]]]:
+        """(text, tags, path of containers) of the lines, less what is inside the ``dropped``."""
+        out, tags = [], 0
+        for pieces, more, path in self.lines:
+            tags += more
+            text = " ".join("".join([t for t, of in pieces if not of or dropped.isdisjoint(of)]).split())
+            if text:
+                out.append((text, max(1, tags), path))
+                tags = 0
+        return out
+
+    def dropped(self) -> set[int]:
+        """The elements that stand beside the main text by their name: not those that hold
+        a <main>, the page's only <article>s or most of the clusters' text."""
+        if not self.names:
+            return set()
+        marks, free = {c for c, kind in self.kinds.items() if kind in ("article", "main")}, False
+        holds: dict[int, str] = {}  # named element: the best mark inside it
+        for c in marks:
+            free = free or not self.above[c]
+            for e in self.above[c]:
+                holds[e] = "main" if "main" in (self.kinds[c], holds.get(e)) else "article"
+        lines = self.without(set())
+        weight, total = dict.fromkeys(self.names, 0), 0
+        for (pieces, _, _), keep in zip(self.lines, content_lines(lines) if lines else []):
+            for text, of in pieces if keep else ():
+                n = len("".join(text.split()))
+                total += n
+                for e in of:
+                    weight[e] += n
+        return {e for e, sure in self.names.items() if holds.get(e) != "main" and (
+            sure == COMMENT or (free or e not in holds) and 2 * weight[e] <= total)}
 
     def pop(self) -> None:
-        tag, silent, beside_ = self.stack.pop()
+        tag, silent, beside_, name = self.stack.pop()
         if tag in BLOCK:
             self.end_line()
         self.silent -= silent
         self.beside -= beside_
+        if name:
+            self.named = self.named[:-1]
         if tag in CONTAINER:
             self.containers.pop()
 
@@ -112,21 +175,25 @@ class Lines(HTMLParser):
             self.close_to({"p"}, CONTAINER | {"table", "li", "blockquote", "button"})
         if tag in SAME:
             self.close_to(*SAME[tag])
-        if tag == "body" and any(t == "head" for t, _, _ in self.stack):
+        if tag == "body" and any(t == "head" for t, *_ in self.stack):
             self.close_to({"head"}, set())
         if tag in BLOCK:
             self.end_line()
         if tag == "br":
-            self.text.append(" ")
+            self.text.append((" ", self.named))
         if tag in VOID:
             return
-        self.stack.append((tag, tag in SILENT, beside(tag, attrs)))
+        self.stack.append((tag, tag in SILENT, *beside(tag, attrs)))
         self.silent += self.stack[-1][1]
         self.beside += self.stack[-1][2]
+        if self.stack[-1][3]:
+            self.names[len(self.names)] = self.stack[-1][3]
+            self.named = (*self.named, len(self.names) - 1)
         if tag in CONTAINER:
             self.opened += 1
             self.kinds[self.opened] = tag
             self.containers.append(self.opened)
+            self.above[self.opened] = self.named
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -134,13 +201,13 @@ class Lines(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
         if tag == "br":
-            self.text.append(" ")
+            self.text.append((" ", self.named))
         # an end tag inside a cell or the like does not close what is outside it
         self.close_to({tag}, set() if tag in CONTAINER | ASIDE | {"table"} else CONTAINER | ASIDE | {"table"})
 
     def handle_data(self, data: str) -> None:
         if not self.silent and not self.beside:
-            self.text.append(data)
+            self.text.append((data, self.named))
 
 
 def smoothed(ratios: list[float], sigma: float = SIGMA) -> list[float]:
@@ -175,7 +242,7 @@ def main_text(html: str | None) -> str:
     while parser.stack:
         parser.pop()
     parser.end_line()
-    lines = parser.lines
+    lines = parser.without(parser.dropped())
     if not lines:
         return ""
     inside = [any(parser.kinds[c] in ("article", "main") for c in path) for _, _, path in lines]
@@ -189,12 +256,12 @@ def main_text(html: str | None) -> str:
             for d, c in enumerate(path):
                 weight[c] = weight.get(c, 0) + len(text)
                 depth[c] = d
-    holding = [c for c, n in weight.items() if n >= HOLDS * total]
+    marked = [c for c, n in weight.items() if n >= HOLDS * total and parser.kinds[c] in ("article", "main")]
+    # the article as the page marks it, or else the innermost container of all clusters
+    holding = marked or [c for c, n in weight.items() if n == total]
     if not holding:
         return "\n".join(text for text, _, _ in lines)
-    marked = [c for c in holding if parser.kinds[c] in ("article", "main")]
-    # the article as the page marks it, or else the innermost container of the clusters
-    place = max(marked or holding, key=lambda c: depth[c])
+    place = max(holding, key=lambda c: depth[c])
     return "\n".join(text for text, _, path in lines if place in path)
 
 

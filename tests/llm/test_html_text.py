@@ -27,6 +27,29 @@ def test_without_article_element():
     assert H.main_text(page) == f"Title\n{A}\n{C}\nOne item\nTwo item\n{A} {A}"
 
 
+@pytest.mark.parametrize("open_tag", [
+    '<div class="layout has-sidebar">', '<div class="no-sidebar">', '<div class="content-sidebar-wrap">', '<div class="with-header">',
+    '<div class="sidebar-layout">', '<div id="sidebar">', '<section class="post tags-news">', '<div class="post comments-open">'])
+@pytest.mark.parametrize("inner, end", [("<article>", "</article>"), ("<main><div>", "</div></main>"), ("<div>", "</div>"), ("", "")])
+def test_wrappers_named_for_what_they_have(open_tag, inner, end):
+    page = f"""<body>{open_tag}<div class="menu"><a>Home</a> <a>More</a></div>{inner}<h1>Title</h1><p>{A}</p><p>{C}</p><p>{B}</p>{end}
+      <div class="left-sidebar"><p>Stories beside it, as long as text.</p></div></{open_tag[1:].split()[0]}></body>""".replace("<odd>", "odd")
+    assert H.main_text(page) == f"Title\n{A}\n{C}\n{B}".replace("<odd>", "odd")
+
+
+def test_comments_longer_than_the_article_stay_out():
+    comment = f'<article class="comment-body"><p>{A} {A} {A}</p></article>'
+    assert H.main_text(f'<body><div><p>{A}</p></div><div id="comments">{comment * 3}</div></body>') == A
+    assert H.main_text(f'<article><p>{A}</p></article><div class="related"><article><p>{C}</p></article></div>') == A
+
+
+def test_all_parts_of_an_unmarked_article():
+    first = f"<p>{A} {A}</p>" * 12
+    links = "<div>" + "<p><a>x</a></p>" * 6 + "</div>"
+    page = f"<body>{links}<div><section>{first}</section><section><p>{C}</p></section><section><p>{A} {A}</p></section></div></body>"
+    assert H.main_text(page) == "\n".join([f"{A} {A}"] * 12 + [C, f"{A} {A}"])
+
+
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("   ", ""), ("<html><body></body></html>", ""), ("just text &amp; no tags", "just text & no tags"),
     ("<p>a\n\n b&nbsp;c&#x41;</p>", "a b cA"), ("<p>unclosed <b>bold", "unclosed bold"), ("<!-- only a comment -->", ""),
