@@ -3,7 +3,7 @@
 Every language of the table has two reference histograms over all of its documents: the
 shares of character classes, and the shares of its ``COMMON`` most frequent words (of at least ``MIN_COMMON`` occurrences), with one
 class for all others. A document is compared with the references of its own language (a
-null language, or one beyond the ``MAX_LANGS`` largest: those of the whole table) by the
+null language: those of the whole table) by the
 Jensen-Shannon distance, the square root of the divergence in bits, 0 to 1. It goes if
 
 * it has at least ``MIN_CHARS`` characters and its character classes are farther than
@@ -13,7 +13,8 @@ Jensen-Shannon distance, the square root of the divergence in bits, 0 to 1. It g
 
 Below those lengths a histogram says nothing, and the comparison passes. DataFrame functions
 only: a document's arrays are worked on in its own row; no word leaves its task but in the
-partial sums of the word counts.
+partial sums of the word counts. The references of the ``MAX_LANGS`` largest languages are
+broadcast; the documents of all others meet theirs in a shuffle join.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from riverbend.llm.common import SPACES, literal_table, written
 
 COMMON, MIN_COMMON, MAX_LANGS = 32, 3, 64
+SALTS = 16  # of a language in the shuffle join: it has at most a part of MAX_LANGS of the words, a task a part of that
 MIN_CHARS, MIN_WORDS = 200, 50
 MAX_CHAR_JS, MAX_WORD_JS, WORD_NOISE = 0.33, 0.28, 1.0
 #: Of the words' characters: lower-case letters, upper-case letters, other letters and marks,
@@ -88,49 +90,54 @@ def _repeats(rows: DataFrame) -> DataFrame:
             "sorted", "twice", "bits", "mask", "w")
 
 
-def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> list[tuple]:
+def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[tuple], DataFrame | None]:
     """``(lang, is it the whole table, class shares, hashes of the common words, their shares
-    with that of all others first)`` of the largest languages and of the whole table, over all
+    with that of all others first)`` of the ``MAX_LANGS`` largest languages and of the whole table, over all
     documents: at most ``MAX_LANGS + 1`` rows of ``CLASSES + 2 * COMMON + 1`` values, whatever the input.
-    The common words of the whole table are chosen among those of its languages."""
+    And the same of all other languages, if there are any, as a table ``lang, q_class, q_word, keys``."""
     words = docs.select(F.col(lang_col).alias("lang"),
                         F.explode(_words(F.coalesce(F.col(text_col), F.lit("")))).alias("word"))
     counts = written(words.groupBy("lang", "word").agg(F.count("*").alias("n")), "word-counts")
     # The limit is also taken before the window's shuffle: no language's words meet in one task.
     own = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     top = counts.where(f"n >= {MIN_COMMON}").withColumn("k", F.row_number().over(own)).where(f"k <= {COMMON}").select(
-        "lang", "word", "n", F.lit(None).cast("array<bigint>").alias("classes"), F.xxhash64("word").alias("h"))
+        "lang", "word", "n", F.xxhash64("word").alias("h"))
     size = F.char_length("word").cast("long")
     classed = counts.withColumn("odd", F.regexp_replace("word", r"\p{Ll}+", "")).select(
         "lang", "n", F.when(F.col("odd") == "", F.array(size, *[F.lit(0).cast("long")] * (CLASSES - 1)))
         .otherwise(_classes(F.col("odd"), size)).alias("c"))
-    sums = classed.groupBy("lang").agg(F.sum("n").alias("n"), F.array(
-        *[F.sum(F.col("n") * F.get("c", F.lit(k))) for k in range(CLASSES)]).alias("classes")).select(
-            "lang", F.lit(None).cast("string").alias("word"), "n", "classes", F.lit(0).cast("long").alias("h"))
-    # null languages count for the whole table only; the largest languages have references
-    sums = sums.where(F.col("lang").isNull()).unionByName(
-        sums.where(F.col("lang").isNotNull()).orderBy(F.desc("n"), "lang").limit(MAX_LANGS))
-    rows = sums.unionByName(top).collect()
-    classes = {r["lang"]: r["classes"] for r in rows if r["word"] is None}
-    sizes = {r["lang"]: r["n"] for r in rows if r["word"] is None}
-    if not sizes:
-        return []
-    hashes = {r["word"]: r["h"] for r in rows}
-    common: dict = {lang: [] for lang in sizes}
-    pooled: dict = {}
-    for r in sorted((r for r in rows if r["word"] is not None), key=lambda r: (-r["n"], r["word"])):
-        pooled[r["word"]] = pooled.get(r["word"], 0) + r["n"]
-        if r["lang"] in common:
-            common[r["lang"]].append((r["word"], r["n"]))
-    top_pooled = sorted(pooled.items(), key=lambda x: (-x[1], x[0]))[:COMMON]
-    whole = [sum(c[k] for c in classes.values()) for k in range(CLASSES)]
+    # one row a language, the null one too
+    sums = written(classed.groupBy("lang").agg(F.sum("n").alias("n"), F.array(
+        *[F.sum(F.col("n") * F.get("c", F.lit(k))) for k in range(CLASSES)]).alias("classes")), "language-sums")
+    whole = sums.agg(F.sum("n").alias("n"), F.array(
+        *[F.sum(F.get("classes", F.lit(k))) for k in range(CLASSES)]).alias("classes")).first()
+    if whole["n"] is None:
+        return [], None
+    largest = sums.where(F.col("lang").isNotNull()).orderBy(F.desc("n"), "lang").limit(MAX_LANGS + 1).collect()
+    more, largest = len(largest) > MAX_LANGS, largest[:MAX_LANGS]
+    pooled = (counts.groupBy("word").agg(F.sum("n").alias("n")).where(f"n >= {MIN_COMMON}")
+              .orderBy(F.desc("n"), "word").limit(COMMON).select("word", "n", F.xxhash64("word").alias("h")).collect())
+    held = [r["lang"] for r in largest]
+    common: dict = {lang: [] for lang in held}
+    for r in top.where(F.col("lang").isin(held)).collect() if held else []:
+        common[r["lang"]].append(r)
     out = []
-    for lang, chars, n, words_n in [(ALL, whole, sum(sizes.values()), top_pooled), *(
-            (lang, classes[lang], sizes[lang], common[lang]) for lang in sorted(x for x in sizes if x is not None))]:
+    for lang, chars, n, found in [(ALL, whole["classes"], whole["n"], pooled), *(
+            (r["lang"], r["classes"], r["n"], common[r["lang"]]) for r in sorted(largest, key=lambda r: r["lang"]))]:
+        found = sorted(found, key=lambda r: (-r["n"], r["word"]))
         total = sum(chars) or 1
-        out.append((lang, words_n is top_pooled, [c / total for c in chars], [hashes[w] for w, _ in words_n],
-                    [(n - sum(c for _, c in words_n)) / n, *(c / n for _, c in words_n)]))
-    return out
+        out.append((lang, chars is whole["classes"], [c / total for c in chars], [r["h"] for r in found],
+                    [(n - sum(r["n"] for r in found)) / n, *(r["n"] / n for r in found)]))
+    if not more:
+        return out, None
+    own_words = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "word", "h"))).alias("top"))
+    rest = sums.where(F.col("lang").isNotNull() & ~F.col("lang").isin(held)).join(own_words, "lang", "left")
+    rest = rest.withColumn("top", F.expr("coalesce(top, CAST(array() AS array<struct<m: bigint, word: string, h: bigint>>))"))
+    return out, written(rest.select(
+        "lang", F.expr("transform(classes, x -> CAST(x AS double) / greatest(1L, aggregate(classes, 0L, (a, y) -> a + y)))").alias("q_class"),
+        F.expr("""concat(array(CAST(n + aggregate(top, 0L, (a, x) -> a + x.m) AS double) / n),
+            transform(top, x -> CAST(-x.m AS double) / n))""").alias("q_word"),
+        F.expr("transform(top, x -> x.h)").alias("keys")), "small-references")
 
 
 def _lookup(hashes: list[int]) -> tuple[int, list[int], list[int]]:
@@ -154,7 +161,7 @@ def _js_term(p: str, q: str) -> str:
 
 
 def rated(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
-          refs: list[tuple] | None = None, carry: list[str] | None = None) -> DataFrame:
+          carry: list[str] | None = None) -> DataFrame:
     """``row`` (a struct of the columns ``carry``, or of all), the base counts, ``base_failed``, ``char_js``,
     ``word_js`` and ``kept`` of every row.
 
@@ -163,7 +170,7 @@ def rated(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     no rows; columns of any other name pass in ``row``.
     """
     spark = docs.sparkSession
-    refs = references(docs, text_col, lang_col) if refs is None else refs
+    refs, rest = references(docs, text_col, lang_col)
     rows = _features(docs, text_col, lang_col, docs.columns if carry is None else carry)
     if not refs:
         refs = [(ALL, True, [1.0] + [0.0] * (CLASSES - 1), [], [1.0])]
@@ -173,13 +180,27 @@ def rated(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                           "keys array<bigint>, key_places array<int>")
     named = sorted({r[0] for r in refs if not r[1]})
     pick = F.when(F.col("lang").isin(named), F.concat(F.lit("="), "lang")).otherwise(F.lit(ALL)) if named else F.lit(ALL)
-    # at most MAX_LANGS + 1 rows of a few hundred values
-    rows = rows.withColumn("ref", pick).join(F.broadcast(table), "ref")
     # places of the common words in the list, sorted: runs are counts; all other words are place 0
     slot = "CAST(shiftrightunsigned(x, shift) & (size(keys) - 1) AS int)"
-    rows = rows.withColumn("places", F.expr(
-        f"sort_array(transform(filter(hw, x -> get(keys, {slot}) = x), x -> get(key_places, {slot})))")).drop(
-            "ref", "keys", "key_places", "shift", "lang")
+
+    def held(part: DataFrame) -> DataFrame:
+        # at most MAX_LANGS + 1 rows of a few hundred values
+        return part.withColumn("ref", pick).join(F.broadcast(table), "ref").withColumn("places", F.expr(
+            f"sort_array(transform(filter(hw, x -> get(keys, {slot}) = x), x -> get(key_places, {slot})))")).drop(
+                "ref", "keys", "key_places", "shift", "lang")
+
+    if rest is None:
+        rows = held(rows)
+    else:
+        # A language outside the largest: salted by the text, and met by as many copies of its reference. One
+        # without any word has no reference; its documents fail the base rule and take that of the whole table.
+        small = F.col("lang").isNotNull() & ~F.col("lang").isin(named)
+        salted = rows.where(small).withColumn("salt", F.pmod(F.xxhash64("hw"), F.lit(SALTS)).cast("int"))
+        salts = rest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        met = salted.where("n_words > 0").join(salts.hint("merge"), ["lang", "salt"]).withColumn("places", F.expr(
+            "sort_array(filter(transform(hw, x -> CAST(array_position(keys, x) AS int)), x -> x > 0))")).drop(
+                "lang", "salt", "keys")
+        rows = met.unionByName(held(rows.where(~small | (F.col("n_words") == 0))).select(met.columns))
     rows = _repeats(rows).drop("hw").withColumn("n_symbols", F.get("classes", F.lit(4)))
     total = "aggregate(classes, 0L, (a, x) -> a + x)"
     rows = rows.withColumn("p_class", F.expr(f"transform(classes, x -> CAST(x AS double) / greatest(1L, {total}))"))

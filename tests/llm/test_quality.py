@@ -100,3 +100,34 @@ def test_words_are_compared_not_only_hashed(docs):
     """Each word of a text of all-equal words is in a repeated window."""
     got = Q.rate(docs([(1, "a " * 1000), (2, " ".join(map(str, range(1000)))), (3, "a b c d a b c")])).collect()
     assert {r["doc_id"]: r["n_repeat_words"] for r in got} == {1: 1000, 2: 0, 3: 6}
+
+
+def test_every_language_has_its_reference(docs, monkeypatch):
+    """80 languages, 16 beyond the largest, of a script of their own; null languages take the true sums of all."""
+    import random
+    rng, rows = random.Random(3), []
+    for k in range(80):
+        base_ = 0x0627 if k >= 70 else 0x61  # the last ones in Arabic letters
+        words = ["".join(chr(base_ + rng.randrange(20)) for _ in range(rng.randint(2, 6))) for _ in range(60)]
+        rows += [(100 * k + d, " ".join(rng.choices(words, [1 / (j + 1) for j in range(60)], k=260 - k)), f"l{k:02}") for d in range(3)]
+    rows += [(9000, "", "wordless"), (9001, None, "l79")]
+    want = brute(rows)
+    got = {r["doc_id"]: r for r in Q.rate(docs(rows)).collect()}
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    assert {i: tuple(r[c] for c in names) for i, r in got.items()} == want
+    assert all(want[100 * k + d][-1] for k in range(70, 80) for d in range(3))
+    monkeypatch.setattr(Q, "MAX_LANGS", 1000)
+    held = {r["doc_id"]: r for r in Q.rate(docs(rows)).collect()}
+    for i, r in got.items():
+        assert r["char_js"] == pytest.approx(held[i]["char_js"]) and r["word_js"] == pytest.approx(held[i]["word_js"])
+
+
+def test_whole_table_counts_every_word(docs):
+    """A word below the most frequent of each language counts where all languages have it."""
+    own = lambda k: " ".join(f"own{k}x{chr(97 + j)}" for j in range(20) for _ in range(5))
+    filler = lambda k: " ".join(f"fill{k}y{chr(97 + j)}" for j in range(12) for _ in range(5))
+    rows = [(k, f"{own(k)} {filler(k)} shared shared shared shared", f"l{k}") for k in range(4)]
+    pooled = Q.references(docs(rows))[0][0]
+    assert pooled[0] == Q.ALL and pooled[4][1] == pytest.approx(16 / (4 * 164))
+    nulls = Q.references(docs([*rows, (9, "shared " * 10, None)]))[0][0]
+    assert nulls[4][1] == pytest.approx(26 / (4 * 164 + 10))
