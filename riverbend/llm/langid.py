@@ -10,8 +10,9 @@ prediction is the language whose spans hold most letters; the share of all lette
 its spans, in words of a script that some language writes, is the score.
 
 The model is fitted on a bounded sample: about ``SAMPLE_DOCS`` training documents a language,
-chosen by a hash of the id; a language with fewer gives all. It has ``BUCKETS`` rows and at
-most ``MAX_LANGS`` columns whatever the input. All else covers all documents.
+chosen by a hash of the id; a language with fewer gives all. It has ``BUCKETS`` rows and a
+column for every language with training rows; more than ``MOST_LANGS`` are refused. With more
+than ``FEW_LANGS``, fewer words are worked on at a time. All else covers all documents.
 """
 
 from __future__ import annotations
@@ -28,10 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverbend.llm.common import held_out
+from riverbend.llm.common import held_out, written
 from riverbend.llm.pieces import groups
 
-SAMPLE_DOCS, BUCKETS, MAX_LANGS = 8_000, 1 << 15, 64  # buckets: the top 15 bits of a hash
+SAMPLE_DOCS, BUCKETS = 8_000, 1 << 15  # buckets: the top 15 bits of a hash
+FEW_LANGS, MOST_LANGS = 64, (1 << 15) - 1  # a language's number has 16 bits
 SWITCH, MIN_SCRIPT_SHARE, ALPHA = 6.0, 0.01, 0.5
 MAX_WORDS, SLICE = 200_000, 1 << 15  # of a task's word table, which is then emptied; of words worked on at once
 HOLD = 4, 2  # documents of crc32(id) mod 4 = 2 are never learned from
@@ -106,15 +108,16 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
           sample_docs: int = SAMPLE_DOCS) -> Model:
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l"))
     rows = rows.where(F.col("l").isNotNull() & F.col("i").isNotNull() & ~held_out("i", *HOLD))
-    sizes = (rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MAX_LANGS)).collect()
-    langs = sorted(r["l"] for r in sizes)
+    sizes = written(rows.groupBy("l").count(), "languages")
+    langs = sorted(r["l"] for r in sizes.select("l").limit(MOST_LANGS + 1).collect())
+    if len(langs) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
     if not langs:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(NAMES), 0), bool))
     scale = 1 << 20
-    chosen = F.lit(False)
-    for r in sizes:
-        share = min(scale, math.ceil(scale * sample_docs / r["count"]))
-        chosen = chosen | ((F.col("l") == r["l"]) & (F.pmod(F.xxhash64("i"), F.lit(scale)) < share))
+    shares = sizes.select("l", F.least(F.lit(scale), F.ceil(F.lit(float(scale * sample_docs)) / F.col("count"))).alias("share"))
+    # at most MOST_LANGS rows of two values
+    chosen = rows.join(F.broadcast(shares), "l").where(F.pmod(F.xxhash64("i"), F.lit(scale)) < F.col("share"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = defaultdict(Counter)
@@ -149,20 +152,26 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                 yield from out()
         yield from out()
 
-    counts = (rows.where(chosen).select("t", "l").mapInArrow(run, "l string, k int, n bigint")
+    counts = (chosen.select("t", "l").mapInArrow(run, "l string, k int, n bigint")
               .groupBy("l", "k").agg(F.sum("n").alias("n")))
-    # at most MAX_LANGS * (BUCKETS + scripts) rows of three numbers
+    # at most BUCKETS + scripts rows of three numbers a language, a partition at a time
+    column = {name: k for k, name in enumerate(langs)}
     grams, scripts = np.full((BUCKETS, len(langs)), ALPHA), np.zeros((len(NAMES), len(langs)))
-    for r in counts.collect():
+    for r in counts.toLocalIterator():
         if r["k"] >= 0:
-            grams[r["k"], langs.index(r["l"])] += r["n"]
+            grams[r["k"], column[r["l"]]] += r["n"]
         else:
-            scripts[-1 - r["k"], langs.index(r["l"])] += r["n"]
+            scripts[-1 - r["k"], column[r["l"]]] += r["n"]
     logs = np.log(grams / grams.sum(axis=0))
     weights = (logs - logs.mean(axis=1, keepdims=True)).astype(np.float32)
     return Model(langs, weights, scripts >= np.maximum(1, MIN_SCRIPT_SHARE * scripts.sum(axis=0)))
 
 
+def smaller(size: int, langs: int) -> int:
+    """A bound that holds for ``FEW_LANGS``, for more: what is kept of a word grows with them."""
+    return max(1, size * FEW_LANGS // max(FEW_LANGS, langs))
+
+
 class Words:
     """Scores of the distinct words a task has met."""
 
@@ -190,12 +199,13 @@ class Words:
         return scores, sizes
 
     def lookup(self, texts: list[str]) -> list[list[int]]:
-        if len(self.place) > MAX_WORDS:
+        if len(self.place) > smaller(MAX_WORDS, len(self.model.langs)):
             self.__init__(self.model)
         old = len(self.place)
         ids = [list(map(self.place.__getitem__, t.lower().split())) for t in texts]
         new = list(self.place)[old:]
-        found = [self._scored(new[k: k + SLICE]) for k in range(0, len(new), SLICE)] or [self._scored([])]
+        step = smaller(SLICE, len(self.model.langs))
+        found = [self._scored(new[k: k + step]) for k in range(0, len(new), step)] or [self._scored([])]
         scores, sizes = (np.concatenate(x) for x in zip(*found))
         self.scores, self.letters = np.concatenate([self.scores, scores]), np.concatenate([self.letters, sizes])
         self.known = np.concatenate([self.known, (scores != 0).any(axis=1)])
@@ -221,7 +231,7 @@ def viterbi(ids: list[list[int]], scores: np.ndarray, switch: float = SWITCH) ->
     sizes = np.array([len(ids[k]) for k in order], np.int64)
     starts = np.cumsum(sizes) - sizes
     flat = np.fromiter(chain.from_iterable(ids[k] for k in order), np.int64, int(sizes.sum()))
-    path = np.zeros(len(flat), np.int8)
+    path = np.zeros(len(flat), np.int16)
     if not len(flat) or not scores.shape[1]:
         return Paths(order, sizes, starts, flat, path)
     longest = int(sizes[0])
@@ -237,7 +247,7 @@ def viterbi(ids: list[list[int]], scores: np.ndarray, switch: float = SWITCH) ->
         top = best.argmax(axis=1)
         jump = (best.max(axis=1) - switch)[:, None]
         back.append(jump > best)
-        leap.append(top.astype(np.int8))
+        leap.append(top.astype(np.int16))
         best = np.maximum(best, jump) + scores[flat[starts[:m] + t]]
     state[: len(best)] = best.argmax(axis=1)
     for t in range(longest - 1, -1, -1):
@@ -280,7 +290,7 @@ def spans(paths: Paths, langs: list[str]) -> list[list[dict]]:
 
 
 def _judged(texts: pa.Array, words: Words, with_spans: bool = False) -> Iterator[tuple[tuple[str, float], list[dict]]]:
-    for part in groups(texts, 8 << 20):
+    for part in groups(texts, smaller(8 << 20, len(words.model.langs))):
         paths = viterbi(words.lookup(part), words.scores)
         found = judge(paths, words)
         of = spans(paths, words.model.langs) if with_spans and words.model.langs else [[]] * len(found)

@@ -94,3 +94,22 @@ def test_word_table_bound_changes_nothing(monkeypatch):
         got += L.judge(L.viterbi(words.lookup([t]), words.scores), words)
     assert [x[0] for x in got] == [x[0] for x in want]
     assert [x[1] for x in got] == pytest.approx([x[1] for x in want])
+
+
+def test_every_language_is_learned(docs, monkeypatch):
+    """150 languages: more than 64, and more numbers than 8 bits hold."""
+    rng = np.random.default_rng(2)
+    free = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows, held, at = [], [], iter(free)
+    for k in range(150):
+        letters = [chr(0x61 + x) for x in rng.choice(26, 7, replace=False)]
+        words = ["".join(rng.choice(letters, rng.integers(4, 9))) for _ in range(30)]
+        rows += [(next(at), " ".join(rng.choice(words, 40)), f"l{k:03}") for _ in range(2 if k < 80 else 1)]
+        held.append((10_000 + k, " ".join(rng.choice(words, 40)), f"l{k:03}"))
+    model = L.train(docs(rows))
+    assert model.langs == [f"l{k:03}" for k in range(150)]
+    got = {r["doc_id"]: r["lang_pred"] for r in L.identify(docs(held), model).collect()}
+    assert got == {i: lang for i, _, lang in held}
+    monkeypatch.setattr(L, "MOST_LANGS", 149)
+    with pytest.raises(ValueError):
+        L.train(docs(rows))
