@@ -2,8 +2,8 @@
 
 Texts are folded first: lower case, look-alike letters of other scripts to Latin ones, and
 digits or signs that stand before or between letters to the letters they imitate. The
-lexicon is learned: whole words and word beginnings that stand in many toxic and few other
-labelled texts, each weighed by its log odds. A beginning stands for its longer forms unless
+lexicon is learned: whole words and word beginnings that stand in ``MIN_DOCS`` toxic and few
+other labelled texts, each weighed by its log odds. A beginning stands for its longer forms unless
 one of these has nearly all of its texts. Exception phrases, a match with the word before or
 after it, that clean texts use and toxic ones hardly do, cancel the match. A document's
 evidence is the weight of its matches, and that weight by length; a logistic curve through
@@ -33,7 +33,7 @@ from riverbend.llm.pieces import groups
 
 SAMPLE_LABELS, MAX_PATTERNS, MAX_PHRASES = 40_000, 5_000, 20_000
 MIN_PREFIX, MAX_PREFIX = 4, 12
-MIN_DOCS, MIN_SHARE, MIN_WEIGHT = 3, 0.01, 2.5
+MIN_DOCS, MIN_WEIGHT = 3, 2.5
 HOLD = 5, 0  # documents of crc32(id) mod 5 = 0 are never learned from
 
 #: Letters of other scripts that look like Latin ones, and the signs that imitate letters (fixed values).
@@ -185,7 +185,7 @@ def choose(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean:
         if any(good[p] < kept[stem[:n]] + 1 for n in range(MIN_PREFIX, len(stem) + 1) if stem[:n] in kept and stem[:n] != p):
             continue  # a kept beginning matches it already
         kept[p] = good[p]
-    return dict(sorted(kept.items(), key=lambda x: (-toxic[x[0]], x[0]))[:MAX_PATTERNS])
+    return dict(sorted(kept.items(), key=lambda x: (-toxic[x[0]] * x[1], x[0]))[:MAX_PATTERNS])
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, float, float]:
@@ -218,14 +218,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
         return Lexicon(curve=(math.log((n_toxic + 0.5) / (n_clean + 0.5)), 0.0, 0.0) if n_toxic + n_clean else (-2.0, 0.0, 0.0))
-    least = max(MIN_DOCS, math.ceil(MIN_SHARE * n_toxic))
-    found = (_counted(rows.where("toxic = 1"), lambda: patterns_of).where(F.col("n") >= least)
-             .orderBy(F.desc("n"), "p").limit(4 * MAX_PATTERNS).collect())
-    toxic = {r["p"]: r["n"] for r in found}
     sc = docs.sparkSession.sparkContext
-    asked = sc.broadcast(frozenset(toxic))
-    clean = {r["p"]: r["n"] for r in _counted(
-        rows.where("toxic = 0"), lambda: lambda text: patterns_of(text) & asked.value).collect()}
+    counted = _counted(rows, lambda: patterns_of).groupBy("p").agg(
+        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"),
+        F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good"))
+    weight = F.log((F.col("bad") + 0.5) / (n_toxic + 1)) - F.log((F.col("good") + 0.5) / (n_clean + 1))
+    # a word has at most ten patterns, itself and its beginnings; ``choose`` weighs again and keeps MAX_PATTERNS
+    found = (counted.where(F.col("bad") >= MIN_DOCS).withColumn("weight", weight).where(F.col("weight") >= MIN_WEIGHT - 1e-9)
+             .orderBy(F.desc(F.col("weight") * F.col("bad")), "p").limit(20 * MAX_PATTERNS).collect())
+    toxic, clean = {r["p"]: r["bad"] for r in found}, {r["p"]: r["good"] for r in found}
     lexicon = Lexicon(choose(toxic, clean, n_toxic, n_clean))
     first = sc.broadcast(lexicon.plain())
 

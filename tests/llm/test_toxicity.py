@@ -67,3 +67,19 @@ def test_edge_cases(spark, docs, clashing, learned):
 
 def test_fold():
     assert T.fold("ІDI0T 5tupid M0R0N!! $$$ 3. wоrthless") == "іdiot stupid moron!! $$$ 3. worthless".replace("і", "i")
+
+
+def test_rare_toxic_words_are_learned(spark, docs, monkeypatch):
+    """A slur in 5 of 600 toxic texts and no clean one; and few patterns are not taken up by common words."""
+    rows, labels = [], []
+    for k, i in enumerate(free_ids(3000)):
+        toxic = k % 5 == 0
+        word = ("zorbak" if k < 25 else "moron") if toxic else "fine"
+        rows.append((i, f"some plain{k} words stand {word} here number and other common things {k}"))
+        labels.append((i, int(toxic)))
+    table = docs(rows), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    m = T.Matcher(T.train(*table))
+    assert m.score("you zorbak") >= 0.5 and m.score("you moron") >= 0.5 and m.score("some plain words") < 0.5
+    monkeypatch.setattr(T, "MAX_PATTERNS", 2)
+    m = T.Matcher(T.train(*table))
+    assert m.score("you zorbak") >= 0.5 and m.score("you moron") >= 0.5
