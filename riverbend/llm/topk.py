@@ -27,6 +27,7 @@ from riverbend.llm.common import written
 BLOCK, QUERIES, WIDTH = 8192, 2048, 8
 ROUNDS, FEW = 8, 512
 SCALE = 256
+LARGEST = float(1 << 55)  # components whose quantised value is a bigint, as in the SQL
 
 
 class Index:
@@ -36,6 +37,7 @@ class Index:
         by_id = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[by_id], vectors[by_id]
         n, self.dims = vectors.shape
+        self.largest = max(1, abs(int(vectors.max())), abs(int(vectors.min())))
         levels = self.vectors // width
         order = np.argsort(-levels, axis=0, kind="stable")
         sorted_levels = np.take_along_axis(levels, order, axis=0)
@@ -54,15 +56,20 @@ class Index:
         """(score, id) of the block's possible members of the k best, the own id left out.
         ``known``: a k-th best score from other blocks, if any."""
         q = query.astype(np.int64)
+        # of any sum below: a product of two components twice over, for each dimension
+        bound = 4 * self.dims * self.largest * max(1, abs(int(q.max())), abs(int(q.min())))
+        if bound >= 1 << 62:
+            return self.exactly(q, k, own)
         impact = np.where(q[self.dim] > 0, q[self.dim] * self.high, q[self.dim] * self.low)
         floor = np.where(q > 0, q * self.vectors.min(axis=0), q * self.vectors.max(axis=0))
         above = impact - floor[self.dim]
         order = np.argsort(-above, kind="stable")
         sizes = np.cumsum((self.end - self.start)[order])
         n, other = len(self.ids), self.ids != own
-        # impacts and the dimensions met in one sum: dimensions in the low part
+        # impacts and the dimensions met in one sum of floats, dimensions in the low part, as long as that is exact
         part = 1 << int(self.dims).bit_length()
-        gathered = np.zeros(n)
+        packed = bound * part < 1 << 53
+        gathered, total, met = np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
         base, done, best = int(floor.sum()), 0, known
         exact: dict[int, int] = {}
         for r in range(1, ROUNDS + 1):
@@ -71,10 +78,14 @@ class Index:
             if not len(segments):
                 continue
             rows = np.concatenate([self.order[a:b] for a, b in zip(self.start[segments], self.end[segments])])
-            weight = np.repeat(above[segments] * part + 1, (self.end - self.start)[segments])
-            gathered += np.bincount(rows, weights=weight, minlength=n)
+            each = (self.end - self.start)[segments]
+            if packed:
+                gathered += np.bincount(rows, weights=np.repeat(above[segments] * part + 1, each), minlength=n)
+                total, met = np.divmod(gathered.astype(np.int64), part)
+            else:
+                np.add.at(total, rows, np.repeat(above[segments], each))
+                met += np.bincount(rows, minlength=n)
             done = upto
-            total, met = np.divmod(gathered.astype(np.int64), part)
             left = int(above[order[done]]) if done < len(order) else 0
             upper = base + total + left * (self.dims - met)
             # exact scores of the leaders raise the bar
@@ -92,15 +103,28 @@ class Index:
                 return [(int(found[t]), int(self.ids[may[t]])) for t in top]
         raise AssertionError("every segment was processed")
 
+    def exactly(self, q: np.ndarray, k: int, own: int) -> list[tuple[int, int]]:
+        """The k best of the block by whole numbers of any size, a slice of vectors at a time."""
+        found: list[tuple[int, int]] = []
+        exact = q.astype(object)
+        for at in range(0, len(self.ids), FEW):
+            scores = self.vectors[at: at + FEW].astype(object) @ exact
+            found += [(-s, i) for s, i in zip(scores.tolist(), self.ids[at: at + FEW].tolist()) if i != own]
+            found = sorted(found)[:k]
+        if any(not -(1 << 63) <= -s < 1 << 63 for s, _ in found):
+            raise OverflowError(f"a score of query {own} does not fit a bigint")
+        return [(-s, i) for s, i in found]
+
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """``(vec_id, q)`` of the rows that take part, one for each id."""
     v = F.col(vector_col)
     double = F.transform(v, lambda x: x.cast("double"))
-    sound = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < 1e6))
+    sound = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
     rows = vectors.where(F.col(id_col).isNotNull() & v.isNotNull() & (F.size(v) > 0)).where(sound)
     return (rows.select(F.col(id_col).cast("long").alias("vec_id"),
-                        F.transform(double, lambda x: F.floor(x * SCALE).cast("int")).alias("q"))
+                        F.transform(double, lambda x: F.when(F.abs(x) < LARGEST, F.floor(x * SCALE)).otherwise(
+                            F.raise_error(F.lit("a component does not fit a bigint")).cast("bigint"))).alias("q"))
             .groupBy("vec_id").agg(F.min("q").alias("q")))
 
 
@@ -108,14 +132,16 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, id_col: str = "vec_i
            vector_col: str = "embedding", block: int = BLOCK, query_block: int = QUERIES) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k best rows of each query (id divisible by ``every``).
 
-    Vectors that are null or empty, or hold nulls or non-finite components (or any of a
-    million or more, beyond exact sums), take no part; rows without id neither. Of rows that
-    repeat an id the smallest vector counts. Vectors of unequal length meet only their own
+    Vectors that are null or empty, or hold nulls or non-finite components, take no part; rows
+    without id neither. A quantised component or a listed score that does not fit a bigint fails
+    the query. Of rows that repeat an id the smallest vector counts. Vectors of unequal length meet only their own
     length. Fewer than k candidates: all of them; none, or an empty table: no rows. Ties go
     to the smaller id.
     """
     rows = written(quantised(vectors, id_col, vector_col), "vectors")
-    n = rows.count()
+    n, low, high = rows.agg(F.count("*"), F.min(F.array_min("q")), F.max(F.array_max("q"))).first()
+    if n and -(1 << 31) <= low and high < 1 << 31:  # half as much to shuffle
+        rows = rows.withColumn("q", F.col("q").cast("array<int>"))
     blocks, query_blocks = max(1, math.ceil(n / block)), max(1, math.ceil(n / every / query_block))
     dealt = rows.withColumn("size", F.size("q"))
     hashed = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")

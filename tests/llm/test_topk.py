@@ -57,3 +57,39 @@ def test_edge_cases(spark):
     assert sorted(tuple(r) for r in K.search(df).collect()) == brute(rows)
     assert K.search(df.limit(0)).collect() == []
     assert K.search(df.where("vec_id = 0")).collect() == []
+
+
+@pytest.mark.parametrize("size, every", [(1e4, 1), (1e7, 2)])
+def test_large_components_take_part(spark, size, every):
+    """Beyond exact sums of floats, and beyond 64-bit bounds; held against whole numbers and the SQL."""
+    import tempfile
+
+    from riverbend.llm.oracle import ORACLE
+    from riverbend.llm.queries import op6_exact_top_k
+
+    from .test_oracle import in_duckdb, same
+    rng = np.random.default_rng(7)
+    rows = [(k, [float(x) for x in np.round(rng.normal(0, 1, 16) * (size if k % 7 == 0 and k % 50 else 1), 3)]) for k in range(1, 400)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    folder = tempfile.mkdtemp(prefix="riverbend-llm-")
+    df.write.parquet(f"{folder}/embeddings.parquet")
+    spark.createDataFrame([], "doc_id long").write.parquet(f"{folder}/documents.parquet")
+    same(op6_exact_top_k(spark, folder), in_duckdb(ORACLE["op6_exact_top_k"], folder))
+    if size < 1e6:
+        assert sorted(tuple(r) for r in K.search(df, every=every, block=150).collect()) == brute(rows, every)
+
+
+@pytest.mark.parametrize("size", [10**5, 10**6, 10**8])
+def test_bounds_hold_for_large_components(monkeypatch, size):
+    """128 dimensions: packed sums of floats are not exact here."""
+    monkeypatch.setattr(K, "FEW", 8)
+    rng = np.random.default_rng(1)
+    v = rng.integers(-size, size, (600, 128))
+    index = K.Index(np.arange(600), v)
+    for own in (0, 300):
+        scores = [sum(a * b for a, b in zip(x, v[own].tolist())) for x in v.tolist()]
+        want = sorted((-s, i) for i, s in enumerate(scores) if i != own)[:5]
+        assert index.search(v[own], 5, own, None) == [(-s, i) for s, i in want]
+    huge = K.Index(np.arange(3), np.array([[1 << 40], [1 << 20], [-5]]))
+    with pytest.raises(OverflowError):
+        huge.search(np.array([1 << 30]), 1, 1, None)
