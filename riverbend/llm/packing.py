@@ -10,7 +10,8 @@ is none, it opens one. Documents come by descending length, ties by id and text
 
 Documents are dealt to groups of about ``group_docs`` by a hash of id and text, so a hot
 source, or a cluster of a third of all rows, is spread over all groups, and a group is
-packed in one task of bounded memory. The price is at most one fringe of open bins a group.
+packed in one task of bounded memory. A group of over twice as many, that repeated rows of one
+id and text make, is dealt anew by row. The price is at most one fringe of open bins a group.
 """
 
 from __future__ import annotations
@@ -19,10 +20,12 @@ import math
 from bisect import bisect_left, insort
 from collections import Counter
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riverbend.llm.common import written
+
 CAPACITY, GROUP_DOCS = 16_384, 8_192
 
 
@@ -101,24 +104,30 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, group_docs: int = GROUP_DOCS
         (F.coalesce(F.octet_length(text_col), F.lit(0)) + 1).cast("long").alias("n_bytes"), h.alias("h"),
         (F.when(F.col(text_col).isNotNull(), h) if cluster is None else cluster).alias("cluster"))
     groups = max(1, math.ceil(docs.count() / group_docs))
-    # rows of one id and text share their group unless spread: a random-free salt of their size class
     rows = rows.withColumn("g", F.pmod(F.xxhash64("doc_id", "h", F.lit("pack")), F.lit(groups)).cast("int"))
+    # Repeated rows of one id and text share their group: where they make it too large, its rows are numbered, written
+    # once, and dealt to all groups by their number. At most one group in two is too large.
+    large = written(rows.groupBy("g").count().where(F.col("count") > 2 * group_docs).select("g"), "large-groups")
+    if groups > 1 and large.count():
+        spread = written(rows.join(F.broadcast(large), "g", "left_semi").withColumn("at", F.monotonically_increasing_id()), "repeated")
+        spread = spread.withColumn("g", F.pmod(F.xxhash64("at", F.lit("pack")), F.lit(groups)).cast("int")).drop("at")
+        rows = rows.join(F.broadcast(large), "g", "left_anti").unionByName(spread.select(rows.columns))
     id_kind, source_kind = (rows.schema[c].dataType.simpleString() for c in ("doc_id", "source"))
     cluster_kind = rows.schema["cluster"].dataType.simpleString()
 
-    def run(key: tuple, some: pd.DataFrame) -> pd.DataFrame:
-        some = some.sort_values(["n_bytes", "doc_id", "h"], ascending=[False, True, True], kind="stable")
-        values = lambda c: [None if pd.isna(x) else x for x in some[c]]
-        found = pack_group(some["n_bytes"].tolist(), values("source"), values("cluster"), capacity)
-        n = [len(p) for p in found]
-        out = some[["doc_id", "n_bytes", "source", "cluster"]].loc[some.index.repeat(n)].reset_index(drop=True)
+    def run(key: tuple, some: pa.Table) -> pa.Table:
+        some = some.sort_by([("n_bytes", "descending"), ("doc_id", "ascending"), ("h", "ascending")])
+        values = lambda c: [None if x != x else x for x in some.column(c).to_pylist()]
+        found = pack_group(some.column("n_bytes").to_pylist(), values("source"), values("cluster"), capacity)
         flat = [p for pieces in found for p in pieces]
-        out["piece"] = [k for m in n for k in range(m)]
-        out["bin"] = [f"{key[0]}-{b}" for b, _, _ in flat]
-        out["bin_offset"] = [o for _, o, _ in flat]
-        out["length"] = [x for _, _, x in flat]
-        return out[["doc_id", "piece", "bin", "bin_offset", "length", "n_bytes", "source", "cluster"]]
-
-    return rows.groupBy("g").applyInPandas(
+        out = some.take(pa.array([k for k, pieces in enumerate(found) for _ in pieces], pa.int64()))
+        number = {"piece": pa.array([k for pieces in found for k in range(len(pieces))], pa.int32()),
+                  "bin": pa.array([f"{key[0].as_py()}-{b}" for b, _, _ in flat], pa.string()),
+                  "bin_offset": pa.array([o for _, o, _ in flat], pa.int64()),
+                  "length": pa.array([x for _, _, x in flat], pa.int64())}
+        names = ["doc_id", "piece", "bin", "bin_offset", "length", "n_bytes", "source", "cluster"]
+        return pa.table([number[c] if c in number else out.column(c) for c in names], names=names)
+
+    return rows.groupBy("g").applyInArrow(
         run, f"doc_id {id_kind}, piece int, bin string, bin_offset bigint, length bigint, n_bytes bigint, "
              f"source {source_kind}, cluster {cluster_kind}")

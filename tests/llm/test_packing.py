@@ -98,3 +98,27 @@ def test_edge_cases(docs, clashing):
     assert P.pack(docs([])).collect() == []
     with pytest.raises(ValueError):
         P.pack(docs([]), capacity=0)
+
+
+def test_ids_and_clusters_are_exact_beside_nulls(spark, docs):
+    big = (1 << 53) + 1
+    rows = [(big + 2 * k, f"text {k % 9}", "en", None) for k in range(20)] + [(None, "text 1"), (1, None), (None, None)]
+    df = docs(rows)
+    got = P.pack(df, capacity=64).collect()
+    want = df.select("doc_id", F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("cluster"), "source").collect()
+    key = lambda r: str((r["doc_id"], r["cluster"], r["source"]))
+    assert sorted(map(key, got)) == sorted(map(key, want))
+
+
+def test_repeated_rows_are_spread_over_groups(spark):
+    """2,000 equal rows without id, and 1,000 of one id, among 1,000 others."""
+    same = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("same").alias("text"), F.lit(None).cast("string").alias("source"))
+    one = spark.range(1000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("one").alias("text"), F.lit(None).cast("string").alias("source"))
+    other = spark.range(1000).select((F.col("id") + 100).alias("doc_id"), F.col("id").cast("string").alias("text"), F.lit(None).cast("string").alias("source"))
+    rows = P.pack(same.union(one).union(other), capacity=64, group_docs=100).collect()
+    check(rows, 64)
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r["bin"].split("-")[0]] += 1
+    assert len(rows) == 4000 and len(sizes) == 40 and max(sizes.values()) <= 300
+    assert sorted(r["doc_id"] or -1 for r in rows) == [-1] * 2000 + [7] * 1000 + list(range(100, 1100))
