@@ -58,17 +58,21 @@ def replay_files(df: DataFrame, order: str, ranges: int, name: str,
     parts = []
     for low, high in zip(edges, edges[1:]):
         part = df if low is None else df.where(F.col(order) > F.lit(low))
-        parts.append(part if high is None else part.where(F.col(order) <= F.lit(high)))
+        up_to = F.col(order) <= F.lit(high)
+        if low is None:  # rows without order come first
+            up_to = up_to | F.col(order).isNull()
+        parts.append(part if high is None else part.where(up_to))
     return _written(root, parts, files, flush)
 
 
 def replay_batches(df: DataFrame, batch: str, batches: int, name: str,
                    flush: list[DataFrame] | None = None) -> Replay:
     """Write ``df`` as the micro-batches that its column ``batch`` numbers from 0 (all of them
-    with rows), then the ``flush`` rows: for rules that depend on where batches end."""
+    with rows; a null number counts as 0), then the ``flush`` rows: for rules that depend on
+    where batches end."""
     root = checkpoint_path(df.sparkSession, f"replay/{name}-{uuid.uuid4().hex[:8]}")
     files = max(1, math.ceil(df.count() / (batches * ROWS_PER_FILE)))
-    parts = [df.where(F.col(batch) == i).drop(batch) for i in range(batches)]
+    parts = [df.where(F.coalesce(F.col(batch), F.lit(0)) == i).drop(batch) for i in range(batches)]
     return _written(root, parts, files, flush)
 
 

@@ -14,7 +14,7 @@ from riverbend.operators.windows import session_windows, sliding_counts, window_
 from riverbend.session import checkpoint_path
 from riverbend.sources.tables import load
 from riverbend.streaming import twins
-from riverbend.streaming.replay import flush_rows, replay_files, stream_folder
+from riverbend.streaming.replay import flush_rows, replay_batches, replay_files, stream_folder
 
 FLUSH_KEY = "__flush__"
 
@@ -194,3 +194,12 @@ def test_replay_of_many_files_a_range_equals_batch(spark, monkeypatch):
     want = rows(window_summary(_batch_events(spark), ["event_type"], "ts", 600),
                 "event_type", "window_start", "window_end", "n")
     assert got == want
+
+
+def test_replay_keeps_rows_without_order(spark):
+    df = spark.createDataFrame([(k, f"r{k}") for k in range(40)] + [(None, "a"), (None, "b")], "o long, v string")
+    read = lambda r, cols: spark.read.option("recursiveFileLookup", "true").schema(cols).parquet(r.root)
+    for ranges in (1, 4):
+        assert rows(read(replay_files(df, "o", ranges, "nullorder"), df.schema), "v") == rows(df, "v")
+    numbered = df.withColumn("batch", (F.col("o") / 20).cast("int"))
+    assert rows(read(replay_batches(numbered, "batch", 2, "nullbatch"), df.schema), "v") == rows(df, "v")
