@@ -65,12 +65,17 @@ def _arc(position: Column, points: list[int]) -> Column:
     search over a constant array."""
     array = F.lit(points)
     found, size = F.lit(0), len(points)
-    for k in reversed(range(size.bit_length())):
-        def step(below: Column, jump: int = 1 << k) -> Column:
-            ask = below + F.lit(jump)
+
+    def jump(by: int):
+        # Must take one argument: a second one, even with a default, would receive the array index.
+        def step(below: Column) -> Column:
+            ask = below + F.lit(by)
             return F.when((ask <= size) & (F.get(array, F.least(ask, F.lit(size)) - 1) < position), ask).otherwise(below)
+        return step
+
+    for k in reversed(range(size.bit_length())):
         # a one-element array keeps each step from being copied into the next
-        found = F.get(F.transform(F.array(found), step), 0)
+        found = F.get(F.transform(F.array(found), jump(1 << k)), 0)
     return found % size
 
 

@@ -1,4 +1,5 @@
 import zlib
+from bisect import bisect_left
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -49,11 +50,20 @@ def test_query_law_and_brute_force(spark):
     assert {r["doc_id"]: (r["shard"], r["slot"]) for r in got} == want
 
 
+def test_rows_use_the_whole_ring(spark):
+    points = [p for p, _ in S.ring(spark, 16, S.VNODES)]
+    ids = spark.range(20_000).select(S._position("id").alias("p"))
+    rows = ids.select("p", S._arc(F.col("p"), points).alias("arc")).collect()
+    assert all(r["arc"] == bisect_left(points, r["p"]) % len(points) for r in rows)
+    assert len({r["arc"] for r in rows}) > len(points) / 2
+
+
 def test_few_rows_move_when_a_shard_is_added(spark):
     ids = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
     a, b = ({r["doc_id"]: r["shard"] for r in S.shard(ids, n).collect()} for n in (16, 17))
     moved = sum(a[d] != b[d] for d in a) / len(a)
     assert moved < 0.3  # 1/17 goes to the new shard; a plain modulus moves 16/17
+    assert moved < 0.1
 
 
 def test_edge_cases(docs, clashing):
