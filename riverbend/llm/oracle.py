@@ -98,4 +98,25 @@ select doc_id, n_words, wc as word_chars, c4 as n_symbols, n_dup_lines, n_repeat
        and not coalesce(word_js > {Q.MAX_WORD_JS} + {Q.WORD_NOISE} / sqrt(cast(n_words as double)), false) as kept
 from judged"""
 
-ORACLE = {"op5_quality_rules": _QUALITY, "op6_exact_top_k": _EXACT_TOP_K}
+_FILL_IN_MIDDLE = """
+with d as (
+  select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+c as (
+  select doc_id, t, length(t) as n, cast('0x' || substr(h, 1, 8) as bigint) as h1,
+         cast('0x' || substr(h, 9, 8) as bigint) as h2, cast('0x' || substr(h, 17, 8) as bigint) as h3,
+         cast('0x' || substr(h, 25, 8) as bigint) as h4
+  from d),
+f as (
+  select doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+         case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90
+              then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form
+  from c),
+p as (select *, substr(t, 1, a) as pre, substr(t, a + 1, b - a) as mid, substr(t, b + 1) as suf from f)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars,
+       case when form <> 'plain' then b - a end as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256,
+       sha256(t) as restored_sha256
+from p"""
+
+ORACLE = {"op5_quality_rules": _QUALITY, "op6_exact_top_k": _EXACT_TOP_K, "op11_fill_in_middle": _FILL_IN_MIDDLE}

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbend.llm import (
+    fim,
     html_text,
     langid,
     packing,
@@ -82,8 +83,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.restore(fim.transform(table(spark, sf_dir, "documents")))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_sharding, op3_simhash_near_dedup, op4_html_extraction, op5_quality_rules,
-    op6_exact_top_k, op7_language_id, op8_toxicity, op9_sentencepiece, op10_token_counts)}
+    op6_exact_top_k, op7_language_id, op8_toxicity, op9_sentencepiece, op10_token_counts, op11_fill_in_middle)}
 
 __all__ = ["ORACLE", "QUERIES"]
