@@ -119,4 +119,22 @@ select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars,
        sha256(t) as restored_sha256
 from p"""
 
-ORACLE = {"op5_quality_rules": _QUALITY, "op6_exact_top_k": _EXACT_TOP_K, "op11_fill_in_middle": _FILL_IN_MIDDLE}
+_WARC = """
+with p as (
+  select page_id, url, coalesce(html, '') as t, row_number() over () as i from pages),
+h as (select *, sha1(t) || '0' as x, octet_length(encode(t)) as n from p),
+r as (
+  select *, row_number() over (partition by x, n order by page_id nulls last, i) as k,
+         first_value(page_id) over (partition by x, n order by page_id nulls last, i) as first
+  from h)
+select page_id, url, n as payload_bytes,
+       list_aggregate(list_transform(range(32), lambda j:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + ((cast('0x' || substr(x, 1 + cast(j * 5 // 4 as integer), 2) as integer)
+                      >> (3 - cast(j * 5 % 4 as integer))) & 31), 1)), 'string_agg', '') as payload_digest,
+       case when k = 1 then 'response' else 'revisit' end as record_type,
+       case when k > 1 then first end as refers_to
+from r"""
+
+ORACLE = {"op5_quality_rules": _QUALITY, "op6_exact_top_k": _EXACT_TOP_K, "op11_fill_in_middle": _FILL_IN_MIDDLE,
+          "op12_warc": _WARC}

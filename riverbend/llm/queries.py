@@ -20,6 +20,7 @@ from riverbend.llm import (
     token_counts,
     topk,
     toxicity,
+    warc,
 )
 from riverbend.llm.common import held_out, table, written
 from riverbend.llm.oracle import ORACLE
@@ -89,8 +90,14 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    read = warc.records(spark, warc.archive(pages), pages.schema["page_id"].dataType.simpleString())
+    return read.drop("payload")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_sharding, op3_simhash_near_dedup, op4_html_extraction, op5_quality_rules,
-    op6_exact_top_k, op7_language_id, op8_toxicity, op9_sentencepiece, op10_token_counts, op11_fill_in_middle)}
+    op6_exact_top_k, op7_language_id, op8_toxicity, op9_sentencepiece, op10_token_counts, op11_fill_in_middle, op12_warc)}
 
 __all__ = ["ORACLE", "QUERIES"]
