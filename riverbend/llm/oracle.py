@@ -136,5 +136,48 @@ select page_id, url, n as payload_bytes,
        case when k > 1 then first end as refers_to
 from r"""
 
+def _rounds(n: int) -> str:
+    """Assign and move, ``n`` times, then assign: tables a1, b1, ... a{n + 1}; means move b0."""
+    out = []
+    for r in range(1, n + 2):
+        out.append(f"""
+a{r} as materialized (
+  select p.i, p.part, min(d) as d, arg_min(k, d * 64 + k) as k
+  from (select p.i, p.part, b.k, list_sum(list_transform(list_zip(p.v, b.v), lambda t: (t[1] - t[2]) * (t[1] - t[2]))) as d
+        from p join b{r - 1} b using (part)) p
+  group by p.i, p.part)""")
+        if r <= n:
+            out.append(f"""
+m{r} as (
+  select part, k, j, cast(floor(cast(sum(x) as double) / count(*)) as bigint) as x
+  from (select a.part, a.k, unnest(range(len(p.v))) as j, unnest(p.v) as x from a{r} a join p using (i, part))
+  group by part, k, j),
+b{r} as materialized (
+  select b.part, b.k, coalesce(m.v, b.v) as v
+  from b{r - 1} b left join (select part, k, list(x order by j) as v from m{r} group by part, k) m using (part, k))""")
+    return ",".join(out)
+
+
+_VECTOR_CODES = f"""
+with e as materialized (
+  select row_number() over () as i, vec_id, label,
+         list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as q
+  from embeddings
+  where embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+u as (select e.*, unnest(range(16)) as part, len(q) // 16 as w from e),
+p as materialized (select i, part, list_slice(q, part * w + 1, (part + 1) * w) as v from u),
+f as (select i, row_number() over (order by vec_id nulls last, q) - 1 as k from e),
+b0 as materialized (select part, k, v from f join p using (i) where k < 64),
+{_rounds(2)},
+coded as (
+  select i, string_agg(printf('%02x', k), '' order by part) as code, cast(sum(d) as bigint) as error from a3 group by i),
+named as (select vec_id, label, code, error from coded join e using (i)),
+books as (select sha256(string_agg(cast(x as varchar), ',' order by part, k, j)) as h
+          from (select part, k, unnest(range(len(v))) as j, unnest(v) as x from b2))
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+       (select h from books) as codebooks_sha256
+from named"""
+
 ORACLE = {"op5_quality_rules": _QUALITY, "op6_exact_top_k": _EXACT_TOP_K, "op11_fill_in_middle": _FILL_IN_MIDDLE,
-          "op12_warc": _WARC}
+          "op12_warc": _WARC, "op13_vector_codes": _VECTOR_CODES}

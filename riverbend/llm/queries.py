@@ -20,6 +20,7 @@ from riverbend.llm import (
     token_counts,
     topk,
     toxicity,
+    vector_codes,
     warc,
 )
 from riverbend.llm.common import held_out, table, written
@@ -96,8 +97,12 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.drop("payload")
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.digests(*vector_codes.encode(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_sharding, op3_simhash_near_dedup, op4_html_extraction, op5_quality_rules,
-    op6_exact_top_k, op7_language_id, op8_toxicity, op9_sentencepiece, op10_token_counts, op11_fill_in_middle, op12_warc)}
+    op6_exact_top_k, op7_language_id, op8_toxicity, op9_sentencepiece, op10_token_counts, op11_fill_in_middle, op12_warc, op13_vector_codes)}
 
 __all__ = ["ORACLE", "QUERIES"]
