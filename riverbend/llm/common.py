@@ -19,14 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """``df`` as a table in the shared folder named by ``spark.checkpoint.dir``.
 
     Cuts the lineage: a lost executor costs the tasks it ran, not the stages before.
     """
     spark = df.sparkSession
     path = checkpoint_path(spark, f"riverbend-llm/{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -345,7 +345,7 @@ def marked(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id", url_co
     rows = written(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("target_uri"),
                                 data.alias("payload"), F.sha1(data).alias("sha1"),
                                 F.octet_length(data).cast("bigint").alias("payload_bytes"),
-                                F.monotonically_increasing_id().alias("row")), "pages")
+                                F.monotonically_increasing_id().alias("row")), "pages", "zstd")
     # Narrow and pre-aggregated; only payloads that repeat are joined, and a payload that very many
     # rows share is a skewed join, which adaptive execution splits.
     first = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row")).alias("first")

@@ -300,6 +300,40 @@ select event_type, window_start, window_end, count(*) as n, make_timestamp(min(m
        make_timestamp(max(ms) * 1000) as last_ts, count(distinct batch) as firings
 from k group by event_type, window_start, window_end"""
 
+ORACLE["stream_top_speed"] = ORACLE["top_speed"]
+ORACLE["stream_rule_updates"] = ORACLE["keyword_mask"]
+# The clock of a micro-batch is the largest event time of those before it, less the delay of two hours.
+ORACLE["stream_lateness_firings"] = """
+with z as (select max(event_id) + 1 as total, (max(event_id) + 1) * 3 // 8 as hop from events),
+a as (
+  select event_type, event_id, epoch_us(ts) // 1000 as ms,
+         greatest(0, coalesce((event_id + case when event_id % 13 = 0 then hop else 0 end) * 8 // (total + hop), 0)) as batch
+  from events, z),
+m as (select batch, max(ms) as top from a group by batch),
+c as (
+  select batch, max(top) over (order by batch rows between unbounded preceding and 1 preceding) - 2 * 3600000 as clock
+  from m),
+s as (
+  select a.*, ms // 3600000 * 3600000 as start,
+         case when clock is null or ms // 3600000 * 3600000 + 3599999 > clock then 'on_time'
+              when ms // 3600000 * 3600000 + 3599999 + 24 * 3600000 > clock then 'late' else 'dropped' end as kind
+  from a join c using (batch)),
+o as (
+  select event_type, start, count(*) as n, min(ms) as low, max(ms) as high from s where kind = 'on_time' group by all),
+l as (
+  select event_type, start, event_id, count(*) over w as n, min(ms) over w as low, max(ms) over w as high
+  from s where kind = 'late'
+  window w as (partition by event_type, start order by batch, event_id rows unbounded preceding)),
+f as (
+  select event_type, start, 'on_time' as kind, n, low, high, cast(null as bigint) as event_id from o
+  union all
+  select l.event_type, l.start, 'late', coalesce(o.n, 0) + l.n, least(l.low, coalesce(o.low, l.low)),
+         greatest(l.high, coalesce(o.high, l.high)), l.event_id
+  from l left join o using (event_type, start))
+select event_type, make_timestamp(start * 1000) as window_start, make_timestamp((start + 3600000) * 1000) as window_end,
+       kind, n, make_timestamp(low * 1000) as first_ts, make_timestamp(high * 1000) as last_ts, event_id
+from f"""
+
 # The same operators with their hot-key plan (``queries.CHUNKED``).
 for _name in ("count_trigger_running", "count_trigger_purged", "session_sum", "top_speed",
               "late_status", "lateness_firings", "window_summary_with_lateness", "keyword_mask"):

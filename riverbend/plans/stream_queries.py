@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from ..functions.text import NON_WORD, WHITESPACE_ONE, text_lines, tokenize
 from ..functions.time import to_epoch_millis, to_event_time
+from ..operators.lookup import mask_messages
 from ..operators.routing import connect_flat, even_odd_selector, select_tags, tag_rows
 from ..session import checkpoint_path
 from ..sources.inline import timestamped_events
 from ..sources.tables import load
-from ..streaming import twins
+from .queries import DEFAULT_KEYWORD, SPEED_EVICT_US, SPEED_THRESHOLD
+from ..streaming import keyed, twins
 from ..streaming.replay import flush_rows, replay_batches, replay_files, stream_folder
 
 FLUSH_KEY = "__flush__"
@@ -29,14 +31,15 @@ FLUSH_FILES = 1
 STATE_PARTITIONS_CONF = "riverbend.stream.statePartitions"
 # Late data: every 13th event arrives 3/8 of the table later, in eight micro-batches.
 LATE_EVERY, LATE_BATCHES, LATE_HOP = 13, 8, 3
+HOUR_MS = 3_600_000
 LATE_WINDOW, LATE_DELAY, LATENESS = "1 hour", "2 hours", "1 day"
 
 
-def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
+def _event_stream(spark: SparkSession, sf: str, flushed: bool = True) -> DataFrame:
     ev = load(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     flush = [flush_rows(ev, "ts", {"event_type": FLUSH_KEY, "user_id": -1,
                                    "event_id": 10**15 + i, "props": '{"k": -1}', "value": 0.0},
-                        years=100 + i) for i in range(FLUSH_FILES)]
+                        years=100 + i) for i in range(FLUSH_FILES)] if flushed else []
     root = replay_files(ev, "event_id", REPLAY_FILES, "events", flush)
     return stream_folder(spark, root, ev.schema)
 
@@ -55,6 +58,12 @@ def _start(spark: SparkSession, writer):
         spark.conf.set(key, before)
 
 
+def _stateful(spark: SparkSession, sdf: DataFrame, name: str) -> DataFrame:
+    """``_to_files`` for a stream of ``streaming.keyed``."""
+    with keyed.with_rocksdb(spark):
+        return _to_files(spark, sdf, name)
+
+
 def _to_files(spark: SparkSession, sdf: DataFrame, name: str) -> DataFrame:
     run = f"{name}-{uuid.uuid4().hex[:8]}"
     out = checkpoint_path(spark, f"sinks/{run}")
@@ -127,7 +136,8 @@ def _late_stream(spark: SparkSession, sf: str, flush: bool) -> DataFrame:
     total = (ev.agg(F.max("event_id")).first()[0] or 0) + 1
     hop = total * LATE_HOP // LATE_BATCHES
     arrival = F.col("event_id") + F.when(F.col("event_id") % LATE_EVERY == 0, F.lit(hop)).otherwise(F.lit(0))
-    ev = ev.withColumn("batch", F.floor(arrival * LATE_BATCHES / F.lit(total + hop)).cast("int"))
+    batch = F.floor(arrival * LATE_BATCHES / F.lit(total + hop)).cast("int")
+    ev = ev.withColumn("batch", F.greatest(batch, F.lit(0)))  # ids below 0 come with the first
     last = [ev.agg(F.max("ms").alias("ms")).select(
         F.lit(-1).cast("bigint").alias("event_id"), F.lit(FLUSH_KEY).alias("event_type"),
         (F.col("ms") + F.lit(365 * 100 * 86_400_000)).alias("ms"))] if flush else []
@@ -150,6 +160,33 @@ def stream_window_summary_late(spark, sf):
     return twins.last_firings(out, ["event_type", "window_start", "window_end"], ["n", "first_ts", "last_ts"])
 
 
+def stream_lateness_firings(spark, sf):
+    """Hourly windows that fire on time and again for each row up to a day late. Spark's
+    watermark moves between micro-batches; the SQL states that rule."""
+    s = _late_stream(spark, sf, flush=True).withColumn("ts", F.timestamp_millis("ms"))
+    out = _stateful(spark, keyed.lateness_firings(s, "event_type", "ts", "event_id", "event_id", HOUR_MS, 2 * HOUR_MS,
+                                                  24 * HOUR_MS), "lateness_firings")
+    return _ntz(out, "window_start", "window_end", "first_ts", "last_ts").where(F.col("event_type") != FLUSH_KEY)
+
+
+def stream_top_speed(spark, sf):
+    """W8 + A5: the distance is the running sum of a car's speeds, kept in its state."""
+    s = _event_stream(spark, sf, flushed=False).withColumn("step", F.col("value").cast(f"decimal(18,{VALUE_SCALE})"))
+    out = _stateful(spark, keyed.delta_trigger(s, "user_id", "ts", "event_id", "value", "step", SPEED_THRESHOLD,
+                                               SPEED_EVICT_US, cumulative=True), "top_speed")
+    return _ntz(out, "top_ts")
+
+
+def stream_rule_updates(spark, sf):
+    """One stream of messages and of rules that arrive between them."""
+    ev = _event_stream(spark, sf, flushed=False)
+    rule = F.col("event_type") == "signup"
+    rules = ev.where(rule).withColumn("keyword", F.get_json_object("props", "$.k"))
+    out = _stateful(spark, keyed.masked_by_rules(ev.where(~rule), rules, "ts", "event_id", "props", "keyword",
+                                                 DEFAULT_KEYWORD), "rule_updates")
+    return mask_messages(out, "props", "keyword").select("event_id", "masked")
+
+
 def _order_stream(spark: SparkSession, sf: str) -> DataFrame:
     orders = load(spark, sf, "orders").select("o_orderkey")
     return stream_folder(spark, replay_files(orders, "o_orderkey", REPLAY_FILES, "orders"), orders.schema)
@@ -240,6 +277,9 @@ STREAM_QUERIES = {
     "stream_window_summary_late": stream_window_summary_late,
     "stream_split_all": stream_split_all,
     "stream_connect": stream_connect,
+    "stream_top_speed": stream_top_speed,
+    "stream_lateness_firings": stream_lateness_firings,
+    "stream_rule_updates": stream_rule_updates,
 }
 
 __all__ = ["STATE_PARTITIONS_CONF", "STREAM_QUERIES"]
