@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions.time import MILLIS_PATTERN, epoch_micros
 from ..plans.skew import CHUNK, attach_prefix, chunk_prefix, split_hot_keys
 from ..session import ensure_checkpoint_dir
-from .windows import micros_to_ts, running_aggs
+from .windows import micros_to_ts, numeric_tie, running_aggs
 
 ON_TIME, LATE, DROPPED = "on_time", "late", "dropped"
 
@@ -41,7 +41,7 @@ def lateness_status(df: DataFrame, ts: str, arrival: str, tiebreak: str,
     base = (df.withColumn("_us", us).withColumn("_we", start + F.lit(size_us))
             .withColumn("window_start", micros_to_ts(start))
             .withColumn("window_end", micros_to_ts(start + F.lit(size_us))))
-    split = split_hot_keys(base, [], arrival, rows_per_chunk)
+    split = split_hot_keys(base, [], arrival, rows_per_chunk, tie=numeric_tie(base, [tiebreak]))
     w = (Window.partitionBy(CHUNK).orderBy(arrival, tiebreak)
          .rowsBetween(Window.unboundedPreceding, -1))
     local = split.df.withColumn("_lmax", F.max("_us").over(w))

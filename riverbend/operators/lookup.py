@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ..plans.skew import CHUNK, attach_prefix, chunk_prefix, split_hot_keys
 
@@ -38,7 +39,10 @@ def latest_rule_asof(messages: DataFrame, rules: DataFrame, ts: str, rule_col: s
         F.col(ts), F.col(rule_col).cast("string").alias(rule_col), F.lit(0).alias("_kind"))
     rule_rows = rule_rows.select(*m_cols, rule_col, "_kind")
     both = msg.unionByName(rule_rows).withColumn("_ord", F.unix_micros(F.col(ts).cast("timestamp")))
-    split = split_hot_keys(both, [], "_ord", rows_per_chunk)
+    # The rules of an instant come first: a null tie.
+    tie = F.when(F.col("_kind") == 1, F.col(tiebreak)) if tiebreak in m_cols and isinstance(
+        messages.schema[tiebreak].dataType, NumericType) else None
+    split = split_hot_keys(both, [], "_ord", rows_per_chunk, tie=tie)
     order = ["_ord", "_kind"] + ([tiebreak] if tiebreak else [])
     w = (Window.partitionBy(CHUNK).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))

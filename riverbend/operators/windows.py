@@ -12,6 +12,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ..functions.time import epoch_micros
 from ..plans.skew import (CHUNK, attach_prefix, chunk_prefix, null_safe_join,
@@ -175,6 +176,12 @@ _PREFIX_COMBINE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 _LOCAL = {"count": lambda c: F.count(F.lit(1)), "sum": F.sum, "min": F.min, "max": F.max}
 
 
+def numeric_tie(df: DataFrame, tiebreak: list[str]) -> str | None:
+    """The first column of the tie-break, if a hot instant can be cut along it."""
+    first = tiebreak[0] if tiebreak else None
+    return first if first and isinstance(df.schema[first].dataType, NumericType) else None
+
+
 def running_aggs(df: DataFrame, keys: list[str], order: str, tiebreak: list[str],
                  aggs: dict[str, tuple[str, str]],
                  rows_per_chunk: int | None = None) -> DataFrame:
@@ -186,7 +193,7 @@ def running_aggs(df: DataFrame, keys: list[str], order: str, tiebreak: list[str]
     to and including the current one. Heavy keys are cut into order chunks
     (``plans.skew``); each chunk's total is carried into later chunks.
     """
-    split = split_hot_keys(df, keys, order, rows_per_chunk)
+    split = split_hot_keys(df, keys, order, rows_per_chunk, tie=numeric_tie(df, tiebreak))
     w = (Window.partitionBy(*keys, CHUNK).orderBy(order, *tiebreak)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = split.df

@@ -193,6 +193,28 @@ t as (
 select f.user_id, f.event_id, t.b.v as top, -t.b.i as top_id,
        make_timestamp(-t.b.n) as top_ts
 from f join t using (user_id, event_id) where fired""",
+    "top_speed_free": """
+with recursive e as (
+  select event_type, event_id, ts, value,
+         sum(cast(case when event_id % 3 = 0 then -value else value end as decimal(18,2))) over (partition by event_type order by ts, event_id
+                                                 rows unbounded preceding) as cum,
+         row_number() over (partition by event_type order by ts, event_id) as rn
+  from events),
+f as (
+  select event_type, rn, cum as base, false as fired, event_id from e where rn = 1
+  union all
+  select e.event_type, e.rn,
+         case when e.cum - f.base > 50 then e.cum else f.base end,
+         e.cum - f.base > 50, e.event_id
+  from f join e on e.event_type = f.event_type and e.rn = f.rn + 1),
+t as (
+  select *, max(struct_pack(v := value, n := -epoch_us(ts), i := -event_id)) over (
+           partition by event_type order by ts
+           range between interval '86399999999 microseconds' preceding and current row) as b
+  from e)
+select f.event_type, f.event_id, t.b.v as top, -t.b.i as top_id,
+       make_timestamp(-t.b.n) as top_ts
+from f join t using (event_type, event_id) where fired""",
     "late_status": _LATE + "select event_id, event_type, window_start, status from s",
     "late_status_counts": _LATE + "select status, count(*) as n from s group by status",
     "lateness_firings": _LATE + """
@@ -335,6 +357,6 @@ select event_type, make_timestamp(start * 1000) as window_start, make_timestamp(
 from f"""
 
 # The same operators with their hot-key plan (``queries.CHUNKED``).
-for _name in ("count_trigger_running", "count_trigger_purged", "session_sum", "top_speed",
+for _name in ("count_trigger_running", "count_trigger_purged", "session_sum", "top_speed", "top_speed_free",
               "late_status", "lateness_firings", "window_summary_with_lateness", "keyword_mask"):
     ORACLE[f"{_name}_chunked"] = ORACLE[_name]

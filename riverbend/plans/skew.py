@@ -9,7 +9,8 @@ or "the whole table" for a global order) that task is the job.
 
 ``split_hot_keys`` keeps one task per light key but cuts each *heavy* key
 (more rows than one task should take) into contiguous chunks along the order
-column, using approximate quantiles. Scans then run per ``(key, _chunk)`` and
+column (and, where one instant alone is that large, along the next column of the
+order), using approximate quantiles. Scans then run per ``(key, _chunk)`` and
 a per-chunk summary, whose size is bounded by the number of chunks (not by the
 data), carries the state from earlier chunks forward: the classic two-pass
 parallel prefix. Chunks are contiguous in the order, so the combine is exact.
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 
 CHUNK = "_chunk"
 BOUNDS = "_bounds"
+# Chunk numbers are multiples of this; the pieces of an instant that is cut follow its chunk's.
+PIECES = 1 << 20
 
 ROWS_PER_CHUNK_CONF = "riverbend.scan.rowsPerChunk"
 BROADCAST_ROWS_CONF = "riverbend.broadcast.maxRows"
@@ -108,11 +111,16 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], right_row
 
 
 def split_hot_keys(df: DataFrame, keys: list[str], order: str | Column,
-                   rows_per_chunk: int | None = None, keep_bounds: bool = False) -> KeySplit:
+                   rows_per_chunk: int | None = None, keep_bounds: bool = False,
+                   tie: str | Column | None = None) -> KeySplit:
     """Tag rows with ``_chunk`` so that no ``(keys, _chunk)`` group is huge.
 
-    ``order`` must be numeric or a timestamp; rows with equal ``order`` land
-    in the same chunk, so any finer tie-break order stays chunk-local.
+    ``order`` must be numeric or a timestamp. Chunk numbers (bigint) rise along
+    ``(order, tie)``; without ``tie`` rows with equal ``order`` land in the same
+    chunk. ``tie``, numeric too, is the next column of the caller's sort order:
+    with it an instant of a heavy key that alone has more than
+    ``rows_per_chunk`` rows is cut into pieces along it (rows whose tie is null
+    come first). Rows that tie in both stay together.
     A key is heavy when it has more than ``rows_per_chunk`` rows (by default
     ``riverbend.scan.rowsPerChunk``, or 100,000). A null key is a key.
     """
@@ -128,7 +136,7 @@ def split_hot_keys(df: DataFrame, keys: list[str], order: str | Column,
         rows_per_chunk = _conf_int(spark, ROWS_PER_CHUNK_CONF, DEFAULT_ROWS_PER_CHUNK)
     if top <= rows_per_chunk:
         counts.unpersist()
-        return KeySplit(df.withColumn(CHUNK, F.lit(0)), keys, None, 0)
+        return KeySplit(df.withColumn(CHUNK, F.lit(0).cast("bigint")), keys, None, 0)
 
     grid = math.ceil(top / rows_per_chunk)
     # Every heavy key holds more than rows_per_chunk rows, so there are at
@@ -136,33 +144,63 @@ def split_hot_keys(df: DataFrame, keys: list[str], order: str | Column,
     # (about the partition count, not the data), with no job to count it.
     heavy_keys = counts.where(F.col("_n") > rows_per_chunk).select(*keys)
     n_heavy = max(1, total // rows_per_chunk)
-    probs = [i / grid for i in range(1, grid)]
-    accuracy = max(10_000, 20 * grid)
     sample_src = null_safe_join(df, heavy_keys, keys, n_heavy, "left_semi") if keys else df
-    heavy = _cached(sample_src.groupBy(*keys)
-                    .agg(F.array_distinct(F.percentile_approx(order_c, probs, accuracy))
-                         .alias(BOUNDS)))
+    heavy = _cached(sample_src.groupBy(*keys).agg(_quantiles(order_c, grid).alias(BOUNDS)))
     heavy_rows = n_heavy * grid
-    tagged = _tag(df, keys, order_c, heavy, heavy_rows, grid, keep_bounds)
-    return KeySplit(tagged, keys, heavy, heavy_rows, heavy_keys, grid)
+    tagged = _tag(df, keys, order_c, heavy, heavy_rows, grid)
+    if tie is not None:
+        tie_c = F.col(tie) if isinstance(tie, str) else tie
+        tagged, pieces = _cut_instants(tagged, keys, order_c, tie_c, rows_per_chunk, n_heavy)
+        heavy_rows += pieces
+    return KeySplit(tagged if keep_bounds else tagged.drop(BOUNDS), keys, heavy, heavy_rows, heavy_keys, grid)
+
+
+def _quantiles(col: Column, parts: int) -> Column:
+    probs = [i / parts for i in range(1, parts)]
+    return F.array_distinct(F.percentile_approx(col, probs, max(10_000, 20 * parts)))
+
+
+def _cut_instants(tagged: DataFrame, keys: list[str], order_c: Column, tie_c: Column, rows_per_chunk: int,
+                  n_heavy: int) -> tuple[DataFrame, int]:
+    """Give the rows of an instant with more than ``rows_per_chunk`` rows chunk numbers of their
+    own, after those of the rows before it. Such an instant covers a quantile of its key, so it is
+    one of the bounds and ends its chunk: only rows on a bound have to be counted."""
+    on_bound = F.coalesce(F.get(BOUNDS, (F.col(CHUNK) / PIECES).cast("int")) == order_c, F.lit(False))
+    rows = tagged.where(on_bound)
+    counts = _cached(rows.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_n")))
+    top = counts.agg(F.max("_n")).first()[0] or 0
+    if top <= rows_per_chunk:
+        counts.unpersist()
+        return tagged, 0
+    parts = math.ceil(top / rows_per_chunk)
+    crowded = counts.where(F.col("_n") > rows_per_chunk).select(*keys, CHUNK)
+    inside = null_safe_join(rows, crowded, [*keys, CHUNK], n_heavy, "left_semi")
+    ties = _cached(inside.groupBy(*keys, CHUNK).agg(_quantiles(tie_c, parts).alias("_ties")))
+    out = null_safe_join(tagged, ties, [*keys, CHUNK], n_heavy)
+    out = count_below(out, "_ties", tie_c, "_piece", parts)
+    cut = on_bound & F.col("_ties").isNotNull()
+    # at most n_heavy instants have that many rows
+    return (out.withColumn(CHUNK, F.when(cut, F.col(CHUNK) + 1 + F.col("_piece")).otherwise(F.col(CHUNK)))
+            .drop("_ties", "_piece"), n_heavy * parts)
 
 
 def count_below(df: DataFrame, bounds: str, order_c: Column, out: str, max_len: int) -> DataFrame:
     """``out`` = number of elements of the ascending array ``bounds`` that
-    are ``< order``: a branch-free binary search in ``log2(max_len)`` steps of
-    ``element_at`` + ``CASE``, each a separate (codegen'd) projection, so the
-    per-row cost is logarithmic in the chunk count."""
+    are ``< order`` (0 for no array): a branch-free binary search in ``log2(max_len)``
+    steps, so the per-row cost is logarithmic in the chunk count. The steps are one
+    fold over their widths, an expression that stays small wherever Catalyst copies it."""
     n = F.size(bounds)
-    df = df.withColumn(out, F.lit(0))
-    for k in reversed(range(max(1, max_len.bit_length()))):
-        cand = F.col(out) + F.lit(1 << k)
-        df = df.withColumn(out, F.when((cand <= n) & (F.element_at(bounds, cand) < order_c),
-                                       cand).otherwise(F.col(out)))
-    return df
+
+    def step(below: Column, width: Column) -> Column:
+        ask = below + width
+        return F.when((ask <= n) & (F.get(bounds, F.least(ask, n) - 1) < order_c), ask).otherwise(below)
+
+    widths = F.lit([1 << k for k in reversed(range(max(1, max_len.bit_length())))])
+    return df.withColumn(out, F.reduce(widths, F.lit(0), step))
 
 
 def _tag(df: DataFrame, keys: list[str], order_c: Column, heavy: DataFrame,
-         heavy_rows: int, grid: int, keep_bounds: bool = False) -> DataFrame:
+         heavy_rows: int, grid: int) -> DataFrame:
     # Chunk = number of boundaries strictly below the row's order value:
     # monotone in the order, so chunks are contiguous runs of it.
     if keys:
@@ -171,10 +209,14 @@ def _tag(df: DataFrame, keys: list[str], order_c: Column, heavy: DataFrame,
         # One global key: the boundary table is a single row, attached as a
         # scalar subquery rather than a join.
         joined = df.withColumn(BOUNDS, heavy.select(BOUNDS).scalar())
-    tagged = count_below(joined, BOUNDS, order_c, CHUNK, grid)
-    tagged = tagged.withColumn(CHUNK, F.when(F.col(BOUNDS).isNull(), F.lit(0))
-                               .otherwise(F.col(CHUNK)))
-    return tagged if keep_bounds else tagged.drop(BOUNDS)
+    return chunk_of(joined, order_c, CHUNK, grid)
+
+
+def chunk_of(df: DataFrame, order_c: Column, out: str, grid: int) -> DataFrame:
+    """``out`` = the chunk (without pieces of an instant) that ``order_c`` belongs to."""
+    df = count_below(df, BOUNDS, order_c, out, grid)
+    return df.withColumn(out, F.when(F.col(BOUNDS).isNull(), F.lit(0)).otherwise(F.col(out)).cast("bigint")
+                         * F.lit(PIECES))
 
 
 def chunk_prefix(split: KeySplit, summary: DataFrame,

@@ -1,7 +1,12 @@
+import math
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_MID, rows
 from riverbend.operators.triggers import count_trigger, delta_trigger_max, purging_count_trigger
+from riverbend.plans.skew import CHUNK, split_hot_keys
 from riverbend.operators.windows import running_per_key
 from riverbend.sources.tables import load
 
@@ -138,3 +143,62 @@ def test_delta_trigger_threshold_as_the_type_computes_it(spark):
     args = ("car", "ts", "seq", "speed", "distance", 50.0, 10_000_000)
     for kw in ({}, {"monotone": True, "rows_per_chunk": 1}):
         assert rows(delta_trigger_max(df, *args, **kw), "seq") == [(1,), (3,)]
+
+
+def _brute_delta(data, threshold, evict_s):
+    """Row by row: firing row, and the largest (earliest of equal) measure of its frame."""
+    cars, out = {}, []
+    for car, seq, t, speed, dist in sorted(data, key=lambda r: (r[2], r[1])):
+        cars.setdefault(car, []).append((seq, t, speed, dist))
+    for car, found in cars.items():
+        base = None
+        for seq, t, _, dist in found:
+            if dist is None:
+                continue
+            if base is not None and dist - base > threshold:
+                frame = [(-math.inf if s is None else s, -u, -i) for i, u, s, _ in found if t - evict_s < u <= t]
+                top = max(frame)
+                out.append((str(car), seq, None if top[0] == -math.inf else top[0], -top[2]))
+            if base is None or dist - base > threshold:
+                base = dist
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("name,threshold,evict,step,ticks", [
+    ("slow cars: a threshold spans many chunks", 150, 40, lambda r: r.choice([0, 1, 2]), [1, 2]),
+    ("distances that fall", 6, 300, lambda r: r.randint(-9, 9), [0, 1, 30]),
+    ("frames over all chunks, crowded instants", 3, 10**6, lambda r: r.choice([1, 2, None]), [0] * 30 + [5]),
+    ("one instant", 10, 5, lambda r: r.randint(0, 3), [0]),
+])
+def test_delta_trigger_against_brute_force(spark, name, threshold, evict, step, ticks):
+    rng = random.Random(name)
+    data, t, dist = [], 0, {}
+    for i in range(260):
+        t += rng.choice(ticks)
+        car = rng.choice([1, 1, 1, 1, 2, None])
+        s = step(rng)
+        dist[car] = dist.get(car, 0) + (s or 0)
+        data.append((car, i, t, rng.choice([None, *map(float, range(40))]), None if s is None else dist[car]))
+    df = spark.createDataFrame(data, "car long, seq long, t long, speed double, distance long") \
+        .withColumn("ts", F.timestamp_seconds("t").cast("timestamp_ntz"))
+    want = _brute_delta(data, threshold, evict)
+    args = ("car", "ts", "seq", "speed", "distance", threshold, evict * 1_000_000)
+    for chunk in (10**6, 9):
+        got = [(str(r["car"]), r["seq"], r["top"], r["top_id"]) for r in
+               delta_trigger_max(df, *args, rows_per_chunk=chunk).collect()]
+        assert sorted(got, key=str) == want and want
+
+
+def test_an_instant_of_a_hot_key_is_cut(spark):
+    """All rows of a key share one time: chunks are cut along the tie-break, results are equal."""
+    df = spark.range(2000).select(F.lit("k").alias("k"), F.lit(5).alias("t"), F.col("id").alias("seq"), F.lit(1.0).alias("v"))
+    df = df.unionByName(spark.range(900).select(F.lit("k").alias("k"), (F.col("id") % 9).cast("int").alias("t"),
+                                                (F.col("id") + 5000).alias("seq"), F.lit(2.0).alias("v")))
+    split = split_hot_keys(df, ["k"], "t", 100, tie="seq")
+    sizes = split.df.groupBy(CHUNK).agg(F.count("*").alias("n"), F.min(F.struct("t", "seq")).alias("low"),
+                                        F.max(F.struct("t", "seq")).alias("high")).orderBy(CHUNK).collect()
+    assert max(r["n"] for r in sizes) <= 220 and sum(r["n"] for r in sizes) == 2900
+    assert all(a["high"] < b["low"] for a, b in zip(sizes, sizes[1:]))  # numbers rise along (t, seq)
+    for trigger in (count_trigger, purging_count_trigger):
+        whole, cut = (rows(trigger(df, "k", "t", "seq", "v", 3, n), "n", "total", "fired_at") for n in (10**9, 100))
+        assert whole == cut and len(whole) == 966
