@@ -118,6 +118,18 @@ def parse_tuple_text(col: str | Column, fields: list[tuple[str, str]]) -> Column
     ])
 
 
+def try_parse_tuple_text(col: str | Column, fields: list[tuple[str, str]]) -> Column:
+    """``parse_tuple_text`` that gives null for a line with too few fields or a field that is not
+    of its type."""
+    c = _c(col)
+    parts = F.split(c.substr(F.lit(2), F.length(c) - F.lit(2)), COMMA, -1)
+    found = [F.get(parts, F.lit(i)).try_cast(t).alias(n) for i, (n, t) in enumerate(fields)]
+    sound = F.lit(True)
+    for f in found:
+        sound = sound & f.isNotNull()
+    return F.when(sound, F.struct(*found))
+
+
 def format_tuple(*cols: str | Column) -> Column:
     """Render columns the way a Java tuple prints: ``(a,b,c)``, a null as ``null``."""
     fields = [F.coalesce(_c(x).cast("string"), F.lit("null")) for x in cols]

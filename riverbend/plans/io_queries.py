@@ -12,12 +12,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import format_tuple
 from ..functions.time import to_epoch_millis, to_epoch_seconds
 from ..operators.routing import even_odd_selector, select_tags, tag_rows
 from ..operators.windows import grouped_sum
 from ..session import checkpoint_path
 from ..sinks import fan_out, write_delimited, write_text
-from ..sources.files import (read_car_text, read_key_millis, read_lines, read_or_default,
+from ..sources.files import (read_car_text, read_car_text_tolerant, read_key_millis, read_lines, read_or_default,
                              read_user_behavior)
 from ..sources.inline import from_elements, sequence
 from ..sources.tables import load
@@ -68,6 +69,19 @@ def source_car_text(spark, sf):
     return read_or_default(spark, read_car_text, path, lambda: read_car_text(spark, path).limit(0))
 
 
+def source_rejects(spark, sf):
+    """F8: line items as tuple lines, some broken: typed rows beside the lines that do not parse."""
+    path = _folder(spark, "broken")
+    key, price = F.col("l_orderkey"), F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+    ms = to_epoch_millis("l_shipdate")
+    line = (F.when(key % 7 == 0, format_tuple(key, "l_linenumber", F.lit("x"), ms))
+            .when(key % 11 == 0, format_tuple(key, "l_linenumber", price))
+            .otherwise(format_tuple(key, "l_linenumber", price, ms)))
+    load(spark, sf, "lineitem").select(line.alias("value")).write.text(path)
+    rows, rejects = read_car_text_tolerant(spark, path)
+    return rows.unionByName(rejects.select(F.col("value").alias("line")), allowMissingColumns=True)
+
+
 def source_elements(spark, sf):
     """Events counted for each element of an inline collection, none included."""
     wanted = from_elements(spark, ["view", "signup", "no such type"], "event_type string")
@@ -120,7 +134,7 @@ def fan_out_files(spark, sf):
 
 
 IO_QUERIES = {f.__name__: f for f in (
-    source_lines, source_user_behavior, source_key_millis, source_car_text, source_elements,
+    source_lines, source_user_behavior, source_key_millis, source_car_text, source_rejects, source_elements,
     source_sequence, sink_delimited, sink_tuple_text, fan_out_files)}
 
 _LINES = ("(select regexp_replace(unnest(string_split(coalesce(text, ''), chr(10))), '\\r\\z', '') "
@@ -139,6 +153,16 @@ select event_type as key, epoch_us(ts) // 1000 as ts_ms, make_timestamp(epoch_us
 select cast(l_orderkey as integer) as car_id, cast(l_linenumber as integer) as speed,
        l_extendedprice as distance, epoch_ms(l_shipdate) as ts
 from lineitem""",
+    "source_rejects": """
+with l as (
+  select l_orderkey as k, l_linenumber as n, cast(l_extendedprice as decimal(18,2)) as p, epoch_ms(l_shipdate) as ms,
+         l_orderkey % 7 = 0 or l_orderkey % 11 = 0 as broken
+  from lineitem)
+select case when not broken then cast(k as integer) end as car_id, case when not broken then cast(n as integer) end as speed,
+       case when not broken then cast(p as double) end as distance, case when not broken then ms end as ts,
+       case when k % 7 = 0 then '(' || k || ',' || n || ',x,' || ms || ')'
+            when k % 11 = 0 then '(' || k || ',' || n || ',' || p || ')' end as line
+from l""",
     "source_elements": """
 select w.event_type, count(e.event_type) as n
 from (values ('view'), ('signup'), ('no such type')) w(event_type) left join events e using (event_type)

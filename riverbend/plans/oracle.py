@@ -254,6 +254,12 @@ from (select * from events where event_type <> 'signup') l
 asof left join (select ts, arg_max(json_extract_string(props, '$.k'), event_id) as kw
                 from events where event_type = 'signup' group by ts) r
 on l.ts >= r.ts""",
+    "user_table_function": """
+select user_id, event_id, epoch_us(ts) - lag(epoch_us(ts)) over (partition by user_id order by ts, event_id) as gap_us
+from events where ts is not null""",
+    "user_aggregate": """
+select event_type, cast(sum(cast(round(value * 100) as bigint)) as double) / 100 / nullif(count(value), 0) as mean_value
+from events group by event_type""",
     **IO_ORACLE,
 }
 
@@ -323,6 +329,8 @@ select event_type, window_start, window_end, count(*) as n, make_timestamp(min(m
 from k group by event_type, window_start, window_end"""
 
 ORACLE["stream_top_speed"] = ORACLE["top_speed"]
+ORACLE["source_custom_stream"] = "select event_id, event_type, ts, value from events"
+ORACLE["stream_arrival_windows"] = "select event_type, count(*) as n from events group by event_type"
 ORACLE["stream_rule_updates"] = ORACLE["keyword_mask"]
 # The clock of a micro-batch is the largest event time of those before it, less the delay of two hours.
 ORACLE["stream_lateness_firings"] = """
@@ -358,5 +366,6 @@ from f"""
 
 # The same operators with their hot-key plan (``queries.CHUNKED``).
 for _name in ("count_trigger_running", "count_trigger_purged", "session_sum", "top_speed", "top_speed_free",
-              "late_status", "lateness_firings", "window_summary_with_lateness", "keyword_mask"):
+              "late_status", "lateness_firings", "window_summary_with_lateness", "keyword_mask",
+              "user_table_function"):
     ORACLE[f"{_name}_chunked"] = ORACLE[_name]

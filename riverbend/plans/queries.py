@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import (NON_WORD, WHITESPACE_ONE, WHITESPACE_RUN, format_tuple,
                               parse_tuple_text, text_lines, tokenize)
+from ..functions.tables import event_gaps
 from ..functions.time import to_epoch_millis, to_epoch_seconds, from_epoch_seconds
+from ..operators.aggregates import Mean, user_aggregate
 from ..operators.lateness import final_window_summary, lateness_firings, lateness_status
 from ..operators.lookup import (latest_rule_asof, mask_messages, read_cached_text,
                                 with_cached_text)
@@ -288,6 +290,20 @@ def keyword_mask(spark, sf):
     return mask_messages(current, "props", "keyword").select("event_id", "masked")
 
 
+# --- user functions (U2, U4) ---------------------------------------------
+
+def user_table_function(spark, sf):
+    """The gap between a user's events, by an ordered table function."""
+    return event_gaps(load(spark, sf, "events").select("user_id", "event_id", "ts"), "user_id", "ts", "event_id")
+
+
+def user_mean(spark, sf):
+    """U4: a mean with create, add, merge and result; five keys, so each is hot."""
+    cents = F.round(F.col("value") * 10**VALUE_SCALE).cast("bigint")
+    ev = load(spark, sf, "events").select("event_type", cents.alias("cents"))
+    return user_aggregate(ev, ["event_type"], ["cents"], Mean(10**VALUE_SCALE), "mean_value")
+
+
 QUERIES: dict[str, Query] = {
     "hot_items": hot_items,
     "window_item_counts": window_item_counts,
@@ -317,6 +333,8 @@ QUERIES: dict[str, Query] = {
     "lateness_firings": lateness_firing_history,
     "window_summary_with_lateness": window_summary_with_lateness,
     "keyword_mask": keyword_mask,
+    "user_table_function": user_table_function,
+    "user_aggregate": user_mean,
     **IO_QUERIES,
 }
 
@@ -339,5 +357,6 @@ def _chunked(query: Query) -> Query:
 
 
 CHUNKED = ["count_trigger_running", "count_trigger_purged", "session_sum", "top_speed", "top_speed_free",
-           "late_status", "lateness_firings", "window_summary_with_lateness", "keyword_mask"]
+           "late_status", "lateness_firings", "window_summary_with_lateness", "keyword_mask",
+           "user_table_function"]
 QUERIES.update({f"{name}_chunked": _chunked(QUERIES[name]) for name in CHUNKED})

@@ -16,8 +16,9 @@ from ..functions.time import to_epoch_millis, to_event_time
 from ..operators.lookup import mask_messages
 from ..operators.routing import connect_flat, even_odd_selector, select_tags, tag_rows
 from ..session import checkpoint_path
+from ..sources.feed import ParquetFeed, read_feed
 from ..sources.inline import timestamped_events
-from ..sources.tables import load
+from ..sources.tables import load, table_path
 from .queries import DEFAULT_KEYWORD, SPEED_EVICT_US, SPEED_THRESHOLD
 from ..streaming import keyed, twins
 from ..streaming.replay import flush_rows, replay_batches, replay_files, stream_folder
@@ -32,6 +33,7 @@ STATE_PARTITIONS_CONF = "riverbend.stream.statePartitions"
 # Late data: every 13th event arrives 3/8 of the table later, in eight micro-batches.
 LATE_EVERY, LATE_BATCHES, LATE_HOP = 13, 8, 3
 HOUR_MS = 3_600_000
+FEED_ROWS = 40_000  # of a micro-batch of the custom source
 LATE_WINDOW, LATE_DELAY, LATENESS = "1 hour", "2 hours", "1 day"
 
 
@@ -187,6 +189,31 @@ def stream_rule_updates(spark, sf):
     return mask_messages(out, "props", "keyword").select("event_id", "masked")
 
 
+def stream_arrival_windows(spark, sf):
+    """Rows in windows of the clock. Which ones depends on the clock; together they hold every
+    row once, which is what the query returns."""
+    s = _event_stream(spark, sf, flushed=False)
+    out = _foreach(spark, twins.arrival_counts(s, ["event_type"], "1 second"), "arrival", twins.epoch_sink, "update")
+    last = twins.last_firings(out, ["event_type", "window_start", "window_end"], ["count"])
+    return last.groupBy("event_type").agg(F.sum("count").alias("n"))
+
+
+def source_custom_stream(spark, sf):
+    """The events through a source of our own, in micro-batches of its making."""
+    run = f"feed-{uuid.uuid4().hex[:8]}"
+    schema = load(spark, sf, "events").select("event_id", "event_type", "ts", "value").schema
+    rows = read_feed(spark, ParquetFeed, schema, path=table_path(sf, "events"), rowsPerBatch=FEED_ROWS,
+                     progress=checkpoint_path(spark, f"{run}.json"), rowsPerPartition=FEED_ROWS // 4)
+    out = checkpoint_path(spark, f"sinks/{run}")
+    q = (rows.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", checkpoint_path(spark, f"ckpt/{run}")).start())
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return spark.read.schema(schema).parquet(out)
+
+
 def _order_stream(spark: SparkSession, sf: str) -> DataFrame:
     orders = load(spark, sf, "orders").select("o_orderkey")
     return stream_folder(spark, replay_files(orders, "o_orderkey", REPLAY_FILES, "orders"), orders.schema)
@@ -280,6 +307,8 @@ STREAM_QUERIES = {
     "stream_top_speed": stream_top_speed,
     "stream_lateness_firings": stream_lateness_firings,
     "stream_rule_updates": stream_rule_updates,
+    "stream_arrival_windows": stream_arrival_windows,
+    "source_custom_stream": source_custom_stream,
 }
 
 __all__ = ["STATE_PARTITIONS_CONF", "STREAM_QUERIES"]

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import parse_key_millis, parse_tuple_text
+from ..functions.text import parse_key_millis, parse_tuple_text, try_parse_tuple_text
 
 # Field order of the user-behaviour CSV and of the car tuples.
 USER_BEHAVIOR_SCHEMA = ("userId bigint, itemId bigint, categoryId int, behavior string, "
@@ -49,6 +49,13 @@ def read_car_text(spark: SparkSession, path: str, streaming: bool = False) -> Da
     return parsed.select("t.*")
 
 
+def read_car_text_tolerant(spark: SparkSession, path: str, streaming: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejects)``: the lines that parse, typed, and the others as ``value``.
+    Every line is in one of the two."""
+    parsed = read_lines(spark, path, streaming).withColumn("t", try_parse_tuple_text("value", CAR_FIELDS))
+    return parsed.where("t is not null").select("t.*"), parsed.where("t is null").select("value")
+
+
 def read_key_millis(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
     """``key,millis`` lines to ``key, ts_ms`` plus an event-time column."""
     parsed = read_lines(spark, path, streaming).select(parse_key_millis("value").alias("t"))

@@ -50,6 +50,17 @@ def tumbling_counts(stream: DataFrame, keys: list[str], ts: str, size: str,
                     _ntz("w.end").alias("window_end"), "count"))
 
 
+def arrival_counts(stream: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """W1 on a stream, by the clock: ``keys, window_start, window_end, count`` of tumbling windows of
+    the time of arrival, for update mode.
+
+    The clock is that of the micro-batch. Spark writes it to the query's checkpoint before the
+    micro-batch runs, so a micro-batch that is tried again puts its rows into the same windows. A window
+    comes out in every micro-batch that adds to it, last with its whole content.
+    """
+    return tumbling_counts(stream.withColumn("_arrived", F.current_timestamp()), keys, "_arrived", size)
+
+
 def sliding_item_counts(stream: DataFrame, item: str, ts: str, size: str, slide: str,
                         delay: str = "0 seconds", keep: str | None = None) -> DataFrame:
     """W4 + A3 + A4 on a stream, in two chained stateful aggregations:

@@ -1,7 +1,7 @@
 import os
 
 from conftest import rows
-from riverbend.sinks import fan_out, tuple_text, write_delimited, write_text
+from riverbend.sinks import fan_out, show, tuple_text, write_delimited, write_text
 from riverbend.sources.files import read_lines
 
 
@@ -37,3 +37,10 @@ def test_raw_fields_and_nulls(spark, scratch):
     write_delimited(df, f"{scratch}/raw")
     assert sorted(r[0] for r in spark.read.text(f"{scratch}/raw").collect()) == [" 2", " 3", "a b 1", 'q"x ']
     assert sorted(r[0] for r in tuple_text(df).collect()) == ["(,2)", "(a b,1)", "(null,3)", '(q"x,null)']
+
+
+def test_console(spark, capsys):
+    """K3: rows with whole values, up to the number asked for."""
+    show(spark.createDataFrame([("x" * 50, 1), ("y", 2)], "word string, n int"), 1)
+    said = capsys.readouterr().out
+    assert "x" * 50 in said and "|n  |" in said and "only showing top 1 row" in said
