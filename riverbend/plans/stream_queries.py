@@ -229,7 +229,8 @@ def stream_split_all(spark, sf):
 def stream_connect(spark, sf):
     """J1 on two streams."""
     docs = load(spark, sf, "documents").select("doc_id", "text")
-    texts = stream_folder(spark, replay_files(docs, "doc_id", REPLAY_FILES, "texts"), docs.schema)
+    texts = stream_folder(spark, replay_files(docs, "doc_id", REPLAY_FILES, "texts",
+                                                     least_files=spark.sparkContext.defaultParallelism), docs.schema)
     return _to_files(spark, connect_flat(_order_stream(spark, sf), "o_orderkey",
                                          text_lines(texts, "text"), "line"), "connect")
 
@@ -257,7 +258,7 @@ def _document_stream(spark: SparkSession, sf: str) -> DataFrame:
                             + F.col("doc_id")).alias("ingest_ts"))
     flush = [flush_rows(docs, "ingest_ts", {"doc_id": -1 - i, "text": FLUSH_KEY}, years=100 + i)
              for i in range(FLUSH_FILES)]
-    root = replay_files(docs, "doc_id", REPLAY_FILES, "documents", flush)
+    root = replay_files(docs, "doc_id", REPLAY_FILES, "documents", flush, spark.sparkContext.defaultParallelism)
     return stream_folder(spark, root, docs.schema)
 
 

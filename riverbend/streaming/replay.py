@@ -35,7 +35,7 @@ class Replay(NamedTuple):
 
 
 def replay_files(df: DataFrame, order: str, ranges: int, name: str,
-                 flush: list[DataFrame] | None = None) -> Replay:
+                 flush: list[DataFrame] | None = None, least_files: int = 1) -> Replay:
     """Write ``df`` as at least ``ranges`` consecutive ranges of ``order``
     (each its own folder, written in order so modification times follow the
     data), then the ``flush`` rows as the last file(s), inside the shared
@@ -43,14 +43,15 @@ def replay_files(df: DataFrame, order: str, ranges: int, name: str,
 
     Every range is written by as many tasks as it has files, the same number
     for each range, so that a micro-batch is one whole range; a table with
-    more rows than ``FILES_PER_BATCH`` files a range hold gets more ranges.
+    more rows than ``FILES_PER_BATCH`` files a range hold gets more ranges. A file is one task of
+    its micro-batch: ``least_files`` a range spread long rows over more of them.
     The driver loops over ranges, not over data.
     """
     spark = df.sparkSession
     root = checkpoint_path(spark, f"replay/{name}-{uuid.uuid4().hex[:8]}")
     total = df.count()
     ranges = max(ranges, math.ceil(total / (ROWS_PER_FILE * FILES_PER_BATCH)))
-    files = max(1, math.ceil(total / (ranges * ROWS_PER_FILE)))
+    files = max(least_files, math.ceil(total / (ranges * ROWS_PER_FILE)))
     # Ranges only need to be contiguous, not equal.
     bounds = df.approxQuantile(order, [i / ranges for i in range(1, ranges)], 0.04 / ranges) \
         if ranges > 1 else []
