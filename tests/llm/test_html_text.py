@@ -1,5 +1,7 @@
 import html
 import re
+import time
+import tracemalloc
 
 import pytest
 
@@ -50,6 +52,46 @@ def test_all_parts_of_an_unmarked_article():
     assert H.main_text(page) == "\n".join([f"{A} {A}"] * 12 + [C, f"{A} {A}"])
 
 
+D = "A paragraph of a section inside the article, as long as others are."
+
+
+@pytest.mark.parametrize("page, text", [
+    # a form or a role round the whole page
+    (f"<body><form id='aspnetForm'><div class='menu'><a>x</a></div><article><h1>T</h1><p>{A}</p><p>{C}</p></article></form>", f"T\n{A}\n{C}"),
+    (f"<body><form><div><p>{A}</p><p>{D}</p><p>{C}</p></div></form>", f"{A}\n{D}\n{C}"),
+    (f"<body><div role='form'><article><p>{A}</p></article></div>", A),
+    # parts of class names inside the article
+    (f"<article><p>{A}</p><section class='related-work'><p>{D}</p></section><div id='share-price'><p>{D}</p></div></article>", f"{A}\n{D}\n{D}"),
+    (f"<article><p>{A}</p><p>{D}</p><ul class='share-links'><li><a>a</a></li><li><a>b</a></li></ul><p>{A}</p></article>", f"{A}\n{D}\n{A}"),
+    (f"<article><p>{A}</p><div class='ad'><p>{D}</p></div><p>{A} {A}</p></article>", f"{A}\n{A} {A}"),
+    # all articles of <main>
+    (f"<main><article><p>{A * 30}</p></article><article><p>{C}</p></article></main><article><p>{C}</p></article>", f"{A * 30}\n{C}"),
+    # formulas, and the article's own header
+    (f"<article><p>{A} <math><mi>x</mi><mo>=</mo><mn>2</mn></math> so.</p></article>", f"{A} x=2 so."),
+    (f"<header><h1>Site</h1></header><article><header><h1>Title</h1></header><p>{A}</p></article>", f"Title\n{A}"),
+    (f"<article><p>{A}</p><form><p>Your name and your address, please, to get our letter.</p></form><p>{D}</p></article>", f"{A}\n{D}"),
+])
+def test_nothing_of_the_article_is_lost(page, text):
+    assert H.main_text(page) == text
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 50_000 + "text here", "<div class='menu-x'>" * 20_000 + "text here", "<section><p>some text" * 25_000,
+    "<b><div>" + "<span>" * 20_000 + "</b></i>" * 20_000 + "text here", "<a " * 50_000, "<!--" * 100_000, "x" + "<![CDATA[" * 50_000 + ">text here",
+    "text here<" * 50_000, "<p " * 30_000 + ">text here", "<!-- a --" * 50_000, "<article>" * 20_000 + "text here", "</x>" * 100_000,
+    "<script>" + "</" * 50_000, "&" * 100_000 + "text here", "<form>" * 20_000 + "text here", "<li>" * 50_000 + "text here"],
+    ids=lambda p: p[:16])
+def test_hostile_pages_take_linear_time(page):
+    start = time.process_time()
+    H.main_text(page)
+    assert time.process_time() - start < 2
+    tracemalloc.start()
+    H.main_text(page)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
+
+
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("   ", ""), ("<html><body></body></html>", ""), ("just text &amp; no tags", "just text & no tags"),
     ("<p>a\n\n b&nbsp;c&#x41;</p>", "a b cA"), ("<p>unclosed <b>bold", "unclosed bold"), ("<!-- only a comment -->", ""),
