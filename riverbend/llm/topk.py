@@ -117,15 +117,14 @@ class Index:
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``(vec_id, q)`` of the rows that take part, one for each id."""
+    """``(vec_id, q)`` of the rows that take part."""
     v = F.col(vector_col)
     double = F.transform(v, lambda x: x.cast("double"))
     sound = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
     rows = vectors.where(F.col(id_col).isNotNull() & v.isNotNull() & (F.size(v) > 0)).where(sound)
-    return (rows.select(F.col(id_col).cast("long").alias("vec_id"),
-                        F.transform(double, lambda x: F.when(F.abs(x) < LARGEST, F.floor(x * SCALE)).otherwise(
-                            F.raise_error(F.lit("a component does not fit a bigint")).cast("bigint"))).alias("q"))
-            .groupBy("vec_id").agg(F.min("q").alias("q")))
+    return rows.select(F.col(id_col).cast("long").alias("vec_id"),
+                       F.transform(double, lambda x: F.when(F.abs(x) < LARGEST, F.floor(x * SCALE)).otherwise(
+                           F.raise_error(F.lit("a component does not fit a bigint")).cast("bigint"))).alias("q"))
 
 
 def search(vectors: DataFrame, every: int = 50, k: int = 5, id_col: str = "vec_id",
@@ -134,8 +133,9 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, id_col: str = "vec_i
 
     Vectors that are null or empty, or hold nulls or non-finite components, take no part; rows
     without id neither. A quantised component or a listed score that does not fit a bigint fails
-    the query. Of rows that repeat an id the smallest vector counts. Vectors of unequal length meet only their own
-    length. Fewer than k candidates: all of them; none, or an empty table: no rows. Ties go
+    the query. Rows that repeat an id are candidates each, and ask each if they are queries: their
+    lists are ranked together, and no row of the query's own id is in them. Vectors of unequal length
+    meet only their own length. Fewer than k candidates: all of them; none, or an empty table: no rows. Ties go
     to the smaller id.
     """
     rows = written(quantised(vectors, id_col, vector_col), "vectors")

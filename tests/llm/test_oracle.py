@@ -1,5 +1,6 @@
 """Queries with a DuckDB form: same rows on the given tables and on hard cases."""
 
+import os
 import random
 import tempfile
 
@@ -11,10 +12,10 @@ from riverbend.llm.queries import ORACLE, QUERIES
 
 def in_duckdb(sql, sf):
     con = duckdb.connect()
-    for name in ("documents", "embeddings"):
-        try:
+    for name in ("documents", "embeddings", "pages"):
+        if os.path.isfile(f"{sf}/{name}.parquet"):
             con.execute(f"create view {name} as select * from read_parquet('{sf}/{name}.parquet')")
-        except duckdb.IOException:  # a fixture of one table, or written as a folder
+        elif os.path.isdir(f"{sf}/{name}.parquet"):  # written as a folder
             con.execute(f"create view {name} as select * from read_parquet('{sf}/{name}.parquet/*.parquet')")
     got = con.execute(sql)
     names = [c[0] for c in got.description]
@@ -47,3 +48,13 @@ def test_hard_documents(spark):
     spark.createDataFrame([(*r, "s") for r in rows], schema).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([], "vec_id long, embedding array<float>").write.parquet(f"{folder}/embeddings.parquet")
     same(QUERIES["op5_quality_rules"](spark, folder), in_duckdb(ORACLE["op5_quality_rules"], folder))
+
+
+def test_repeated_ids_of_vectors(spark):
+    """Ids 1, 1, 2 and a query that stands twice: every row but the query's own."""
+    rng = random.Random(8)
+    rows = [(i // 3 if i < 90 else 50 * (i % 3), [rng.uniform(-1, 1) for _ in range(4)]) for i in range(120)]
+    folder = tempfile.mkdtemp(prefix="riverbend-llm-")
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{folder}/embeddings.parquet")
+    spark.createDataFrame([], "doc_id long").write.parquet(f"{folder}/documents.parquet")
+    same(QUERIES["op6_exact_top_k"](spark, folder), in_duckdb(ORACLE["op6_exact_top_k"], folder))

@@ -9,18 +9,13 @@ SF = "/root/testdata/sf0.01"
 
 
 def brute(rows, every=50, k=5):
-    vectors = {}
-    for i, v in rows:
-        if i is None or not v or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        q = tuple(math.floor(256 * float(x)) for x in v)
-        vectors[i] = min(q, vectors.get(i, q))
-    out = []
-    for i, q in vectors.items():
+    vectors = [(i, tuple(math.floor(256 * float(x)) for x in v)) for i, v in rows
+               if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    asked = {}
+    for i, q in vectors:
         if i % every == 0:
-            scored = sorted((-sum(a * b for a, b in zip(q, w)), j) for j, w in vectors.items() if j != i and len(w) == len(q))
-            out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scored[:k])]
-    return sorted(out)
+            asked.setdefault(i, []).extend((-sum(a * b for a, b in zip(q, w)), j) for j, w in vectors if j != i and len(w) == len(q))
+    return sorted((i, r + 1, j, -s) for i, found in asked.items() for r, (s, j) in enumerate(sorted(found)[:k]))
 
 
 def test_query_against_brute_force(spark):
@@ -52,7 +47,8 @@ def test_proof_stops_early_and_stays_exact(monkeypatch):
 def test_edge_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.5]), (50, [0.5, -1.0]), (1, None), (2, []), (3, [None, 1.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (None, [1.0, 1.0]),
-            (7, [1.0, 0.5]), (7, [1.0, 0.5]), (7, [0.0, 0.5]), (8, [0.25, 0.25, 0.25]), (100, [1.0, 2.0, 3.0])]
+            (7, [1.0, 0.5]), (7, [1.0, 0.5]), (7, [0.0, 0.5]), (8, [0.25, 0.25, 0.25]), (100, [1.0, 2.0, 3.0]),
+            (150, [1.0, 0.25]), (150, [0.25, 1.0])]
     df = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id bigint, embedding array<double>, size int, b int")
     assert sorted(tuple(r) for r in K.search(df).collect()) == brute(rows)
     assert K.search(df.limit(0)).collect() == []
