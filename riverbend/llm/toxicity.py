@@ -1,7 +1,9 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick.
 
-Texts are folded first: lower case, look-alike letters of other scripts to Latin ones, and
-digits or signs that stand before or between letters to the letters they imitate. The
+Texts are folded first: compatibility forms (full width, mathematical letters) and accents to
+plain letters, invisible characters out, lower case, look-alike letters of other scripts to Latin
+ones, digits or signs that stand before or between letters to the letters they imitate, and
+letters set apart one by one back together. The
 lexicon is learned: whole words and word beginnings that stand in ``MIN_DOCS`` toxic and few
 other labelled texts, each weighed by its log odds. A beginning stands for its longer forms unless
 one of these has nearly all of its texts. Exception phrases, a match with the word before or
@@ -10,7 +12,9 @@ evidence is the weight of its matches, and that weight by length; a logistic cur
 the two, fitted on the same texts, is the score.
 
 The lexicon is fitted on a bounded sample: at most about ``SAMPLE_LABELS`` labelled texts,
-chosen by a hash of the id, equal texts once. It holds at most ``MAX_PATTERNS`` patterns.
+chosen by a hash of the id, equal texts once (toxic if at least half of their labels are). What is
+collected from it is bounded by the sample; every pattern and phrase that passes is kept, unless
+a caller sets ``MAX_PATTERNS``. Beginnings have up to ``MAX_PREFIX`` letters, whole words any number.
 Scores cover every document.
 """
 
@@ -18,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -31,28 +36,40 @@ from pyspark.sql import functions as F
 from riverbend.llm.common import held_out, written
 from riverbend.llm.pieces import groups
 
-SAMPLE_LABELS, MAX_PATTERNS, MAX_PHRASES = 40_000, 5_000, 20_000
+SAMPLE_LABELS = 40_000
+MAX_PATTERNS: int | None = None  # no limit
+SAMPLE_TASKS = 64
 MIN_PREFIX, MAX_PREFIX = 4, 12
 MIN_DOCS, MIN_WEIGHT = 3, 2.5
 HOLD = 5, 0  # documents of crc32(id) mod 5 = 0 are never learned from
 
 #: Letters of other scripts that look like Latin ones, and the signs that imitate letters (fixed values).
-LOOK_ALIKE = str.maketrans(dict(zip("аеорсухіјѕԁһӏкмтвнԛԝαορνικτυχеⅼ", "aeopcyxijsdhlkmtbhqwaopviktuxel")) | {
-    chr(0xFF41 + k): chr(97 + k) for k in range(26)})
+LOOK_ALIKE = str.maketrans(dict(zip("аеорсухіјѕԁһӏкмтвнԛԝαορνικτυχеⅼıłøđħŧæœßгпԍӡɡɑɩʟɪʏøᴀʙᴄᴅᴇᴊᴋᴍɴᴏᴘᴛᴜᴠᴡᴢ",
+                               "aeopcyxijsdhlkmtbhqwaopviktuxelilodhtaosrngzgailiyoabcdejkmnoptuvwz")))
 IMITATE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 IMITATORS = "0134579@$!"
-#: A sign with a letter on either side, or at the beginning of a word of two letters or more.
-SIGNS = re.compile(r"[0134579@$!](?:(?<=[^\W\d_].)(?=[^\W\d_])|(?<![^\s\W].)(?=[^\W\d_]{2}))")
+#: One or two signs with a letter on either side, or one at the beginning of a word of two letters or more.
+SIGNS = re.compile(r"(?<=[^\W\d_])[0134579@$!]{1,2}(?=[^\W\d_])|(?<!\w)[0134579@$!](?=[^\W\d_]{2})")
 WORD = re.compile(r"[^\W\d_]+")
 
 
+#: Accents (combining marks) and characters without a shape of their own (fixed values).
+INVISIBLE = re.compile("[\u0300-\u036f\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180e\u200b-\u200f"
+                       "\u202a-\u202e\u2060-\u206f\ufe00-\ufe0f\ufeff]")
+#: Four letters or more with the same sign between each two, standing alone.
+APART = re.compile(r"(?<![^\W\d_])[^\W\d_]([ .\-_*·])[^\W\d_]\1[^\W\d_](?:\1[^\W\d_])+(?![^\W\d_])")
+
+
 def fold(text: str) -> str:
-    text = text.lower()
     if not text.isascii():
-        text = text.translate(LOOK_ALIKE)
-    if not any(c in text for c in IMITATORS):
-        return text
-    return SIGNS.sub(lambda m: IMITATE.get(m[0], m[0]), text)
+        # once more without marks: letters that compatibility forms have left in upper case
+        text = INVISIBLE.sub("", unicodedata.normalize("NFKD", text)).lower()
+        text = INVISIBLE.sub("", text).translate(LOOK_ALIKE)
+    else:
+        text = text.lower()
+    if any(c in text for c in IMITATORS):
+        text = SIGNS.sub(lambda m: "".join(IMITATE.get(c, c) for c in m[0]), text)
+    return APART.sub(lambda m: m[0].replace(m[1], ""), text)
 
 
 @dataclass
@@ -112,9 +129,14 @@ class Matcher:
         while stop < len(text) and text[stop].isalpha():
             stop += 1
         word = text[start:stop]
-        before = WORD.findall(text[max(0, start - 40): start])
-        after = WORD.search(text, stop, min(len(text), stop + 40))
-        return f"{before[-1] if before else '^'} {word}", f"{word} {after[0] if after else '^'}"
+        end = start
+        while end and not text[end - 1].isalpha():
+            end -= 1
+        first = end
+        while first and text[first - 1].isalpha():
+            first -= 1
+        after = WORD.search(text, stop)
+        return f"{text[first:end] or '^'} {word}", f"{word} {after[0] if after else '^'}"
 
     def evidence(self, text: str) -> tuple[float, float]:
         """Weight of the matches that no exception cancels, and that weight by 100 words."""
@@ -213,7 +235,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
     # about sample_labels ids of two numbers, by the hash above
     rows = rows.join(F.broadcast(known), "i").select("t", "toxic", F.xxhash64("t").alias("h"))
-    rows = written(rows.dropDuplicates(["h"]), "toxic-sample")
+    rows = rows.groupBy("h").agg(F.min("t").alias("t"), (F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
+    rows = written(rows.repartition(SAMPLE_TASKS, "h"), "toxic-sample")
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
@@ -223,9 +246,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"),
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good"))
     weight = F.log((F.col("bad") + 0.5) / (n_toxic + 1)) - F.log((F.col("good") + 0.5) / (n_clean + 1))
-    # a word has at most ten patterns, itself and its beginnings; ``choose`` weighs again and keeps MAX_PATTERNS
-    found = (counted.where(F.col("bad") >= MIN_DOCS).withColumn("weight", weight).where(F.col("weight") >= MIN_WEIGHT - 1e-9)
-             .orderBy(F.desc(F.col("weight") * F.col("bad")), "p").limit(20 * MAX_PATTERNS).collect())
+    # a word has at most ten patterns, itself and its beginnings; bounded by the sample
+    found = counted.where(F.col("bad") >= MIN_DOCS).where(weight >= MIN_WEIGHT - 1e-9).orderBy("p").collect()
     toxic, clean = {r["p"]: r["bad"] for r in found}, {r["p"]: r["good"] for r in found}
     lexicon = Lexicon(choose(toxic, clean, n_toxic, n_clean))
     first = sc.broadcast(lexicon.plain())
@@ -241,8 +263,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     phrases = _counted(rows, around).groupBy("p").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"),
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good"))
-    phrases = (phrases.where((F.col("good") >= MIN_DOCS) & (F.col("bad") * n_clean * 2 < F.col("good") * n_toxic))
-               .orderBy(F.desc("good"), "p").limit(MAX_PHRASES).collect())
+    # two for each match in the sample
+    phrases = phrases.where((F.col("good") >= MIN_DOCS) & (F.col("bad") * n_clean * 2 < F.col("good") * n_toxic)).collect()
     lexicon.exceptions = frozenset(r["p"] for r in phrases)
     second = sc.broadcast(lexicon.plain())
 
