@@ -25,8 +25,8 @@ def latest_rule_asof(messages: DataFrame, rules: DataFrame, ts: str, rule_col: s
     of earlier chunks is carried in from a per-chunk summary (bounded by the
     chunk count). At equal time a rule applies to the message (rules sort
     first); of rules of equal time the one with the greatest ``tiebreak``
-    holds if ``rules`` has that column. Output: ``messages`` columns plus
-    ``rule_col``.
+    holds if ``rules`` has that column, one without keyword only if all are. A rule without
+    keyword brings ``default`` back. Output: ``messages`` columns plus ``rule_col``.
     """
     m_cols = messages.columns
     ties = [tiebreak] if tiebreak in rules.columns else []
@@ -39,25 +39,28 @@ def latest_rule_asof(messages: DataFrame, rules: DataFrame, ts: str, rule_col: s
         F.col(ts), F.col(rule_col).cast("string").alias(rule_col), F.lit(0).alias("_kind"))
     rule_rows = rule_rows.select(*m_cols, rule_col, "_kind")
     both = msg.unionByName(rule_rows).withColumn("_ord", F.unix_micros(F.col(ts).cast("timestamp")))
+    both = both.withColumn("_rule", F.when(F.col("_kind") == 0, F.struct(rule_col))) \
+        .withColumn("_said", F.col(rule_col).isNotNull()).drop(rule_col)
     # The rules of an instant come first: a null tie.
     tie = F.when(F.col("_kind") == 1, F.col(tiebreak)) if tiebreak in m_cols and isinstance(
         messages.schema[tiebreak].dataType, NumericType) else None
     split = split_hot_keys(both, [], "_ord", rows_per_chunk, tie=tie)
-    order = ["_ord", "_kind"] + ([tiebreak] if tiebreak else [])
+    order = ["_ord", "_kind", "_said"] + ([tiebreak] if tiebreak else [])
     w = (Window.partitionBy(CHUNK).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    scanned = split.df.withColumn("_local", F.last(rule_col, ignorenulls=True).over(w))
+    scanned = split.df.withColumn("_local", F.last("_rule", ignorenulls=True).over(w))
     # One summary row for *every* chunk (a chunk without rules must still
     # receive the carry from earlier chunks); message rows have a null
     # ordering, which max_by skips.
     is_rule = F.col("_kind") == 0
     summary = (split.df.groupBy(CHUNK)
-               .agg(F.max_by(F.when(is_rule, F.col(rule_col)),
+               .agg(F.max_by(F.when(is_rule, F.col("_rule")),
                              F.when(is_rule, F.struct(*order))).alias("_last_rule")))
     prefix = chunk_prefix(split, summary, {"_carry": F.last("_last_rule", ignorenulls=True)})
     out = attach_prefix(scanned, split, prefix, ["_carry"])
-    chosen = F.coalesce(F.col("_local"), F.col("_carry").cast("string"),
-                        F.lit(default).cast("string"))
+    # not split: no carry
+    before = F.col("_carry") if split.split else F.col("_local")
+    chosen = F.coalesce(F.coalesce(F.col("_local"), before)[rule_col], F.lit(default).cast("string"))
     return (out.where(F.col("_kind") == 1)
             .select(*[c for c in m_cols], chosen.alias(rule_col)))
 

@@ -228,16 +228,17 @@ class RuleMask(StatefulProcessor):
         self.default = default
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.rule = handle.getValueState("rule", "us bigint, seq bigint, keyword string")
+        self.rule = handle.getValueState("rule", "us bigint, said boolean, seq bigint, keyword string")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         held = self.rule.get() if self.rule.exists() else None
-        before, place = held, lambda r: (r.us is not None, r.us or 0, r.is_message, r.seq is not None, r.seq or 0)
+        before, seq = held, lambda r: -1 if r.seq is None else r.seq
+        place = lambda r: (r.us is not None, r.us or 0, r.is_message, r.text is not None, seq(r))
         for r in sorted(rows, key=place):
             if r.is_message:
-                yield Row(seq=r.seq, text=r.text, keyword=self.default if held is None or r.us is None else held[2])
-            elif r.us is not None and (held is None or (r.us, r.seq) >= (held[0], held[1])):
-                held = (r.us, r.seq, self.default if r.text is None else r.text)
+                yield Row(seq=r.seq, text=r.text, keyword=self.default if held is None or r.us is None else held[3])
+            elif r.us is not None and (held is None or (r.us, r.text is not None, seq(r)) >= tuple(held[:3])):
+                held = (r.us, r.text is not None, seq(r), self.default if r.text is None else r.text)
         if held != before:
             self.rule.update(held)
 
@@ -253,7 +254,7 @@ def masked_by_rules(messages: DataFrame, rules: DataFrame, ts: str, seq: str, te
     ``messages`` and ``rules`` are streams (or two selections of one). Messages are dealt to
     ``shares`` by their id and every rule goes to all of them, as a broadcast would: the state of a
     share is one rule. Within a micro-batch rules and messages are taken by time, a rule before
-    the messages of its instant, the rule of the largest ``seq`` last; a rule that arrives in a later
+    the messages of its instant, the rule of the largest ``seq`` last (after those without keyword); a rule that arrives in a later
     micro-batch is for the messages from there on, and an older one than the rule in force changes
     nothing. Before the first rule, and under a rule without keyword, ``default`` holds; rules without
     time never come into force, messages without time are under the default.

@@ -47,3 +47,16 @@ def test_cached_text_is_not_a_join(spark):
     plan = with_cached_text(from_elements(spark, CACHE_ROWS), cached, "value", "out") \
         ._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_a_rule_without_keyword_brings_the_default_back(spark):
+    """Of an instant's rules one without keyword counts only if all are; split and unsplit agree."""
+    at = "timestamp_seconds(t)"
+    msgs = spark.createDataFrame([(i, i, f"m{i}") for i in range(1, 13)], "seq long, t long, text string")
+    rules = spark.createDataFrame([(100, 2, "a"), (101, 4, None), (102, 6, "b"), (103, 6, None), (104, 9, None), (105, 11, "c")],
+                                  "seq long, t long, keyword string")
+    msgs, rules = (d.withColumn("ts", F.expr(at)).drop("t") for d in (msgs, rules))
+    want = ["d", "a", "a", "d", "d", "b", "b", "b", "d", "d", "c", "c"]
+    for n in (10**6, 3):
+        got = latest_rule_asof(msgs, rules, "ts", "keyword", "d", "seq", n)
+        assert [r["keyword"] for r in got.orderBy("seq").collect()] == want
