@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from ..functions.time import epoch_micros
+from ..functions.time import epoch_micros, format_millis
 from ..plans.skew import (CHUNK, attach_prefix, chunk_prefix, null_safe_join,
                           split_hot_keys)
 
@@ -110,6 +110,14 @@ def window_summary(df: DataFrame, keys: list[str], ts: str, size_s: float) -> Da
                  F.max(ts).alias("last_ts")))
 
 
+def summary_lines(summary: DataFrame, key: str) -> DataFrame:
+    """a window summary as text, ``key,count,first,last,start,end``, with instants as
+    ``yyyy-MM-dd HH:mm:ss.SSS``; a null key as nothing."""
+    instants = [format_millis(c) for c in ("first_ts", "last_ts", "window_start", "window_end")]
+    return summary.select(F.concat_ws(",", F.coalesce(F.col(key).cast("string"), F.lit("")),
+                                      F.col("n").cast("string"), *instants).alias("line"))
+
+
 def session_windows(df: DataFrame, key: str, ts: str, gap_us: int,
                     value: str | None = None, rows_per_chunk: int | None = None,
                     scale: int | None = None) -> DataFrame:

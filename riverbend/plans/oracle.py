@@ -151,6 +151,12 @@ select event_type, time_bucket(interval '10 minutes', ts) as window_start,
        time_bucket(interval '10 minutes', ts) + interval '10 minutes' as window_end,
        count(*) as n, min(ts) as first_ts, max(ts) as last_ts
 from events group by all""",
+    "window_summary_lines": """
+select concat_ws(',', coalesce(event_type, ''), cast(count(*) as varchar), strftime(min(ts), '%Y-%m-%d %H:%M:%S.%g'),
+                 strftime(max(ts), '%Y-%m-%d %H:%M:%S.%g'),
+                 strftime(time_bucket(interval '10 minutes', ts), '%Y-%m-%d %H:%M:%S.%g'),
+                 strftime(time_bucket(interval '10 minutes', ts) + interval '10 minutes', '%Y-%m-%d %H:%M:%S.%g')) as line
+from events group by event_type, time_bucket(interval '10 minutes', ts)""",
     "count_trigger_running": """
 with r as (
   select event_type, event_id,

@@ -37,7 +37,8 @@ from ..operators.routing import connect_flat, even_odd_selector, select_tags, si
 from ..operators.topn import hot_items as top_items
 from ..operators.triggers import count_trigger, delta_trigger_max, purging_count_trigger
 from ..operators.windows import (US, add_tumbling_window, grouped_sum, running_per_key,
-                                 session_windows, sliding_counts, tumbling_sum, window_summary)
+                                 session_windows, sliding_counts, summary_lines, tumbling_sum,
+                                 window_summary)
 from ..session import checkpoint_path
 from ..sources.files import CAR_FIELDS
 from ..sources.tables import load
@@ -229,6 +230,11 @@ def window_summary_10m(spark, sf):
     return window_summary(ev, ["event_type"], "ts", SUMMARY_WINDOW_S)
 
 
+def window_summary_lines(spark, sf):
+    """the summaries as lines of text."""
+    return summary_lines(window_summary_10m(spark, sf), "event_type")
+
+
 # --- triggers (W6 W7 W8 A5) ----------------------------------------------
 
 def count_trigger_running(spark, sf):
@@ -323,6 +329,7 @@ QUERIES: dict[str, Query] = {
     "parse_tuple_text": parse_tuple,
     "session_sum": session_sum,
     "window_summary": window_summary_10m,
+    "window_summary_lines": window_summary_lines,
     "tumbling_value_sum": tumbling_value_sum,
     "count_trigger_running": count_trigger_running,
     "count_trigger_purged": count_trigger_purged,

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.time import from_epoch_millis
 from ..functions.text import parse_key_millis, parse_tuple_text, try_parse_tuple_text
 
 # Field order of the user-behaviour CSV and of the car tuples.
@@ -60,7 +61,7 @@ def read_key_millis(spark: SparkSession, path: str, streaming: bool = False) ->
     """``key,millis`` lines to ``key, ts_ms`` plus an event-time column."""
     parsed = read_lines(spark, path, streaming).select(parse_key_millis("value").alias("t"))
     return parsed.select("t.*").withColumn(
-        "ts", F.timestamp_millis("ts_ms").cast("timestamp_ntz"))
+        "ts", from_epoch_millis("ts_ms"))
 
 
 def read_or_default(spark: SparkSession, reader: Callable[[SparkSession, str], DataFrame],

@@ -27,14 +27,23 @@ def batches(spark, rows, schema, flush=None):
 def run(spark, sdf, name=None, **options):
     name = name or f"k{uuid.uuid4().hex[:8]}"
     out = checkpoint_path(spark, f"out/{name}")
-    with keyed.with_rocksdb(spark):
-        q = (sdf.writeStream.format("parquet").option("path", out).options(**options)
-             .option("checkpointLocation", checkpoint_path(spark, f"ckpt/{name}"))
-             .trigger(availableNow=True).start())
+    q = start(spark, sdf.writeStream.format("parquet").option("path", out).options(**options)
+              .option("checkpointLocation", checkpoint_path(spark, f"ckpt/{name}")))
     q.awaitTermination()
     return spark.read.parquet(out)
 
 
+def start(spark, writer):
+    """Two state partitions: each is a worker and a store in every micro-batch."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        with keyed.with_rocksdb(spark):
+            return writer.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def lateness(spark, rows, size, delay, late):
     flush = ("flush", max(r[1] for some in rows for r in some) + 10**12, -1)
     s = batches(spark, rows, "key string, ms bigint, seq bigint", flush).withColumn("ts", F.timestamp_millis("ms"))
@@ -174,9 +183,8 @@ def test_state_survives_a_restart(spark):
             raise RuntimeError("lost")
 
     for attempt in range(2):
-        with keyed.with_rocksdb(spark):
-            q = (fired().writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_path(spark, f"ckpt/{name}"))
-                 .trigger(availableNow=True).start())
+        q = start(spark, fired().writeStream.foreachBatch(sink).option(
+            "checkpointLocation", checkpoint_path(spark, f"ckpt/{name}")))
         if attempt == 0:
             with pytest.raises(Exception):
                 q.awaitTermination()
