@@ -59,20 +59,18 @@ best as (
                  where n >= {Q.MIN_COMMON})
   where k <= {Q.COMMON}),
 sized as (select lang, sum(n_words) as n, {_SUMS} from b group by lang having sum(n_words) > 0),
-held as (
-  select * from (select *, row_number() over (partition by lang is null order by n desc, lang) as k from sized)
-  where lang is null or k <= {Q.MAX_LANGS}),
 reference as (
-  select '*' as ref, sum(n) as n, {_SUMS} from held
+  select '*' as ref, sum(n) as n, {_SUMS} from sized
   union all by name
-  select '=' || lang as ref, n, {', '.join(f'c{k}' for k in range(Q.CLASSES))} from held where lang is not null),
+  select '=' || lang as ref, n, {', '.join(f'c{k}' for k in range(Q.CLASSES))} from sized where lang is not null),
 common as (
-  select '=' || lang as ref, word, n from best where lang in (select lang from held)
+  select '=' || lang as ref, word, n from best where lang is not null
   union all
-  select * from (select '*' as ref, word, sum(n) as n from best group by word order by n desc, word limit {Q.COMMON})),
+  select * from (select '*' as ref, word, sum(n) as n from counted group by word having sum(n) >= {Q.MIN_COMMON}
+                 order by n desc, word limit {Q.COMMON})),
 share as (select c.ref, c.word, c.n, cast(c.n as double) / r.n as q from common c join reference r using (ref)),
 named as (
-  select b.*, case when lang in (select lang from held where lang is not null) then '=' || lang else '*' end as ref from b),
+  select b.*, case when lang in (select lang from sized where lang is not null) then '=' || lang else '*' end as ref from b),
 present as (
   select t.i, s.word, count(*) as n, cast(count(*) as double) / any_value(x.n_words) as p, any_value(s.q) as q
   from token t join named x using (i) join share s on s.ref = x.ref and s.word = t.word

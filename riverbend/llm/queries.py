@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +25,13 @@ from riverbend.llm import (
 from riverbend.llm.common import held_out, table, written
 from riverbend.llm.oracle import ORACLE
 
-PIECES = public_tokenizers.path("piece_bpe_32k.model")
+PIECES = "piece_bpe_32k.model"
+
+
+def _pieces() -> bytes:
+    import public_tokenizers  # where it is installed; the other queries need none
+
+    return pieces.read_model(public_tokenizers.path(PIECES))
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +71,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.digests(table(spark, sf_dir, "documents"), pieces.read_model(PIECES))
+    return pieces.digests(table(spark, sf_dir, "documents"), _pieces())
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +79,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer's; the bytes themselves are a second version; the revision, sent again, adds nothing."""
     docs = table(spark, sf_dir, "documents").withColumn(
         "n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
-    counted = written(pieces.counts(docs, pieces.read_model(PIECES), keep=("source", "lang", "n_bytes"))
+    counted = written(pieces.counts(docs, _pieces(), keep=("source", "lang", "n_bytes"))
                       .withColumn("estimate", F.ceil(F.col("n_bytes") / 4)), "counted")
     rollup = token_counts.rollup(spark, uuid.uuid4().hex)
     rollup.commit("load", token_counts.inserts(counted, "piece_bpe_32k", "estimate").unionByName(

@@ -58,3 +58,17 @@ def test_repeated_ids_of_vectors(spark):
     spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{folder}/embeddings.parquet")
     spark.createDataFrame([], "doc_id long").write.parquet(f"{folder}/documents.parquet")
     same(QUERIES["op6_exact_top_k"](spark, folder), in_duckdb(ORACLE["op6_exact_top_k"], folder))
+
+
+def test_quality_of_many_languages(spark):
+    """Seventy languages and none: each has a reference, that of the whole table takes all words."""
+    rng = random.Random(9)
+    rows = []
+    for k in range(70):
+        own = [f"w{k}x{j}" for j in range(5)] + ["the", "of", "Ünter", "7"]
+        rows += [(100 * k + d, " ".join(rng.choices(own, k=rng.randint(45, 80))), f"l{k:02}") for d in range(2)]
+    rows += [(9000 + d, " ".join(rng.choices(["the", "of", "none", "w1x1"], k=60)), None) for d in range(6)]
+    folder = tempfile.mkdtemp(prefix="riverbend-llm-")
+    spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, lang string, source string").write.parquet(
+        f"{folder}/documents.parquet")
+    same(QUERIES["op5_quality_rules"](spark, folder), in_duckdb(ORACLE["op5_quality_rules"], folder))
