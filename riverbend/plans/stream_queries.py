@@ -184,8 +184,9 @@ def stream_rule_updates(spark, sf):
     ev = _event_stream(spark, sf, flushed=False)
     rule = F.col("event_type") == "signup"
     rules = ev.where(rule).withColumn("keyword", F.get_json_object("props", "$.k"))
+    # Every rule goes to every share, and a fifth of these events are rules: one share a core.
     out = _stateful(spark, keyed.masked_by_rules(ev.where(~rule), rules, "ts", "event_id", "props", "keyword",
-                                                 DEFAULT_KEYWORD), "rule_updates")
+                                                 DEFAULT_KEYWORD, spark.sparkContext.defaultParallelism), "rule_updates")
     return mask_messages(out, "props", "keyword").select("event_id", "masked")
 
 
