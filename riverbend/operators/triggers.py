@@ -319,15 +319,25 @@ def _frame_maxima(fired: DataFrame, rows: DataFrame, split: KeySplit, key: str,
         F.col("_lo") == F.col(CHUNK), 1).otherwise(2).alias("_kind"))
     ends = fired.where(F.col("_lo") != F.col(CHUNK)).select(
         key, F.col("_lo").alias(CHUNK), low.alias("_at"), nothing, "_row", seq, F.lit(3).alias("_kind"))
+    # A frame inside one chunk has the length of a span of the clock: it is the end of one span and the
+    # start of the next (or just one whole span). Both are running maxima, where a sliding frame
+    # would read all of its rows again for each row.
+    span_of = lambda at: at - F.pmod(at, F.lit(evict_us))
+    tails = fired.where((piece == 0) & (F.col("_lo") == F.col(CHUNK)) & (span_of(low) < span_of(F.col("_us")))).select(
+        key, CHUNK, low.alias("_at"), nothing, "_row", seq, F.lit(4).alias("_kind"))
     w = Window.partitionBy(key, CHUNK)
     timed = F.when(F.col("_at").isNotNull(), F.col("_best"))
-    asked = carry.unionByName(starts).unionByName(ends).select(
-        key, seq, "_row", "_kind",
-        F.max("_best").over(w.orderBy("_at").rangeBetween(-(evict_us - 1), 0)).alias("_in"),
-        F.max(timed).over(w.orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)).alias("_to"),
-        F.max(timed).over(w.orderBy(F.desc("_at")).rangeBetween(Window.unboundedPreceding, 0)).alias("_from"))
-    answers = asked.where(F.col("_kind") > 0).select(key, seq, "_row", F.when(F.col("_kind") == 1, F.col("_in")).when(
-        F.col("_kind") == 2, F.col("_to")).otherwise(F.col("_from")).alias("_best"))
+    up_to = lambda w, order: w.orderBy(order).rangeBetween(Window.unboundedPreceding, 0)
+    asked = carry.unionByName(starts).unionByName(ends).unionByName(tails).select(
+        key, seq, CHUNK, "_row", "_kind", "_at", "_best", span_of(F.col("_at")).alias("_span"),
+        F.max(timed).over(up_to(w, "_at")).alias("_to"), F.max(timed).over(up_to(w, F.desc("_at"))).alias("_from"))
+    w = Window.partitionBy(key, CHUNK, "_span")
+    asked = asked.select(
+        key, seq, "_row", "_kind", "_to", "_from", F.max("_best").over(up_to(w, "_at")).alias("_span_to"),
+        F.max("_best").over(up_to(w, F.desc("_at"))).alias("_span_from"))
+    answers = asked.where(F.col("_kind") > 0).select(
+        key, seq, "_row", F.when(F.col("_kind") == 1, F.col("_span_to")).when(F.col("_kind") == 2, F.col("_to"))
+        .when(F.col("_kind") == 3, F.col("_from")).otherwise(F.col("_span_from")).alias("_best"))
     between = fired.where(F.col("_lo") < F.col(CHUNK)).select(
         key, seq, "_row", (F.col("_lo") + 1).alias("_lo"),
         F.when(piece == 0, F.col(CHUNK) - 1).otherwise(F.col(CHUNK) - piece + F.lit(PIECES - 1)).alias("_hi"))
