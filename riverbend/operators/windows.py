@@ -9,6 +9,7 @@ epoch microseconds, so results are exact.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from ..plans.skew import (CHUNK, attach_prefix, chunk_prefix, null_safe_join,
                           split_hot_keys)
 
 US = 1_000_000
+BYTES_PER_TASK = 16 << 20  # of text whose words a task counts
 
 
 def micros_to_ts(col: Column) -> Column:
@@ -59,6 +61,26 @@ def grouped_sum(df: DataFrame, keys: list[str], value: str | None = None,
     return df.groupBy(*keys).agg(agg.alias(alias))
 
 
+def grouped_within(df: DataFrame, within: list[str], text: str, grouped: Callable[[DataFrame], DataFrame],
+                   bytes_per_task: int = BYTES_PER_TASK) -> DataFrame:
+    """``grouped(df)``, an aggregation that takes the column ``text`` apart and whose groups each lie
+    within one group of ``within`` (its keys hold these columns).
+
+    The rows are shuffled before they are taken apart, those of a group of ``within`` to one task, so that the
+    aggregation needs no shuffle of its many small groups. A group of ``within`` with more than
+    ``bytes_per_task`` bytes of text is left to the aggregation's own shuffle, which cuts it.
+    """
+    sizes = df.groupBy(*within).agg(F.sum(F.octet_length(text)).alias("_bytes"))
+    heavy = F.col("_bytes") > bytes_per_task
+    total, n_heavy = sizes.agg(F.sum("_bytes"), F.count_if(heavy)).first()
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil((total or 0) / bytes_per_task))
+    if not n_heavy:
+        return grouped(df.repartition(tasks, *within))
+    heavy_keys = sizes.where(heavy).select(*within)
+    light, rest = (null_safe_join(df, heavy_keys, within, n_heavy, how) for how in ("left_anti", "left_semi"))
+    return grouped(light.repartition(tasks, *within)).unionByName(grouped(rest))
+
+
 def tumbling_sum(df: DataFrame, keys: list[str], ts: str, size_s: float,
                  value: str | None = None, alias: str = "count",
                  first: dict[str, str] | None = None, tiebreak: str | None = None) -> DataFrame:

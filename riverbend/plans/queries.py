@@ -36,7 +36,7 @@ from ..operators.lookup import (latest_rule_asof, mask_messages, read_cached_tex
 from ..operators.routing import connect_flat, even_odd_selector, select_tags, side_output, tag_rows
 from ..operators.topn import hot_items as top_items
 from ..operators.triggers import count_trigger, delta_trigger_max, purging_count_trigger
-from ..operators.windows import (US, add_tumbling_window, grouped_sum, running_per_key,
+from ..operators.windows import (US, add_tumbling_window, grouped_sum, grouped_within, running_per_key,
                                  session_windows, sliding_counts, summary_lines, tumbling_sum,
                                  window_summary)
 from ..session import checkpoint_path
@@ -160,9 +160,13 @@ def tumbling_word_count(spark, sf):
     docs = _documents(spark, sf)
     docs = add_tumbling_window(docs.withColumn("ingest_ts", _ingest_ts()), "ingest_ts",
                                WORD_WINDOW_S)
-    lines = text_lines(docs.drop("ingest_ts"), "text")
-    toks = tokenize(lines, "line", WHITESPACE_ONE, keep=["window_start", "window_end"])
-    return grouped_sum(toks, ["word", "window_start", "window_end"], alias="count")
+    window = ["window_start", "window_end"]
+
+    def counts(docs):
+        toks = tokenize(text_lines(docs, "text"), "line", WHITESPACE_ONE, keep=window)
+        return grouped_sum(toks, ["word", *window], alias="count")
+
+    return grouped_within(docs.select("text", *window), window, "text", counts)
 
 
 # --- split / select, connect, cached file, tuple text (P8-P10 J1 J3 S5) --
