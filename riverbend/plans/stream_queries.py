@@ -259,7 +259,7 @@ def _document_stream(spark: SparkSession, sf: str) -> DataFrame:
                             + F.col("doc_id")).alias("ingest_ts"))
     flush = [flush_rows(docs, "ingest_ts", {"doc_id": -1 - i, "text": FLUSH_KEY}, years=100 + i)
              for i in range(FLUSH_FILES)]
-    root = replay_files(docs, "doc_id", REPLAY_FILES, "documents", flush, spark.sparkContext.defaultParallelism)
+    root = replay_files(docs, "doc_id", REPLAY_FILES, "documents", flush, spark.sparkContext.defaultParallelism, "text")
     return stream_folder(spark, root, docs.schema)
 
 

@@ -17,7 +17,9 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from ..plans.skew import count_below
 from ..session import checkpoint_path
 
 FLUSH_YEARS = 100
@@ -25,6 +27,7 @@ FLUSH_YEARS = 100
 
 # Rows of one file of a replayed range; a micro-batch reads a range.
 ROWS_PER_FILE, FILES_PER_BATCH = 250_000, 1_000
+TEXT_PER_BATCH = 64 << 20  # bytes
 
 
 class Replay(NamedTuple):
@@ -35,7 +38,7 @@ class Replay(NamedTuple):
 
 
 def replay_files(df: DataFrame, order: str, ranges: int, name: str,
-                 flush: list[DataFrame] | None = None, least_files: int = 1) -> Replay:
+                 flush: list[DataFrame] | None = None, least_files: int = 1, text: str | None = None) -> Replay:
     """Write ``df`` as at least ``ranges`` consecutive ranges of ``order``
     (each its own folder, written in order so modification times follow the
     data), then the ``flush`` rows as the last file(s), inside the shared
@@ -45,16 +48,25 @@ def replay_files(df: DataFrame, order: str, ranges: int, name: str,
     for each range, so that a micro-batch is one whole range; a table with
     more rows than ``FILES_PER_BATCH`` files a range hold gets more ranges. A file is one task of
     its micro-batch: ``least_files`` a range spread long rows over more of them.
-    The driver loops over ranges, not over data.
+    With ``text``, a string column that the stream cuts into words, a range holds about
+    ``TEXT_PER_BATCH`` bytes of it: the state of a micro-batch is then bounded at every size of the table.
+    The driver loops over ranges, not over data. Where there are more of them than asked for, the rows
+    are dealt to them once, so that the table is not read for each.
     """
     spark = df.sparkSession
     root = checkpoint_path(spark, f"replay/{name}-{uuid.uuid4().hex[:8]}")
-    total = df.count()
-    ranges = max(ranges, math.ceil(total / (ROWS_PER_FILE * FILES_PER_BATCH)))
+    size = df.agg(F.count(F.lit(1)).alias("n"),
+                  (F.sum(F.octet_length(text)) if text else F.lit(0)).alias("bytes")).first()
+    total, asked = size["n"], ranges
+    ranges = max(ranges, math.ceil(total / (ROWS_PER_FILE * FILES_PER_BATCH)),
+                 math.ceil((size["bytes"] or 0) / TEXT_PER_BATCH))
     files = max(least_files, math.ceil(total / (ranges * ROWS_PER_FILE)))
     # Ranges only need to be contiguous, not equal.
     bounds = df.approxQuantile(order, [i / ranges for i in range(1, ranges)], 0.04 / ranges) \
         if ranges > 1 else []
+    if ranges > asked:
+        bounds = sorted(set(bounds))
+        return _written(root, _dealt(df, order, bounds, f"{root}-dealt", files), files, flush)
     edges = [None, *bounds, None]
     parts = []
     for low, high in zip(edges, edges[1:]):
@@ -66,6 +78,16 @@ def replay_files(df: DataFrame, order: str, ranges: int, name: str,
     return _written(root, parts, files, flush)
 
 
+def _dealt(df: DataFrame, order: str, bounds: list[float], root: str, files: int) -> list[DataFrame]:
+    """The rows of each range, from a folder of its own that one pass over the table writes."""
+    number = count_below(df.withColumn("_bounds", F.lit([float(b) for b in bounds])), "_bounds", F.col(order), "_range",
+                         len(bounds)).drop("_bounds")
+    (number.repartition(files * (len(bounds) + 1), "_range", F.pmod(F.xxhash64(order), F.lit(files)))
+     .write.partitionBy("_range").parquet(root))
+    dealt = df.sparkSession.read.schema(StructType([*df.schema.fields, StructField("_range", IntegerType())])).parquet(root)
+    return [dealt.where(F.col("_range") == i).drop("_range") for i in range(len(bounds) + 1)]
+
+
 def replay_batches(df: DataFrame, batch: str, batches: int, name: str,
                    flush: list[DataFrame] | None = None) -> Replay:
     """Write ``df`` as the micro-batches that its column ``batch`` numbers from 0 (all of them
